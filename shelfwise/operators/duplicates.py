@@ -35,13 +35,15 @@ def rank_duplicates(files: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> D
 
     Quality is bit rate, then size (unreadable numbers count as 0), then input order.
     """
-    members = dedup_candidates(files).join(duplicate_groups(files), KEY)
+    groups = duplicate_groups(files)
+    members = dedup_candidates(files).join(groups, KEY)
     order = [
         F.desc(number_or_zero(F.col("bitrate_kbps"))),
         F.desc(number_or_zero(F.col("size_bytes"))),
         F.asc("ordinal"),
     ]
-    ranked = grouped_rank(members, ["group_id"], order, "rank", max_group_rows)
+    sizes = groups.select("group_id", F.col("n_files").alias("count"))
+    ranked = grouped_rank(members, ["group_id"], order, "rank", max_group_rows, sizes)
     action = F.when(F.col("rank") == 1, "keep").otherwise("candidate_removal")
     return ranked.withColumn("action", action).select(
         "group_id", "artist", "title", "rank", "action", "path",

@@ -88,16 +88,18 @@ def grouped_rank(
     order: Sequence[str | Column],
     name: str = "rank",
     max_group_rows: int = MAX_GROUP_ROWS,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Number the rows of each group ``1, 2, …`` in ``order`` (unique inside a group).
 
     Groups up to ``max_group_rows`` use a window. A larger group would be one task's sort,
     so such groups are spread by range over (group, order), numbered across the partitions
-    and shifted to start at one. Group sizes are counted first, with partial sums. Group
-    columns must not be null.
+    and shifted to start at one. Group sizes (``group columns, count``) are counted first,
+    with partial sums, unless the caller has them. Group columns must not be null.
     """
     group = list(group)
-    sizes = df.groupBy(*group).count()
+    if sizes is None:
+        sizes = df.groupBy(*group).count()
     large = materialize(sizes.filter(F.col("count") > max_group_rows).select(*group), "large")
     n_large = large.count()  # at most rows / max_group_rows
     window = Window.partitionBy(*group).orderBy(*order)
