@@ -54,22 +54,49 @@ def _cell(value: Column, low: float, span: float, bits: int) -> Column:
     return F.when(below, guess - 1).when(above, guess + 1).otherwise(guess)
 
 
+def _letters(first_bits: int) -> str:
+    """Alphabet indexed by the two bit runs of a letter: ``first_bits`` of one axis that
+    take its odd bits (1st, 3rd, 5th or 2nd, 4th), then the rest of the other axis."""
+    table = []
+    for index in range(32):
+        leading, trailing = index >> (5 - first_bits), index & ((1 << (5 - first_bits)) - 1)
+        runs = (f"{leading:0{first_bits}b}", f"{trailing:0{5 - first_bits}b}")
+        mixed = "".join((runs[0] if i % 2 == 0 else runs[1])[i // 2] for i in range(5))
+        table.append(BASE32[int(mixed, 2)])
+    return "".join(table)
+
+
 def geohash(lat: Column, lon: Column, precision: int = 7) -> Column:
-    """Geohash of a point as a closed expression (no loop, stays in generated code)."""
+    """Geohash of a point, exact on cell edges; null when a coordinate is missing.
+
+    Even letters take three longitude and two latitude bits, odd letters the reverse, so a
+    letter is one lookup. The one-element arrays bind a value so that it is computed once.
+    """
     total = 5 * precision
     lon_bits, lat_bits = (total + 1) // 2, total // 2
-    lon_cell = _cell(lon, -180.0, 360.0, lon_bits)
-    lat_cell = _cell(lat, -90.0, 180.0, lat_bits)
-
-    def bit(position: int) -> Column:
-        cell, bits = (lat_cell, lat_bits) if position % 2 else (lon_cell, lon_bits)
-        return F.shiftright(cell, bits - 1 - position // 2).bitwiseAND(F.lit(1))
-
-    letters = []
-    for start in range(0, total, 5):
-        value = bit(start) * 16 + bit(start + 1) * 8 + bit(start + 2) * 4 + bit(start + 3) * 2 + bit(start + 4)
-        letters.append(F.substring(F.lit(BASE32), (value + 1).cast("int"), F.lit(1)))
-    return F.concat(*letters)
+    table = F.lit(_letters(3))
+
+    def text(cells: Column) -> Column:
+        left = {"lon": lon_bits, "lat": lat_bits}
+        out = []
+        for i in range(precision):
+            three, two = ("lon", "lat") if i % 2 == 0 else ("lat", "lon")
+            left[three] -= 3
+            left[two] -= 2
+            high = F.shiftright(cells[three], left[three]).bitwiseAND(F.lit(7))
+            low = F.shiftright(cells[two], left[two]).bitwiseAND(F.lit(3))
+            out.append(F.substring(table, (high * 4 + low + 1).cast("int"), F.lit(1)))
+        return F.concat(*out)
+
+    def cells(point: Column) -> Column:
+        return F.struct(
+            _cell(point["lat"], -90.0, 180.0, lat_bits).alias("lat"),
+            _cell(point["lon"], -180.0, 360.0, lon_bits).alias("lon"),
+        )
+
+    point = F.array(F.struct(lat.alias("lat"), lon.alias("lon")))
+    coded = F.get(F.transform(F.transform(point, cells), text), F.lit(0))
+    return F.when(lat.isNotNull() & lon.isNotNull(), coded)
 
 
 def place_keys(name: Column, lat: Column, lon: Column, reference: Column, list_key: Column) -> Column:
@@ -79,7 +106,7 @@ def place_keys(name: Column, lat: Column, lon: Column, reference: Column, list_k
     by_reference = F.when(reference.isNotNull(), F.concat(F.lit("cid:"), reference))
     by_cell = F.when(has_coords, F.concat(F.lit("geo:"), norm, F.lit("|"), geohash(lat, lon)))
     by_list = F.when(
-        by_reference.isNull() & by_cell.isNull(), F.concat(F.lit("raw:"), norm, F.lit("|"), list_key)
+        reference.isNull() & ~has_coords, F.concat(F.lit("raw:"), norm, F.lit("|"), list_key)
     )
     return F.array_compact(F.array(by_reference, by_cell, by_list))
 

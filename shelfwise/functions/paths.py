@@ -60,7 +60,7 @@ def guess_artist_title(name: Column) -> Column:
     A leading part made of digits and dots is a track number. With fewer than two parts
     left the title is the whole name, number included.
     """
-    parts = F.filter(F.transform(F.split(name, " - "), F.trim), lambda p: p != "")
+    parts = F.filter(F.transform(F.split(name, " - "), lambda p: F.trim(p)), lambda p: p != "")
     numbered = F.replace(F.get(parts, F.lit(0)), F.lit("."), F.lit("")).rlike("^[0-9]+$")
     parts = F.when(
         F.coalesce(numbered, F.lit(False)), F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -178,18 +176,18 @@ def resolve_codes(nodes: DataFrame) -> DataFrame:
         F.when(F.nullif("code", F.lit("")).isNull(), F.col("parent")).alias("parent"),
     )
     state = materialize(state, "codes")
-    rounds = math.ceil(math.log2(max(state.count(), 2))) + 1
-    for _ in range(rounds):
-        open_nodes = state.filter("parent IS NOT NULL")
-        if open_nodes.isEmpty():
-            break
+    n_open, n_before = state.filter("parent IS NOT NULL").count(), None
+    # A node at a finite distance has ancestors at every smaller one, so a round that
+    # settles nothing leaves only cycles.
+    while n_open and n_open != n_before:
         target = state.select(
             F.col("id").alias("parent"), F.col("code").alias("_code"), F.col("parent").alias("_up")
         )
-        moved = open_nodes.join(target, "parent", "left").select(
+        moved = state.filter("parent IS NOT NULL").join(target, "parent", "left").select(
             "id", F.col("_code").alias("code"), F.when(F.col("_code").isNull(), F.col("_up")).alias("parent")
         )
         state = materialize(state.filter("parent IS NULL").unionByName(moved), "codes")
+        n_open, n_before = state.filter("parent IS NOT NULL").count(), n_open
     return state.select("id", F.coalesce("code", F.lit("")).alias("code"))
 
 

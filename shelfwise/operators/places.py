@@ -11,6 +11,7 @@ from shelfwise.functions.geo import geohash, join_note, place_keys
 from shelfwise.functions.text import norm_place
 from shelfwise.operators.identity import resolve_ids
 from shelfwise.operators.indexing import first_wins
+from shelfwise.session import materialize
 
 # Kinds of ids with their widths, labels of unnamed things, default status.
 PLACE_KIND, PLACE_WIDTH, LIST_KIND, LIST_WIDTH = "PLC", 6, "PLL", 4
@@ -93,7 +94,9 @@ def build_places(
     keyed = occurrences.withColumn(
         "keys", place_keys(F.col("name"), F.col("lat"), F.col("lon"), F.col("reference"), F.col("list_scope"))
     )
+    keyed = materialize(keyed, "occurrences")
     seen, new_places = resolve_ids(keyed, place_registry, PLACE_KIND, PLACE_WIDTH, place_counter)
+    seen = materialize(seen, "places")  # read by four tables
     listed, new_lists = resolve_ids(
         lists.withColumn("keys", F.array("list_key")), list_registry, LIST_KIND, LIST_WIDTH, list_counter
     )

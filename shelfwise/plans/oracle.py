@@ -218,9 +218,9 @@ VIEWS: dict[str, tuple[list[str], str]] = {
     "advice": (["outliers", "facts", "tagdf"], """
         WITH i AS (SELECT DISTINCT playlist, tags, e FROM outliers),
         sc AS (SELECT i.playlist, i.tags, i.e, f.playlist tgt,
-                 CAST(sum(df) AS BIGINT) / greatest(max(n_tagged), 1) * coalesce(1 - 0.5 * abs(i.e - max(e_mean)), 1) score
+                 CAST(sum(df) AS BIGINT) / greatest(n_tagged, 1) * coalesce(1 - 0.5::DOUBLE * abs(i.e - e_mean), 1) score
                FROM i, unnest(i.tags) u(tag) JOIN tagdf d ON d.tag = u.tag JOIN facts f ON f.playlist = d.playlist
-               WHERE NOT f.catchall AND f.playlist <> i.playlist GROUP BY ALL)
+               WHERE NOT f.catchall AND f.playlist <> i.playlist GROUP BY i.playlist, i.tags, i.e, f.playlist, n_tagged, e_mean)
         SELECT playlist, tags, e, tgt, score FROM sc WHERE score >= 0.3
         QUALIFY row_number() OVER (PARTITION BY playlist, tags, e ORDER BY score DESC, tgt) = 1"""),
     "large": (["plrows"], f"""
@@ -231,7 +231,7 @@ VIEWS: dict[str, tuple[list[str], str]] = {
         WHERE df <= 0.6::DOUBLE * n AND df >= greatest(12::DOUBLE, 0.08::DOUBLE * n) QUALIFY rank <= 8"""),
     "dest": (["plrows", "large", "cands"], """
         SELECT r.*, name, n, coalesce(d.tag, 'divers') dest FROM plrows r JOIN large USING (playlist)
-        LEFT JOIN (SELECT playlist, o1, o2, o3, o4, arg_min(c.tag, rank) tag FROM plrows p, unnest(p.tags) u(t)
+        LEFT JOIN (SELECT p.playlist, o1, o2, o3, o4, arg_min(c.tag, rank) tag FROM plrows p, unnest(p.tags) u(t)
                    JOIN cands c ON c.playlist = p.playlist AND c.tag = u.t GROUP BY p.playlist, o1, o2, o3, o4) d USING (playlist, o1, o2, o3, o4)"""),
     "detail": (["dest"], """
         WITH s AS (SELECT *, CASE WHEN count(*) OVER (PARTITION BY playlist, dest) < 12 THEN 'divers' ELSE dest END theme FROM dest),
@@ -243,7 +243,7 @@ VIEWS: dict[str, tuple[list[str], str]] = {
         SELECT '/maps/' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0') || '.kml' path, 'Map ' || c_nationkey AS map,
                lpad(CAST(c_nationkey AS VARCHAR), 2, '0') || '.kml' source_file, ascii(c_mktsegment) layer_pos,
                CASE WHEN c_mktsegment = 'BUILDING' THEN '' ELSE c_mktsegment END layer, c_custkey pos,
-               CASE WHEN c_custkey % 13 = 5 THEN '' ELSE 'Café Nº ' || {_K} END AS name,
+               CASE WHEN c_custkey % 13 = 5 THEN '' ELSE 'Café No. ' || {_K} END AS name,
                CASE WHEN c_acctbal < 0 THEN NULL ELSE 'note ' || c_custkey END description,
                CASE WHEN c_custkey % 11 = 0 THEN 'LineString' ELSE 'Point' END geometry,
                CAST({lat_text(_K)} AS DOUBLE) lat, CAST({lon_text(_K)} AS DOUBLE) lon FROM customer"""),
@@ -255,7 +255,7 @@ VIEWS: dict[str, tuple[list[str], str]] = {
                  WHEN 2 THEN 'https://maps.example.org/place/x/@' || {lat_text('k')} || ',' || {lon_text('k')} || ',17z/data=!1s0x' || k || ':0x' || (k * 7 + 1)
                  ELSE 'https://maps.example.org/s/short' END url
         FROM (SELECT '/lists/' || o_orderpriority || '.csv' path, o_orderpriority || '.csv' source_file, o_orderpriority list, o_orderkey pos, {_OK} k,
-                o_orderkey % 4 shape, 'Café Nº ' || {_OK} title, CASE WHEN o_orderkey % 3 = 0 THEN 'n' || o_orderkey END note, o_orderstatus tags,
+                o_orderkey % 4 shape, 'Café No. ' || {_OK} title, CASE WHEN o_orderkey % 3 = 0 THEN 'n' || o_orderkey END note, o_orderstatus tags,
                 CASE WHEN o_orderkey % 5 = 0 THEN 'seen' END comment FROM orders)"""),
     "occ": (["maps", "saved"], f"""
         SELECT row_number() OVER (ORDER BY src, path, part, row) o, * FROM (
@@ -296,11 +296,12 @@ VIEWS: dict[str, tuple[list[str], str]] = {
         SELECT id place_id, 'google' platform, reference external_id FROM occids WHERE reference IS NOT NULL
         QUALIFY row_number() OVER (PARTITION BY id ORDER BY o) = 1"""),
     "pagerows": ([], r"""
-        SELECT CAST(conv_id AS VARCHAR) unit, conv_id, turn page_offset, role, pos - 1 pos, line track
+        SELECT CAST(conv_id AS VARCHAR) unit, conv_id, turn page_offset, role, pos - 1 pos, CASE WHEN role = 'system' THEN '' ELSE line END track
         FROM conversations, unnest(string_split(text, chr(10))) WITH ORDINALITY u(line, pos)"""),
     "pagefacts": ([], r"""
         SELECT CAST(conv_id AS VARCHAR) unit, conv_id, turn page_offset, len(string_split(text, chr(10))) n_items,
-               CASE WHEN turn < max(turn) OVER (PARTITION BY conv_id) OR (role = 'user' AND conv_id % 9 = 8) THEN 'more' END next FROM conversations"""),
+               CASE WHEN turn < max(turn) OVER (PARTITION BY conv_id) OR (role = 'user' AND conv_id % 9 = 8) THEN 'more' END next FROM conversations
+        QUALIFY role <> 'system'"""),
     "progress": (["pagefacts"], """
         SELECT unit, conv_id, CAST(sum(n_items) AS BIGINT) AS "offset", bool_or(next IS NULL) done FROM pagefacts GROUP BY 1, 2"""),
     "recordings": (["tparts"], f"""

@@ -432,7 +432,7 @@ def split_detail(spark, folder):
     return _flat(splitting.split_detail(v.tagged_rows(spark, folder), v.playlist_names(spark, folder)))
 
 
-@register(o.sql("""SELECT playlist, name, n playlist_rows, theme, volume, sub_playlist, CAST(sum(c) AS BIGINT) tracks, CAST(sum(c) * 4 AS BIGINT) minutes,
+@register(o.sql("""SELECT playlist, name, n playlist_rows, theme, volume, sub_playlist, CAST(sum(c) AS BIGINT) tracks, CAST(sum(c) * 4 AS BIGINT) AS "minutes",
     string_agg(artist, ', ' ORDER BY r) FILTER (r <= 3) top_artists FROM (SELECT *, row_number() OVER (PARTITION BY sub_playlist, playlist ORDER BY c DESC, f) r FROM (
       SELECT playlist, name, n, theme, volume, sub_playlist, artist, count(*) c, min(position) f FROM detail GROUP BY ALL)) GROUP BY ALL""", "detail"))
 def split_plan(spark, folder):
@@ -694,11 +694,11 @@ def win_path(spark, folder):
 
 
 @register(r"""SELECT page_id, path, CASE WHEN page_id % 4 < 2 THEN 'my_maps' WHEN page_id % 4 = 2 THEN 'saved' ELSE 'other' END kind FROM (
-    SELECT page_id, regexp_replace(url, '^[a-z]+://', '/') || CASE page_id % 4 WHEN 0 THEN '.kml' WHEN 1 THEN '.KMZ' WHEN 2 THEN '.csv' ELSE '.html' END path FROM pages)""")
+    SELECT page_id, regexp_replace(url, '^[a-z]+://', '/') || '/f' || page_id || CASE page_id % 4 WHEN 0 THEN '.kml' WHEN 1 THEN '.KMZ' WHEN 2 THEN '.csv' ELSE '.html' END path FROM pages)""")
 def vault_classes(spark, folder):
     n = F.col("page_id")
     suffix = F.when(n % 4 == 0, ".kml").when(n % 4 == 1, ".KMZ").when(n % 4 == 2, ".csv").otherwise(".html")
-    path = F.concat(F.regexp_replace("url", "^[a-z]+://", "/"), suffix)
+    path = F.concat(F.regexp_replace("url", "^[a-z]+://", "/"), F.lit("/f"), n, suffix)
     return v.table(spark, folder, "pages").select("page_id", path.alias("path"), paths.file_kind(path).alias("kind"))
 
 

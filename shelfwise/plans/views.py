@@ -211,7 +211,7 @@ def _lon_text(k: Column) -> Column:
 
 
 def _place_name(k: Column) -> Column:
-    return F.concat(F.lit("Café Nº "), k.cast("string"))
+    return F.concat(F.lit("Café No. "), k.cast("string"))
 
 
 def map_rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -259,11 +259,14 @@ def saved_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """Conversation turns as landed pages: every line of the text is one item."""
+    """Conversation turns as landed pages: every line of the text is one item.
+
+    The items of system turns carry no name, so those pages cannot be read.
+    """
     turns = table(spark, folder, "conversations")
     last = turns.groupBy("conv_id").agg(F.max("turn").alias("last"))
     item = lambda line: F.struct(F.struct(
-        line.alias("name"), F.array(F.struct(F.col("role").alias("name")), F.struct(F.lit("").alias("name"))).alias("artists"),
+        F.when(F.col("role") == "system", "").otherwise(line).alias("name"), F.array(F.struct(F.col("role").alias("name")), F.struct(F.lit("").alias("name"))).alias("artists"),
         F.struct(F.lit("talk").alias("name")).alias("album"),
     ).alias("track"))
     unfinished = (F.col("turn") < F.col("last")) | ((F.col("role") == "user") & (F.col("conv_id") % 9 == 8))
