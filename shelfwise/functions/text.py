@@ -20,6 +20,9 @@ from pyspark.sql import functions as F
 FEATURING = r"(?d)\b(feat\.?|featuring|ft\.?)\b.*"
 BRACKETED = r"[\(\[][^)\]]*[\)\]]"
 NOT_ALNUM = r"[^a-z0-9]+"
+# White space other than the plain blank; runs of any of it.
+_SPACES = r"\t-\r\x1c-\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+UNEVEN_SPACE = rf"[ {_SPACES}]{{2,}}|[{_SPACES}]"
 
 _SEPARATOR = "\t"
 
@@ -56,9 +59,17 @@ def _casefold_table() -> tuple[str, str, dict[str, str]]:
     return _substitutions(str.casefold, 0x41)
 
 
-def _substitute(x: Column, table: tuple[str, str, dict[str, str]]) -> Column:
-    source, target, expand = table
-    chars = "".join(expand)
+def _bind(x: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(x)`` with ``x`` computed once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(x), lambda bound: use(bound)), F.lit(0))
+
+
+def _is_ascii(x: Column) -> Column:
+    return F.octet_length(x) == F.char_length(x)
+
+
+def _expand(x: Column, expand: dict[str, str]) -> Column:
+    """Replace the characters that become several; other rows pass after one check."""
     pairs = F.split(F.lit("\n".join(c + _SEPARATOR + t for c, t in expand.items())), "\n")
     expanded = F.aggregate(
         pairs,
@@ -67,31 +78,45 @@ def _substitute(x: Column, table: tuple[str, str, dict[str, str]]) -> Column:
             acc, F.substring_index(p, _SEPARATOR, 1), F.substring_index(p, _SEPARATOR, -1)
         ),
     )
-    x = F.when(F.translate(x, chars, "") != x, expanded).otherwise(x)
-    return F.translate(x, source, target)
-
-
-def _is_ascii(x: Column) -> Column:
-    return F.octet_length(x) == F.char_length(x)
+    return F.when(F.translate(x, "".join(expand), "") != x, expanded).otherwise(x)
 
 
 def fold_ascii(x: Column) -> Column:
     """Compatibility-decompose and keep the ASCII part; null stays null."""
-    folded = F.regexp_replace(_substitute(x, _ascii_table()), r"[^\x00-\x7F]+", "")
-    return F.when(_is_ascii(x), x).otherwise(folded)
+    source, target, expand = _ascii_table()
+
+    def finish(single: Column) -> Column:
+        rest = F.regexp_replace(_expand(single, expand), r"[^\x00-\x7F]+", "")
+        return F.when(_is_ascii(single), single).otherwise(rest)
+
+    return F.when(_is_ascii(x), x).otherwise(_bind(F.translate(x, source, target), finish))
 
 
 def fold_case(x: Column) -> Column:
     """Full Unicode case fold (``ß`` becomes ``ss``), not locale lower-casing."""
-    return F.when(_is_ascii(x), F.lower(x)).otherwise(_substitute(x, _casefold_table()))
+    source, target, expand = _casefold_table()
+    folded = _bind(F.translate(x, source, target), lambda single: _expand(single, expand))
+    return F.when(_is_ascii(x), F.lower(x)).otherwise(folded)
 
 
 def norm_key(x: Column) -> Column:
-    """Match key of an artist or title: fold, lower, cut "feat.", drop brackets, alnum only."""
-    key = F.lower(fold_ascii(F.coalesce(x, F.lit(""))))
-    for pattern in (FEATURING, BRACKETED, NOT_ALNUM):
-        key = F.regexp_replace(key, pattern, "")
-    return key
+    """Match key of an artist or title: fold, lower, cut "feat.", drop brackets, alnum only.
+
+    The two rarer patterns run only on rows that contain their letters or brackets.
+    """
+
+    def has(text: Column, *parts: str) -> Column:
+        found = [F.contains(text, F.lit(p)) for p in parts]
+        return found[0] | found[1]
+
+    def cut(text: Column) -> Column:
+        return F.when(has(text, "feat", "ft"), F.regexp_replace(text, FEATURING, "")).otherwise(text)
+
+    def drop(text: Column) -> Column:
+        return F.when(has(text, "(", "["), F.regexp_replace(text, BRACKETED, "")).otherwise(text)
+
+    folded = F.lower(fold_ascii(F.coalesce(x, F.lit(""))))
+    return F.regexp_replace(_bind(_bind(folded, cut), drop), NOT_ALNUM, "")
 
 
 def norm_place(x: Column) -> Column:
@@ -101,7 +126,7 @@ def norm_place(x: Column) -> Column:
 
 def norm_ws(x: Column) -> Column:
     """Case fold and collapse white space; the harvest caches are keyed by this."""
-    return F.trim(F.regexp_replace(fold_case(F.coalesce(x, F.lit(""))), r"(?U)[\s\x1c-\x1f]+", " "))
+    return F.trim(F.regexp_replace(fold_case(F.coalesce(x, F.lit(""))), UNEVEN_SPACE, " "))
 
 
 def track_key(artist: Column, track: Column) -> Column:

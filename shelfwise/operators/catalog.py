@@ -25,11 +25,13 @@ def _has_key() -> Column:
 
 
 def keyed_library(library: DataFrame) -> DataFrame:
-    return with_norm_key(library, na="artist", nt="track")
+    """The library with its match keys; already keyed input is taken as it is."""
+    return library if set(KEY) <= set(library.columns) else with_norm_key(library, na="artist", nt="track")
 
 
 def keyed_files(files: DataFrame) -> DataFrame:
-    return with_norm_key(files, na="artist", nt="title")
+    """The file scan with its match keys; already keyed input is taken as it is."""
+    return files if set(KEY) <= set(files.columns) else with_norm_key(files, na="artist", nt="title")
 
 
 def canonical_tracks(library: DataFrame, files: DataFrame | None = None) -> DataFrame:

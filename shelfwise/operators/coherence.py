@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.operators.indexing import top_k
+from shelfwise.session import materialize
 
 PROFILE_SIZE, MIN_ROWS, MIN_FEATURED = 12, 8, 15
 Z_THRESHOLD, MIN_STD = 2.2, 0.05
@@ -141,13 +142,14 @@ def recommend(
     up to the penalty for its energy distance; own and mixed playlists are left out, and
     the first playlist wins ties.
 
-    Scores are computed per distinct tag set. Two exact bounds keep the candidates of a
-    popular set few: the penalty only lowers a score, so a raw score under the floor is
-    out; and it lowers it by at most the observed energy range, so a raw score under that
-    fraction of the set's second best (one may be the item's own) cannot win either.
+    Scores are computed per distinct tag set, then per (tag set, energy). The two best
+    playlists of a pair suffice, since an item rules out only its own. Two exact bounds
+    keep the candidates of a popular set few. The penalty only lowers a score, so a raw
+    score under the floor is out. And means lie close together, so the penalties of two
+    playlists differ by a bounded factor: a raw score further below the set's second best
+    than that factor cannot be among the two.
     """
     keyed = items.withColumn("_set", _tagset(F.col("tags")))
-    wanted = keyed.select("_set", "playlist", "energy").distinct()
     sets = keyed.select("_set", "tags").dropDuplicates(["_set"])
     eligible = facts.filter(~F.col("catchall")).select(
         F.col("playlist").alias("_to"), F.greatest("n_tagged", F.lit(1)).alias("_n"), "e_mean", "pos"
@@ -161,38 +163,60 @@ def recommend(
         .filter(F.col("_raw") >= min_score)
         .select("_set", "_to", "_raw", "e_mean", "pos")
     )
+    raw = materialize(raw, "scores")  # read for the bound and for the scores
     second = top_k(raw, ["_set"], [F.desc("_raw"), F.asc("_to")], 2, "_k").filter("_k = 2").select(
         "_set", F.col("_raw").alias("_second")
     )
-    energies = items.select("energy").unionByName(facts.select(F.col("e_mean").alias("energy")))
-    span = energies.agg((F.max("energy") - F.min("energy")).alias("span")).scalar()
-    keep = F.greatest(F.lit(1.0) - F.lit(penalty) * F.coalesce(span, F.lit(0.0)), F.lit(0.0)) * (1 - 1e-9)
-    near = raw.join(second, "_set", "left").filter(
-        F.col("_second").isNull() | (F.col("_raw") >= keep * F.col("_second"))
+    wanted = keyed.select("_set", "energy").distinct()
+    bounds = _penalty_bounds(wanted, eligible, penalty)
+    keep = F.when(F.col("e_mean").isNull(), F.col("_keep_flat")).otherwise(F.col("_keep"))
+    near = (
+        raw.join(second, "_set", "left")
+        .withColumns({"_keep": bounds.select("keep").scalar(), "_keep_flat": bounds.select("keep_flat").scalar()})
+        .filter(F.col("_second").isNull() | (F.col("_raw") >= keep * F.col("_second")))
+        .select("_set", "_to", "_raw", "e_mean", "pos")
     )
     distance = F.abs(F.col("energy") - F.col("e_mean"))
     score = F.col("_raw") * F.coalesce(F.lit(1.0) - F.lit(penalty) * distance, F.lit(1.0))
-    best = (
-        wanted.join(near, "_set").filter(F.col("_to") != F.col("playlist"))
-        .withColumn("_score", score).filter(F.col("_score") >= min_score)
-        .groupBy("_set", "playlist", "energy")
-        .agg(F.min_by(F.struct("_to", "_score"), F.struct((-F.col("_score")).alias("s"), "pos")).alias("_best"))
-        .select(
-            F.col("_set").alias("_set2"), F.col("playlist").alias("_pl2"), F.col("energy").alias("_en2"), "_best"
-        )
-    )
+    scored = wanted.join(near, "_set").withColumn("_score", score).filter(F.col("_score") >= min_score)
+    two = top_k(scored, ["_set", "energy"], [F.desc("_score"), F.asc("pos")], 2, "_k")
+    best = two.groupBy("_set", "energy").agg(
+        F.sort_array(F.collect_list(F.struct("_k", "_to", "_score"))).alias("_two")
+    ).select(F.col("_set").alias("_set2"), F.col("energy").alias("_en2"), "_two")
     joined = keyed.join(
-        best,
-        (F.col("_set") == F.col("_set2")) & (F.col("playlist") == F.col("_pl2"))
-        & F.col("energy").eqNullSafe(F.col("_en2")),
-        "left",
+        best, (F.col("_set") == F.col("_set2")) & F.col("energy").eqNullSafe(F.col("_en2")), "left"
     )
-    return joined.select(
+    choice = F.get(F.filter("_two", lambda c: c["_to"] != F.col("playlist")), F.lit(0))
+    return joined.withColumn("_best", choice).select(
         *items.columns, F.coalesce(F.col("_best._to").cast("string"), F.lit("")).alias("recommended"),
         F.col("_best._score").alias("score"),
     )
 
 
+def _penalty_bounds(wanted: DataFrame, eligible: DataFrame, penalty: float) -> DataFrame:
+    """Least ratio of two playlists' energy factors for one item, as one row.
+
+    With means in [lo, hi] the distances of an item to two means differ by hi - lo at most,
+    and the nearer is at most ``far``. ``keep_flat`` bounds a playlist without a mean, whose
+    factor is 1. A factor that could reach zero gives no bound.
+    """
+    means = eligible.agg(F.min("e_mean").alias("lo"), F.max("e_mean").alias("hi"))
+    span = wanted.agg(F.min("energy").alias("e_lo"), F.max("energy").alias("e_hi"))
+    one = means.select(
+        "lo", "hi", span.select("e_lo").scalar().alias("e_lo"), span.select("e_hi").scalar().alias("e_hi")
+    )
+    width = F.coalesce(F.col("hi") - F.col("lo"), F.lit(0.0))
+    far = F.coalesce(F.greatest(F.col("e_hi") - F.col("hi"), F.col("lo") - F.col("e_lo"), F.lit(0.0)), F.lit(0.0))
+    nearest = F.lit(1.0) - penalty * far
+    least = nearest - penalty * width
+    usable = least > 0
+    slack = 1 - 1e-9
+    return one.select(
+        F.when(usable, least / nearest * slack).otherwise(0.0).alias("keep"),
+        F.when(usable, least * slack).otherwise(0.0).alias("keep_flat"),
+    )
+
+
 def with_catchall(facts: DataFrame, names: DataFrame) -> DataFrame:
     """Facts with the playlist's name, listing position and catch-all mark."""
     listed = names.select("playlist", "name", "pos")
@@ -205,8 +229,10 @@ def all_outliers(
 ) -> DataFrame:
     """Genre misfits (mixed playlists left out) and feature outliers, each with a better
     playlist: ``playlist, ordinal, kind, value, z, recommended, score``."""
-    facts = with_catchall(playlist_facts(rows, min_featured), names).filter(F.col("n_rows") >= min_rows)
-    kept = profiled_rows(rows, facts, min_rows)
+    facts = materialize(
+        with_catchall(playlist_facts(rows, min_featured), names).filter(F.col("n_rows") >= min_rows), "facts"
+    )
+    kept = materialize(profiled_rows(rows, facts, min_rows), "profiled")  # read by four steps
     frequency = tag_frequency(kept)
     off_genre = (
         misfits(kept, profile_tags(frequency, profile_size))

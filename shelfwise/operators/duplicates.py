@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.numbers import number_or_zero
 from shelfwise.functions.paths import contains_any, win_path
-from shelfwise.functions.text import is_strong_dedup_key, is_weak_tag, with_norm_key
+from shelfwise.functions.text import is_strong_dedup_key, is_weak_tag
+from shelfwise.operators.catalog import keyed_files
 from shelfwise.operators.indexing import MAX_GROUP_ROWS, global_index, grouped_rank
+from shelfwise.session import materialize
 
 KEY = ["na", "nt"]
 # Path parts whose files are not fingerprint targets.
@@ -17,8 +19,7 @@ EXCLUDED_PARTS = ("_a_trier", "/radio/", "/downloads/")
 
 def dedup_candidates(files: DataFrame) -> DataFrame:
     """Files whose key is strong enough to compare, with ``na`` and ``nt`` added."""
-    keyed = with_norm_key(files, na="artist", nt="title")
-    return keyed.filter(is_strong_dedup_key(F.col("na"), F.col("nt")))
+    return keyed_files(files).filter(is_strong_dedup_key(F.col("na"), F.col("nt")))
 
 
 def duplicate_groups(files: DataFrame) -> DataFrame:
@@ -35,8 +36,9 @@ def rank_duplicates(files: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> D
 
     Quality is bit rate, then size (unreadable numbers count as 0), then input order.
     """
-    groups = duplicate_groups(files)
-    members = dedup_candidates(files).join(groups, KEY)
+    candidates = materialize(dedup_candidates(files), "candidates")  # keys are computed once
+    groups = duplicate_groups(candidates)
+    members = candidates.join(groups, KEY)
     order = [
         F.desc(number_or_zero(F.col("bitrate_kbps"))),
         F.desc(number_or_zero(F.col("size_bytes"))),
@@ -60,7 +62,7 @@ def quarantine_paths(ranked: DataFrame) -> DataFrame:
 
 def duplicate_stats(files: DataFrame) -> DataFrame:
     """Files loaded, files skipped for a weak key, duplicate groups and files in them."""
-    keyed = with_norm_key(files, na="artist", nt="title").withColumn(
+    keyed = keyed_files(files).withColumn(
         "strong", is_strong_dedup_key(F.col("na"), F.col("nt"))
     )
     # Weak files need no key: blanking it keeps them from forming one large group.

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shelfwise.functions.numbers import round_even
 from shelfwise.operators.coherence import tag_frequency
 from shelfwise.operators.indexing import MAX_GROUP_ROWS, grouped_rank, top_k
+from shelfwise.session import materialize
 
 MIN_PLAYLIST, VOLUME, MIN_GROUP, MINUTES_PER_TRACK = 120, 37, 12, 4
 MAX_SHARE, MIN_SHARE, CANDIDATES = 0.6, 0.08, 8
@@ -70,7 +71,9 @@ def split_detail(
     a volume number in their name.
     """
     large = large_playlists(rows, names, min_rows)
-    themed = assign_groups(rows, large, candidate_tags(rows, large, min_group), min_group)
+    themed = materialize(
+        assign_groups(rows, large, candidate_tags(rows, large, min_group), min_group), "themed"
+    )
     sizes = themed.groupBy("playlist", "theme").count()
     ranked = grouped_rank(
         themed, ["playlist", "theme"], [F.asc_nulls_last("energy"), F.asc("ordinal")], "_pos",

@@ -149,7 +149,9 @@ class _Built(NamedTuple):
 
 
 def _build(spark: SparkSession, folder: str) -> _Built:
-    library, scan = v.library(spark, folder), v.local_files(spark, folder)
+    # The match keys are read by several tables, so both inputs are keyed once.
+    library = materialize(catalog.keyed_library(v.library(spark, folder)), "library")
+    scan = materialize(catalog.keyed_files(v.local_files(spark, folder)), "scan")
     tracks = catalog.canonical_tracks(library, scan)
     playlists = catalog.playlists_table(library, v.profiles(spark, folder))
     return _Built(

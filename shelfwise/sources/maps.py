@@ -82,7 +82,8 @@ def _text(x: Column) -> Column:
 def unreadable_maps(spark: SparkSession, folder: str) -> DataFrame:
     """Map files that could not be parsed, for the quarantine report."""
     listed = classify_files(spark, folder).filter("kind = 'my_maps'").select("path")
-    readable = _documents(spark, folder).filter("kml IS NOT NULL AND kml._corrupt_record IS NULL")
+    # Written out first: a raw file scan may not be asked for its corrupt records alone.
+    readable = materialize(_documents(spark, folder), "documents").filter("kml IS NOT NULL AND kml._corrupt_record IS NULL")
     return listed.join(readable.select("path"), "path", "left_anti")
 
 
@@ -132,11 +133,11 @@ def _data_type() -> T.DataType:
 def list_header(columns: Column) -> Column:
     """Position of each wanted column in a header row; of two matches the last wins."""
     clean = F.transform(columns, lambda c: F.lower(F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), "﻿", ""))))
-    positions = {}
-    for field, names in LIST_HEADERS.items():
-        hits = F.transform(clean, lambda c, i, names=names: F.when(c.isin(*names), i))
-        positions[field] = F.array_max(hits)
-    return F.struct(*[p.alias(f) for f, p in positions.items()])
+
+    def position(names: tuple[str, ...]) -> Column:
+        return F.array_max(F.transform(clean, lambda c, i: F.when(c.isin(*names), i)))
+
+    return F.struct(*[position(names).alias(field) for field, names in LIST_HEADERS.items()])
 
 
 def read_saved_lists(spark: SparkSession, folder: str) -> DataFrame:
