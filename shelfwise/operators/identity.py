@@ -67,7 +67,7 @@ def resolve_ids(
             "key", "first", F.col("key").alias("parent"), F.lit(True).alias("is_root")
         )
     )
-    roots = materialize(_jump(state), "roots")
+    roots = _jump(state)
 
     new_roots = roots.filter(F.col("key") == F.col("root")).join(
         first.filter("_known IS NULL").select("key"), "key", "left_semi"
@@ -108,6 +108,20 @@ def _jump(state: DataFrame) -> DataFrame:
     return state.select("key", "first", F.col("parent").alias("root"))
 
 
+def resolve_single_ids(
+    occurrences: DataFrame, key: str, registry: DataFrame, kind: str, width: int, counter: int = 0, prefix: str = "P6"
+) -> tuple[DataFrame, DataFrame]:
+    """As ``resolve_ids`` for occurrences with one key each: no aliases, so no rounds."""
+    first = occurrences.groupBy(F.col(key).alias("key")).agg(F.min("ordinal").alias("first"))
+    fresh = first.join(registry.select("key"), "key", "left_anti")
+    new_id = F.format_string(f"{prefix}-{kind}-%0{width}d", F.col("_n"))
+    added = global_index(fresh, ["first"], "_n", start=counter + 1).select(
+        "key", new_id.alias("id"), F.lit(True).alias("is_new")
+    )
+    ids = added.select(F.col("key").alias(key), "id").unionByName(registry.select(F.col("key").alias(key), "id"))
+    return occurrences.join(ids, key), added
+
+
 def registry_conflicts(occurrences: DataFrame, registry: DataFrame) -> DataFrame:
     """Pairs of keys seen together that hold different ids (reported, never merged)."""
     pairs = _first_seen(occurrences).filter("k2 IS NOT NULL")

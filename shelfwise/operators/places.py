@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.geo import geohash, join_note, place_keys
 from shelfwise.functions.text import norm_place
-from shelfwise.operators.identity import resolve_ids
+from shelfwise.operators.identity import resolve_ids, resolve_single_ids
 from shelfwise.operators.indexing import first_wins
 from shelfwise.session import materialize
 
@@ -97,8 +97,8 @@ def build_places(
     keyed = materialize(keyed, "occurrences")
     seen, new_places = resolve_ids(keyed, place_registry, PLACE_KIND, PLACE_WIDTH, place_counter)
     seen = materialize(seen, "places")  # read by four tables
-    listed, new_lists = resolve_ids(
-        lists.withColumn("keys", F.array("list_key")), list_registry, LIST_KIND, LIST_WIDTH, list_counter
+    listed, new_lists = resolve_single_ids(
+        lists, "list_key", list_registry, LIST_KIND, LIST_WIDTH, list_counter
     )
 
     attributes = ["name", "lat", "lon", "description", "url", "origin", "source_file", "extra"]

@@ -44,6 +44,10 @@ def _flat(df: DataFrame) -> DataFrame:
     return df.select(*[c for c in df.columns if c != "ordinal"], *v.flat_ordinal())
 
 
+def _text_times(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: v.text_time(F.col(c)) for c in columns})
+
+
 def _r4(x: Column) -> Column:
     return numbers.round_even(x, 4)
 
@@ -62,12 +66,12 @@ _ALBUMS = """SELECT artist, album, count(*) plays, CAST(sum(ms_played) AS BIGINT
 
 @register(o.sql(_ALBUMS, "plays"))
 def album_ranking(spark, folder):
-    return history.album_ranking(v.history(spark, folder))
+    return _text_times(history.album_ranking(v.history(spark, folder)), "first_played", "last_played")
 
 
 @register(o.sql(_ALBUMS + " ORDER BY hours_played DESC, artist, album LIMIT 30", "plays"))
 def album_top30(spark, folder):
-    return history.top_by_hours(history.album_ranking(v.history(spark, folder)))
+    return _text_times(history.top_by_hours(history.album_ranking(v.history(spark, folder))), "first_played", "last_played")
 
 
 @register(o.sql("""SELECT artist, count(*) plays, CAST(sum(ms_played) AS BIGINT) / 3600000.0 hours_played, count(DISTINCT album) distinct_albums
@@ -78,7 +82,7 @@ def artist_ranking(spark, folder):
 
 @register(o.sql("SELECT count(*) plays, min(ts) first_ts, max(ts) last_ts FROM plays", "plays"))
 def history_span(spark, folder):
-    return history.history_span(v.history(spark, folder))
+    return _text_times(history.history_span(v.history(spark, folder)), "first_ts", "last_ts")
 
 
 # --- text keys -------------------------------------------------------------------------
@@ -500,6 +504,31 @@ def retag_counts(spark, folder):
     return matching.retag_counts(_plan(spark, folder))
 
 
+@register("SELECT '/x/' || o_orderkey || '.mp3' path, 'missing' status FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")
+def missing_files(spark, folder):
+    path = lambda key: F.concat(F.lit("/x/"), F.col(key), F.lit(".mp3")).alias("path")
+    listing = v.table(spark, folder, "lineitem").select("l_orderkey").distinct().select(path("l_orderkey"))
+    return matching.missing_files(v.table(spark, folder, "orders").select(path("o_orderkey")), listing)
+
+
+@register("""WITH RECURSIVE c AS (SELECT lower(c_name) norm, c_name artist, c_custkey % 41 + 60 score, CASE WHEN c_custkey % 2 = 0 THEN 'N' || c_nationkey ELSE '' END country,
+      c_mktsegment area, c_nationkey FROM customer),
+    n AS (SELECT n_nationkey, CASE WHEN n_nationkey = 7 THEN 'N7' WHEN n_nationkey IN (23, 24) THEN '' ELSE r_name[1:2] END code FROM nation JOIN region ON r_regionkey = n_regionkey)
+    SELECT norm, artist, score, CASE WHEN score < 85 THEN '' ELSE area END area, CASE WHEN score < 85 THEN '' WHEN country <> '' THEN country ELSE code END country
+    FROM c JOIN n ON n_nationkey = c_nationkey""")
+def country_harvest(spark, folder):
+    """Artist searches with a confidence gate; missing countries come from climbing areas."""
+    nation = F.concat(F.lit("N"), F.col("c_nationkey"))
+    hit = F.struct(
+        (F.col("c_custkey") % 41 + 60).alias("score"), F.when(F.col("c_custkey") % 2 == 0, nation).otherwise("").alias("country"),
+        F.struct(nation.alias("id"), F.col("c_mktsegment").alias("name")).alias("area"),
+    )
+    raw = v.table(spark, folder, "customer").select(
+        F.lower("c_name").alias("norm"), F.col("c_name").alias("artist"), F.to_json(F.struct(F.array(hit).alias("artists"))).alias("body")
+    )
+    return bodies.with_area_country(bodies.parse_countries(raw), matching.resolve_codes(v.area_nodes(spark, folder)))
+
+
 @register("SELECT o_orderkey // 50 batch, o_orderkey % 50 pos, o_custkey requested, o_totalprice result FROM orders")
 def batch_zip(spark, folder):
     orders = v.table(spark, folder, "orders").withColumns({"batch": F.expr("o_orderkey div 50"), "pos": F.expr("o_orderkey % 50")})
@@ -540,6 +569,12 @@ def export_progress(spark, folder):
     return bookkeeping.export_progress(facts.withColumn("total", F.col("n_items")), bookkeeping.unit_progress(facts))
 
 
+@register(o.sql("SELECT playlist, artist, track, album FROM library UNION ALL SELECT 'Liked Songs', artist, track, album FROM tparts", "library", "tparts"))
+def snapshot_rows(spark, folder):
+    columns = ["playlist", "artist", "track", "album"]
+    return bookkeeping.snapshot_rows(v.library(spark, folder).select(*columns), v.titled_parts(spark, folder).select(*columns[1:]))
+
+
 def _units(spark: SparkSession, folder: str) -> DataFrame:
     """Customers as listed playlists, with a JSON listing body per nation."""
     orders = v.table(spark, folder, "orders").groupBy("o_custkey").agg(F.count("*").alias("n"))

@@ -26,7 +26,7 @@ def text_time(ts: Column) -> Column:
 def history(spark: SparkSession, folder: str) -> DataFrame:
     """``events`` as plays: user as artist, type as album, property as track."""
     return table(spark, folder, "events").select(
-        text_time(F.col("ts")).alias("ts"), F.round(F.col("value") * 1000).cast("bigint").alias("ms_played"),
+        "ts", F.round(F.col("value") * 1000).cast("bigint").alias("ms_played"),
         F.concat(F.lit("user "), F.col("user_id")).alias("artist"), F.col("event_type").alias("album"),
         F.get_json_object("props", "$.k").alias("track"),
     )

@@ -46,7 +46,9 @@ def write_report(df: DataFrame, path: str, order: list | None = None, single_fil
     out = df.orderBy(*order) if order else df
     if single_file:
         out = out.coalesce(1)
-    out.write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
+    out.write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", "").option(
+        "timestampFormat", "yyyy-MM-dd'T'HH:mm:ss'Z'"
+    ).csv(path)
 
 
 def write_paths(df: DataFrame, path: str, column: str = "win_path") -> None:

@@ -36,7 +36,7 @@ def read_history(spark: SparkSession, folder: str, glob: str = "Streaming_Histor
         .option("pathGlobFilter", glob).json(folder)
     )
     return raw.select(
-        "ts", "ms_played", F.col("master_metadata_album_artist_name").alias("artist"),
+        F.col("ts").try_cast("timestamp").alias("ts"), "ms_played", F.col("master_metadata_album_artist_name").alias("artist"),
         F.col("master_metadata_album_album_name").alias("album"),
         F.col("master_metadata_track_name").alias("track"),
     )

@@ -22,7 +22,10 @@ def test_history_report(spark, tmp_path):
         play("2024-03-01T00:00:00Z", 60000, "A", None, "x"), play("2024-03-01T00:00:00Z", 60000, None, "L", "x"),
     ]))
     (tmp_path / "in" / "other.json").write_text("[1]")
-    assert tuple(jobs.report_history(spark, str(tmp_path / "in"), str(tmp_path / "out")).first()) == (3, "2024-01-01T00:00:00Z", "2024-03-01T00:00:00Z")
+    span = jobs.report_history(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert tuple(span.select("plays", F.col("first_ts").cast("string"), F.col("last_ts").cast("string")).first()) == (
+        3, "2024-01-01 00:00:00", "2024-03-01 00:00:00"
+    )
     albums = spark.read.option("header", True).csv(str(tmp_path / "out" / "albums_ranked")).collect()
     assert [(r["plays"], r["distinct_tracks"], r["first_played"]) for r in albums] == [("2", "2", "2024-01-01T00:00:00Z")]
 
