@@ -6,10 +6,30 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from shelfwise.operators.coherence import least_coherent
 from shelfwise.plans import jobs
+from shelfwise.session import tune
 from shelfwise.sources.files import path_exists, read_csv_strings
 
 
+_OPTIONAL = {"scan", "profiles", "analysis", "source", "state", "tags", "primary", "secondary", "countries"}
+_CACHED = ("library", "tags", "primary", "secondary", "countries")
+
+
+def _library_command(spark: SparkSession, args: argparse.Namespace):
+    """Commands that read the library CSV and the harvest caches."""
+    library = read_csv_strings(spark, args.library)
+    tags, primary, secondary, countries = (jobs.load_cache(spark, n, getattr(args, n)) for n in _CACHED[1:])
+    if args.command == "analyse":
+        return jobs.build_analysis(library, tags, primary, secondary, countries, args.out)
+    if args.command == "progress":
+        return jobs.harvest_coverage(library, tags, primary, countries)
+    rows, names = jobs.tagged_library(library, tags, primary, secondary), jobs.playlist_names(library)
+    if args.command == "coherence":
+        return least_coherent(jobs.report_coherence(rows, names, args.out))
+    return jobs.report_split(rows, names, args.out)
+
+
 def main() -> None:
     parser = argparse.ArgumentParser(prog="shelfwise", description=__doc__)
     commands = parser.add_subparsers(dest="command", required=True)
@@ -17,16 +37,20 @@ def main() -> None:
     def command(name: str, *arguments: str, flags: tuple[str, ...] = ()) -> None:
         sub = commands.add_parser(name)
         for argument in arguments:
-            sub.add_argument(f"--{argument}", required=argument not in _OPTIONAL)
+            optional = argument in _OPTIONAL or (name == "music-build" and argument == "library")
+            sub.add_argument(f"--{argument}", required=not optional)
         for flag in flags:
             sub.add_argument(f"--{flag}", action="store_true")
 
-    _OPTIONAL = {"library", "scan", "profiles", "analysis", "source", "state"}
     command("music-build", "library", "scan", "profiles", "analysis", "out", flags=("stats",))
     command("places-build", "source", "out", "state", flags=("stats", "backfill"))
     command("places-inventory", "data")
     command("history", "exports", "out")
     command("dedup", "csv", "out")
+    command("retag", "fingerprints", "csv", "out")
+    for name in ("analyse", "coherence", "split"):
+        command(name, *_CACHED, "out")
+    command("progress", *_CACHED)
     args = parser.parse_args()
     spark = SparkSession.builder.appName(f"shelfwise {args.command}").getOrCreate()
 
@@ -50,6 +74,11 @@ def main() -> None:
         return
     elif args.command == "history":
         result = jobs.report_history(spark, args.exports, args.out)
+    elif args.command == "retag":
+        cache = jobs.load_cache(spark, "fingerprints", args.fingerprints)
+        result = jobs.report_retag(cache, read_csv_strings(spark, args.csv), args.out)
+    elif args.command in ("analyse", "coherence", "split", "progress"):
+        result = _library_command(tune(spark), args)
     else:
         result = jobs.report_duplicates(spark, args.csv, args.out)
     result.show(truncate=False, vertical=True)

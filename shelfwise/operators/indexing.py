@@ -50,12 +50,11 @@ def global_index(
     offsets table has one row per partition, whatever the data size. The written copy is
     needed because range bounds are sampled: they may differ from one run to the next.
     """
-    spark = df.sparkSession
     keys = [F.col(o) if isinstance(o, str) else o for o in order]
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Without a fixed number AQE may merge small partitions.
+    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
     placed = (
-        df.repartitionByRange(n, *keys)
-        .sortWithinPartitions(*keys)
+        ranged.sortWithinPartitions(*keys)
         .withColumn("_place", F.monotonically_increasing_id())
     )
     fixed = materialize(placed, "index")

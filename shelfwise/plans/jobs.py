@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.operators import catalog, coherence, duplicates, enrich, history, places, splitting
+from shelfwise.functions.text import track_key
+from shelfwise.operators import catalog, coherence, duplicates, enrich, harvest, history, matching, places, splitting
 from shelfwise.session import materialize, tune
-from shelfwise.sinks.tables import append_registry, next_counter, publish_all, write_paths, write_report
+from shelfwise.sinks.tables import append_registry, next_counter, publish, publish_all, write_paths, write_report
 from shelfwise.sources import files as file_sources
 from shelfwise.sources import maps as map_sources
 
@@ -146,8 +147,6 @@ def tagged_library(
     library: DataFrame, tags: DataFrame, primary: DataFrame, secondary: DataFrame | None = None
 ) -> DataFrame:
     """Library rows with profile tags and features: the input of coherence and splitting."""
-    from shelfwise.functions.text import track_key
-
     keyed = library.withColumn("track_key", track_key(F.col("artist"), F.col("track")))
     joined = enrich.with_features(keyed, primary, secondary).join(enrich.track_tags(library, tags), "artist", "left")
     return joined.select(
@@ -175,3 +174,80 @@ def report_split(rows: DataFrame, names: DataFrame, out: str) -> DataFrame:
     write_report(detail.select("name", "sub_playlist", "artist", "track", "album", "energy"), f"{out}/monoliths_detail")
     write_report(plan, f"{out}/monoliths_plan")
     return plan
+
+
+def playlist_names(library: DataFrame) -> DataFrame:
+    """Playlists with their name and listing position: ``playlist, name, pos``."""
+    return library.groupBy("playlist").agg(F.min("ordinal").alias("pos")).withColumn("name", F.col("playlist"))
+
+
+def build_analysis(
+    library: DataFrame, tags: DataFrame, primary: DataFrame, secondary: DataFrame, countries: DataFrame, out: str
+) -> DataFrame:
+    """Rewrite the analysis table as a whole; returns its coverage."""
+    publish(enrich.analysis_table(library, tags, primary, secondary, countries), f"{out}/analysis")
+    return enrich.build_coverage(library.sparkSession.read.parquet(f"{out}/analysis"))
+
+
+def report_retag(results: DataFrame, scan: DataFrame, out: str) -> DataFrame:
+    """Write the retag plan of a fingerprint cache; returns the counts per outcome."""
+    plan = materialize(matching.retag_plan(results, scan), "retag")
+    write_report(plan, f"{out}/retag_plan")
+    return matching.retag_counts(plan)
+
+
+def report_playlists(rows: DataFrame, liked: DataFrame, out: str) -> DataFrame:
+    """Write playlist rows and tracks found in several playlists; returns the counts.
+
+    ``rows``: playlist, name, track_id, artist, track, ordinal; ``liked``: track_id.
+    """
+    write_report(rows.drop("ordinal"), f"{out}/playlists_tracks")
+    duplicate = materialize(harvest.duplicate_names(rows), "duplicates")
+    write_report(duplicate, f"{out}/duplicate_tracks", ["track_id"])
+    return duplicate.agg(F.count("*").alias("duplicates")).select(
+        "*", harvest.orphan_ids(liked, rows).agg(F.count("*").alias("n")).scalar().alias("orphans")
+    )
+
+
+# Entry types of the harvest caches, each a JSON map from its key.
+CACHES = {
+    "tags": ("norm", "artist string, tags array<struct<name:string,count:bigint>>, error string"),
+    "primary": (
+        "track_key",
+        "found boolean, bpm double, energy double, valence double, danceability double, acousticness double, "
+        "instrumentalness double, duration_ms bigint, camelot string, mood string",
+    ),
+    "secondary": (
+        "track_key",
+        "found boolean, energy double, valence double, danceability double, tempo double, acousticness double, "
+        "instrumentalness double",
+    ),
+    "countries": ("norm", "artist string, country string, area string, score bigint"),
+    "fingerprints": (
+        "path", "status string, score double, artist string, title string, album string, mbid string, detail string",
+    ),
+}
+
+
+def load_cache(spark: SparkSession, name: str, path: str | None) -> DataFrame:
+    """One harvest cache as a keyed table: a JSON map, or Parquet; empty while absent."""
+    key, schema = CACHES[name]
+    columns = f"{key} string, {schema}"
+    if not path or not file_sources.path_exists(spark, path):
+        return spark.createDataFrame([], columns)
+    if path.endswith(".json"):
+        return file_sources.import_json_cache(spark, path, schema, key)
+    return spark.read.schema(columns).parquet(path)
+
+
+def harvest_coverage(
+    library: DataFrame, tags: DataFrame, primary: DataFrame, countries: DataFrame
+) -> DataFrame:
+    """State of the three harvests against what the library needs."""
+    artists = enrich.artist_names(library)
+    tracks = library.select(track_key(F.col("artist"), F.col("track")).alias("track_key"))
+    return (
+        harvest.coverage(artists, tags, "norm", "tags", "size(tags) > 0")
+        .unionByName(harvest.coverage(tracks, primary, "track_key", "features", "found"))
+        .unionByName(harvest.coverage(artists, countries, "norm", "country", "country <> ''"))
+    )

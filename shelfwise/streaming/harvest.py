@@ -80,6 +80,7 @@ def _emit_gains(
     key: tuple[str], batches: Iterator[pd.DataFrame], state: GroupState
 ) -> Iterator[pd.DataFrame]:
     (shown,) = state.get if state.exists else (None,)
+    # One small row per run of the stream, so a micro-batch holds few of them.
     snapshots = pd.concat(list(batches)).sort_values("run")
     out = []
     for run, pct in zip(snapshots["run"], snapshots["pct"]):
