@@ -51,10 +51,11 @@ def global_index(
     needed because range bounds are sampled: they may differ from one run to the next.
     """
     keys = [F.col(o) if isinstance(o, str) else o for o in order]
-    # Without a fixed number AQE may merge small partitions.
-    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
+    # The session's number of shuffle partitions is what sizes a partition.
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = (
-        ranged.sortWithinPartitions(*keys)
+        df.repartitionByRange(n, *keys)
+        .sortWithinPartitions(*keys)
         .withColumn("_place", F.monotonically_increasing_id())
     )
     fixed = materialize(placed, "index")
