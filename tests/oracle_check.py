@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 
@@ -15,7 +16,9 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for name in TABLES:
-        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
+        path = f"{folder}/{name}.parquet"
+        files = f"{path}/*.parquet" if os.path.isdir(path) else path
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{files}'")
     return con
 
 
@@ -54,7 +57,7 @@ def compare(spark, con, name, run, sql, folder) -> str | None:
 
 
 if __name__ == "__main__":
-    sys.path.insert(0, "/root/repo")
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     from __spark_entry__ import oracle_sql, queries
     from shelfwise import local_session
 
