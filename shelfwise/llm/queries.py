@@ -8,6 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfwise.llm.exact_dedup import exact_groups
+from shelfwise.llm.ngram_join import jaccard_components
 
 
 class Query(NamedTuple):
@@ -41,3 +42,22 @@ LOWER_TEXT = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcde
 """)
 def exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_groups(table(spark, folder, "documents"))
+
+
+@_register("op3_ngram_jaccard_join", f"""
+    WITH RECURSIVE
+    w AS MATERIALIZED (SELECT doc_id, regexp_extract_all({LOWER_TEXT}, '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+    s AS MATERIALIZED (
+        SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS g
+        FROM (SELECT doc_id, ws, unnest(generate_series(1, greatest(1, len(ws) - 4))) AS i FROM w WHERE len(ws) > 0)),
+    n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    links AS MATERIALIZED (
+        SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id
+                          GROUP BY ALL) JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
+        WHERE 100 * c >= 80 * (p.n + q.n - c)),
+    reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+    SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, (SELECT min(b) FROM reach WHERE reach.a = w.doc_id) AS component_id
+    FROM w LEFT JOIN n ON n.doc_id = w.doc_id
+""")
+def ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_components(table(spark, folder, "documents"))
