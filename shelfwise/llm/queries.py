@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfwise.llm.exact_dedup import exact_groups
 from shelfwise.llm.ngram_join import jaccard_components
+from shelfwise.llm.substring_dedup import without_repeats
 
 
 class Query(NamedTuple):
@@ -32,6 +33,7 @@ def _register(name: str, sql: str | None = None):
 
 
 LOWER_TEXT = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+WORD = r"[^\x20\x09-\x0D]+"
 
 
 @_register("op10_exact_dedup", f"""
@@ -46,7 +48,7 @@ def exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 @_register("op3_ngram_jaccard_join", f"""
     WITH RECURSIVE
-    w AS MATERIALIZED (SELECT doc_id, regexp_extract_all({LOWER_TEXT}, '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+    w AS MATERIALIZED (SELECT doc_id, regexp_extract_all({LOWER_TEXT}, '{WORD}') AS ws FROM documents),
     s AS MATERIALIZED (
         SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS g
         FROM (SELECT doc_id, ws, unnest(generate_series(1, greatest(1, len(ws) - 4))) AS i FROM w WHERE len(ws) > 0)),
@@ -61,3 +63,19 @@ def exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 """)
 def ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(table(spark, folder, "documents"))
+
+
+@_register("op2_substring_dedup", f"""
+    WITH w AS MATERIALIZED (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS ws FROM documents),
+    windows AS (
+        SELECT doc_id, i, sha256(array_to_string(ws[i:i + 34], ' ')) AS h
+        FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 34)) AS i FROM w WHERE len(ws) >= 35)),
+    repeats AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY h) AS n FROM windows) WHERE n > 1),
+    gone AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 34)) AS i FROM repeats),
+    words AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM w WHERE len(ws) > 0),
+    kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS t FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+    SELECT w.doc_id, len(ws)::BIGINT AS n_words, len(ws) - coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+    FROM w LEFT JOIN kept ON kept.doc_id = w.doc_id
+""")
+def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return without_repeats(table(spark, folder, "documents"), digest=True)
