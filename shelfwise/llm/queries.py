@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import NamedTuple
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from shelfwise.llm.bpe import decoded, encode_texts, ids_text
 from shelfwise.llm.exact_dedup import exact_groups
 from shelfwise.llm.ngram_join import jaccard_components
 from shelfwise.llm.substring_dedup import without_repeats
@@ -79,3 +82,18 @@ def ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 """)
 def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return without_repeats(table(spark, folder, "documents"), digest=True)
+
+
+def bpe_file() -> str:
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@_register("op5_bpe_encoding")
+def bpe_encoding(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every whole text by forced-boundary splitting, and the text decoded from them again."""
+    ids = encode_texts(table(spark, folder, "documents").select("doc_id", "text"), bpe_file())
+    return ids.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(ids_text("ids").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(decoded("ids", bpe_file()).cast("binary"), 256).alias("decoded_sha256"),
+    )
