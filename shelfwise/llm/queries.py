@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from shelfwise.llm.bpe import decoded, encode_texts, ids_text
 from shelfwise.llm.exact_dedup import exact_groups
 from shelfwise.llm.ngram_join import jaccard_components
+from shelfwise.llm.packing import pack_documents
 from shelfwise.llm.substring_dedup import without_repeats
 
 
@@ -97,3 +98,9 @@ def bpe_encoding(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(ids_text("ids").cast("binary"), 256).alias("ids_sha256"),
         F.sha2(decoded("ids", bpe_file()).cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@_register("op7_nnls_packing")
+def nnls_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's pieces with their places in sequences of 1024 tokens."""
+    return pack_documents(table(spark, folder, "documents"), bpe_file())
