@@ -13,6 +13,7 @@ from shelfwise.llm.bpe import decoded, encode_texts, ids_text
 from shelfwise.llm.exact_dedup import exact_groups
 from shelfwise.llm.ngram_join import jaccard_components
 from shelfwise.llm.packing import pack_documents
+from shelfwise.llm.sharding import shard_documents
 from shelfwise.llm.substring_dedup import without_repeats
 
 
@@ -104,3 +105,9 @@ def bpe_encoding(spark: SparkSession, folder: str) -> DataFrame:
 def nnls_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's pieces with their places in sequences of 1024 tokens."""
     return pack_documents(table(spark, folder, "documents"), bpe_file())
+
+
+@_register("op8_vector_sharding")
+def vector_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in eight shards of nearly equal bytes, tokens and rows."""
+    return shard_documents(table(spark, folder, "documents"))
