@@ -15,6 +15,7 @@ from shelfwise.llm.ngram_join import jaccard_components
 from shelfwise.llm.packing import pack_documents
 from shelfwise.llm.sharding import shard_documents
 from shelfwise.llm.substring_dedup import without_repeats
+from shelfwise.llm.warc import round_trip
 
 
 class Query(NamedTuple):
@@ -111,3 +112,16 @@ def nnls_packing(spark: SparkSession, folder: str) -> DataFrame:
 def vector_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in eight shards of nearly equal bytes, tokens and rows."""
     return shard_documents(table(spark, folder, "documents"))
+
+
+@_register("op1_warc_dictionary", """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+    f AS (SELECT *, strlen(html) AS payload_bytes, max(page_id) OVER (PARTITION BY html) AS first FROM p),
+    r AS (SELECT *, CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM first THEN first END AS refers_to FROM f)
+    SELECT page_id, payload_bytes, sha1(html) AS payload_digest,
+           CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to
+    FROM r
+""")
+def warc_dictionary(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page written to dictionary-compressed archives and read back."""
+    return round_trip(table(spark, folder, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
