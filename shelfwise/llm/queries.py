@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm.bpe import decoded, encode_texts, ids_text
 from shelfwise.llm.exact_dedup import exact_groups
+from shelfwise.llm.lang_id import fit, held_out, identify
 from shelfwise.llm.ngram_join import jaccard_components
 from shelfwise.llm.packing import pack_documents
 from shelfwise.llm.sharding import shard_documents
@@ -125,3 +126,11 @@ def vector_sharding(spark: SparkSession, folder: str) -> DataFrame:
 def warc_dictionary(spark: SparkSession, folder: str) -> DataFrame:
     """Every page written to dictionary-compressed archives and read back."""
     return round_trip(table(spark, folder, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@_register("op9_language_id")
+def language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Languages of all documents, learned from four fifths of them."""
+    docs = table(spark, folder, "documents")
+    model = fit(docs.filter(~held_out()))
+    return identify(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
