@@ -14,6 +14,7 @@ from shelfwise.llm.exact_dedup import exact_groups
 from shelfwise.llm.lang_id import fit, held_out, identify
 from shelfwise.llm.ngram_join import jaccard_components
 from shelfwise.llm.packing import pack_documents
+from shelfwise.llm.pii import with_surrogates
 from shelfwise.llm.sharding import shard_documents
 from shelfwise.llm.substring_dedup import without_repeats
 from shelfwise.llm.warc import round_trip
@@ -134,3 +135,14 @@ def language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = fit(docs.filter(~held_out()))
     return identify(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+#: A deployment passes its own secret; the queries use this one, so that their results repeat.
+SURROGATE_KEY = "surrogates of the registered queries"
+
+
+@_register("op4_pii_surrogates")
+def pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents with surrogates for the personal data in them."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return with_surrogates(docs, SURROGATE_KEY).select("doc_id", "text", F.size("entities").cast("long").alias("n_entities"), "entities")
