@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise.llm.block_search import exact_top_k
 from shelfwise.llm.bpe import decoded, encode_texts, ids_text
 from shelfwise.llm.exact_dedup import exact_groups
 from shelfwise.llm.lang_id import fit, held_out, identify
@@ -146,3 +147,17 @@ def pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
     """All documents with surrogates for the personal data in them."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return with_surrogates(docs, SURROGATE_KEY).select("doc_id", "text", F.size("entities").cast("long").alias("n_entities"), "entities")
+
+
+@_register("op6_block_top_k", """
+    WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS w FROM embeddings
+               WHERE vec_id IS NOT NULL AND len(embedding) > 0
+                 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.w, c.w)::BIGINT AS score
+          FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+    SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+""")
+def block_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 best inner products of every twentieth vector with all the others."""
+    return exact_top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
