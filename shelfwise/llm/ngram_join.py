@@ -9,7 +9,7 @@ of sizes. A traversal of the tree against itself drops pairs of nodes whose size
 largest possible overlap rule out every link below them. What is left is verified on the whole sets.
 
 Verified links of each class with its block's first class come before the trees, and the trees
-skip pairs that are already in one component. So a large group of near copies costs about one
+skip pairs that are already in one component. Blocks with the same first class share a tree. So a large group of near copies costs about one
 verified pair per member, and no link between components is left out.
 """
 
@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.llm.bloom import build, passes
 from shelfwise.llm.components import components
 from shelfwise.llm.words import blocks, mix, run_hashes, span_hashes, word_hashes
 from shelfwise.session import materialize
@@ -238,19 +239,41 @@ def _blocks(batches):
         [pa.array(np.repeat(mark[chosen].view(np.int64), size)), pa.array(sid[rows])], ["block", "sid"])
 
 
-def _sets(words: int) -> Callable:
+def packed(tokens: np.ndarray) -> bytes:
+    """The upper 48 bits of each token, enough to tell the tokens of two texts apart."""
+    return (tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:]).tobytes()
+
+
+def unpacked(tokens: pa.Buffer) -> np.ndarray:
+    out = np.zeros((len(tokens) // 6, 8), np.uint8)
+    out[:, 2:] = np.frombuffer(tokens, np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel()
+
+
+def _sets(words: int, filled: np.ndarray) -> Callable:
+    """The whole sets of the rows that may be a class's first row."""
+
     def run(batches):
         for batch in batches:
-            for part in range(0, batch.num_rows, 256):
-                sets = [s for s in shingle_sets(batch["text"].slice(part, 256), words) if len(s)]
+            for part in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
+                sets = list(shingle_sets(part["text"], words))
+                sids = np.array([set_id(s) if len(s) else 0 for s in sets], np.int64)
+                may = passes(filled, sids.view(np.uint64) ^ mix(part["mark"].to_numpy().view(np.uint64)))
+                sets = [s for s, n in zip(sets, may) if n and len(s)]
                 yield pa.RecordBatch.from_arrays([
                     pa.array([set_id(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([signature(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary()),
+                    pa.array([signature(s) for s in sets], pa.binary()), pa.array([packed(s) for s in sets], pa.binary()),
                 ], ["sid", "n", "bits", "tokens"])
 
     return run
 
 
+def _keys(batches):
+    for batch in batches:
+        keys = batch["sid"].to_numpy() ^ mix(batch["mark"].to_numpy().view(np.uint64)).view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(keys)], ["key"])
+
+
 def _bounded(percent: int) -> Callable:
     """Pairs (a, b) whose sizes and bitmaps leave a link possible."""
 
@@ -270,7 +293,7 @@ def _verified(percent: int) -> Callable:
         for batch in batches:
             keep = []
             for x, y in zip(batch["tokens_a"], batch["tokens_b"]):
-                one, two = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                one, two = (unpacked(v.as_buffer()) for v in (x, y))
                 common = len(np.intersect1d(one, two, assume_unique=True))
                 keep.append(100 * common >= percent * (len(one) + len(two) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -340,34 +363,38 @@ def jaccard_components(
         "blocks",
     )
     wanted = members_of.select("sid").distinct()
-    first_of = members.filter("id is not null").join(wanted, "sid", "left_semi").groupBy("sid").agg(F.min("id").alias("id")).select("id").distinct()
+    first_of = members.filter("id is not null").groupBy("sid").agg(F.min("id").alias("id")).join(wanted, "sid", "left_semi")
+    keys = materialize(first_of.select("sid", F.xxhash64("id").alias("mark")).mapInArrow(_keys, "key long"), "keys")
+    filled = build(keys, keys.count())
     sets = materialize(
-        source.join(first_of, "id", "left_semi").select("text")
-        .mapInArrow(_sets(words), "sid long, n long, bits binary, tokens binary"), "sets",
+        source.filter("id is not null").select(F.xxhash64("id").alias("mark"), "text")
+        .mapInArrow(_sets(words, filled), "sid long, n long, bits binary, tokens binary"), "sets",
     )
 
-    # Each class with the first one of its block.
-    first = members_of.groupBy("block").agg(F.min("sid").alias("a"), F.count(F.lit(1)).alias("size"))
+    # Each class with the first one of its block. The blocks of one first class make up a larger block.
+    first = materialize(members_of.groupBy("block").agg(F.min("sid").alias("a")), "firsts")
     stars = materialize(members_of.join(first, "block").filter("sid <> a").select("a", F.col("sid").alias("b")).distinct(), "stars")
     links = materialize(_links(stars, sets, percent), "links")
     roots = components(links)
 
-    # Then the trees of the blocks that still hold several components.
-    placed = members_of.join(roots.withColumnRenamed("node", "sid"), "sid", "left").select(
-        "block", "sid", F.coalesce("root", "sid").alias("root"))
-    mixed = (
-        placed.groupBy("block").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count(F.lit(1)).alias("size"))
-        .filter("least <> most and size > 2").select("block", F.ceil(F.col("size") / TILE).alias("tiles"))
+    # Then the trees of the larger blocks that still hold several components.
+    placed = (
+        stars.select("a", F.col("b").alias("sid")).join(roots.withColumnRenamed("node", "sid"), "sid", "left")
+        .select("a", "sid", F.coalesce("root", "sid").alias("root"))
+    )
+    mixed = materialize(
+        placed.groupBy("a").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count(F.lit(1)).alias("size"))
+        .filter("least <> most").select("a", F.ceil(F.col("size") / TILE).alias("tiles")), "mixed",
     )
     tiled = (
-        placed.join(mixed, "block")
+        placed.join(mixed, "a")
         .withColumn("side", F.pmod(F.xxhash64("sid"), F.col("tiles")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
-        .select("block", "sid", "root", "side", F.least("side", "other").alias("tile_a"), F.greatest("side", "other").alias("tile_b"))
+        .select("a", "sid", "root", "side", F.least("side", "other").alias("tile_a"), F.greatest("side", "other").alias("tile_b"))
     )
     pairs = (
         tiled.join(sets.select("sid", "n", "bits"), "sid")
-        .groupBy("block", "tile_a", "tile_b").applyInArrow(_traverse(percent), "a long, b long")
+        .groupBy("a", "tile_a", "tile_b").applyInArrow(_traverse(percent), "a long, b long")
         .distinct().join(stars, ["a", "b"], "left_anti")
     )
     more = materialize(_links(pairs, sets, percent), "links")
@@ -376,7 +403,7 @@ def jaccard_components(
 
     full = members.filter("sid is not null").join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn(
         "root", F.coalesce("root", "sid"))
-    least = full.groupBy("root").agg(F.min("id").alias("component_id"))
+    least = materialize(full.groupBy("root").agg(F.min("id").alias("component_id")), "least")
     out = full.join(least, "root").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
     alone = members.filter("sid is null").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("id").alias("component_id"))
