@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfwise.llm.dropping import without_ids
 from shelfwise.session import materialize
 
 FIRST_DIGIT = 64
@@ -89,6 +90,6 @@ def exact_groups(
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, all their columns unchanged."""
-    kept = exact_groups(docs, id_col, text_col).filter("kept").select(F.col(id_col).alias("_kept_id")).distinct()
-    return docs.join(kept, docs[id_col].eqNullSafe(kept["_kept_id"]), "left_semi")
+    """The rows of ``docs`` that stay, all their columns unchanged; an id of which one row stays, stays."""
+    by_id = exact_groups(docs, id_col, text_col).groupBy(id_col).agg(F.bool_or("kept").alias("kept"))
+    return without_ids(docs, by_id.filter(~F.col("kept")).select(id_col), id_col)

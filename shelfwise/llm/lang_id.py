@@ -21,6 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwise.llm.words import Block, blocks
 
@@ -288,11 +289,12 @@ def identify(
     spans, and so is every text where nothing could be learned (``model`` None). Only the text is
     looked at, whole; null and repeated ids are rows like any other, and an empty table gives none.
     """
-    id_type = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    span = "array<struct<lang: string, first_word: int, end_word: int>>"
+    span = T.StructType([T.StructField("lang", T.StringType()), T.StructField("first_word", T.IntegerType()), T.StructField("end_word", T.IntegerType())])
     if model is None:
-        out = rows.select("id", F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"), F.from_json(F.lit("[]"), span).alias("spans"))
+        out = rows.select("id", F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"), F.array().cast(T.ArrayType(span)).alias("spans"))
     else:
-        out = rows.mapInArrow(_identify(model, penalty), f"id {id_type}, lang_pred string, score double, spans {span}")
+        out = rows.mapInArrow(_identify(model, penalty), T.StructType([
+            T.StructField("id", docs.schema[id_col].dataType), T.StructField("lang_pred", T.StringType()),
+            T.StructField("score", T.DoubleType()), T.StructField("spans", T.ArrayType(span))]))
     return out.withColumnRenamed("id", id_col)

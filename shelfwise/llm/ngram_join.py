@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm.bloom import build, passes
 from shelfwise.llm.components import components
+from shelfwise.llm.dropping import without_ids
 from shelfwise.llm.words import blocks, mix, run_hashes, span_hashes, word_hashes
 from shelfwise.session import materialize
 
@@ -35,7 +36,7 @@ FREQUENT_TOKENS = 1 << 16
 #: Prefix tokens for each task that gathers blocks.
 ENTRIES_PER_TASK = 2_000_000
 #: Larger blocks are dealt to several tasks, each with a pair of parts.
-TILE = 4096
+TILE = 512
 LEAF = 8
 FANOUT = 4
 
@@ -413,8 +414,8 @@ def jaccard_components(
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` whose id is their component's smallest; all columns unchanged.
 
-    Rows without an id stay where their component has no id at all.
+    Rows without an id stay where a component has no id at all; an id of which one row stays, stays.
     """
-    found = jaccard_components(docs, id_col, text_col, words, percent)
-    kept = found.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_kept_id")).distinct()
-    return docs.join(kept, docs[id_col].eqNullSafe(kept["_kept_id"]), "left_semi")
+    stays = F.col(id_col).eqNullSafe(F.col("component_id"))
+    by_id = jaccard_components(docs, id_col, text_col, words, percent).groupBy(id_col).agg(F.bool_or(stays).alias("stays"))
+    return without_ids(docs, by_id.filter("not stays").select(id_col), id_col)

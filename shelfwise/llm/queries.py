@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import NamedTuple
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from shelfwise.llm.block_search import exact_top_k
 from shelfwise.llm.bpe import decoded, encode_texts, ids_text
 from shelfwise.llm.exact_dedup import exact_groups
@@ -16,6 +16,7 @@ from shelfwise.llm.lang_id import fit, held_out, identify
 from shelfwise.llm.ngram_join import jaccard_components
 from shelfwise.llm.packing import pack_documents
 from shelfwise.llm.pii import with_surrogates
+from shelfwise.llm.settings import SURROGATE_KEY, bpe_file
 from shelfwise.llm.sharding import shard_documents
 from shelfwise.llm.substring_dedup import without_repeats
 from shelfwise.llm.warc import round_trip
@@ -90,10 +91,6 @@ def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return without_repeats(table(spark, folder, "documents"), digest=True)
 
 
-def bpe_file() -> str:
-    return public_tokenizers.path("byte_bpe_50k.json")
-
-
 @_register("op5_bpe_encoding")
 def bpe_encoding(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every whole text by forced-boundary splitting, and the text decoded from them again."""
@@ -138,10 +135,6 @@ def language_id(spark: SparkSession, folder: str) -> DataFrame:
     return identify(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
-#: A deployment passes its own secret; the queries use this one, so that their results repeat.
-SURROGATE_KEY = "surrogates of the registered queries"
-
-
 @_register("op4_pii_surrogates")
 def pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
     """All documents with surrogates for the personal data in them."""
@@ -161,3 +154,6 @@ def pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
 def block_top_k(spark: SparkSession, folder: str) -> DataFrame:
     """The 20 best inner products of every twentieth vector with all the others."""
     return exact_top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+QUERIES["pipeline"] = Query(corpus_pipeline.run, corpus_pipeline.ORACLE_SQL)
