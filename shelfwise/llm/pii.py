@@ -249,27 +249,27 @@ def _entities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(tids, pa.int64()), pa.array(kinds, pa.string()), pa.array(values, pa.string())], ["tid", "kind", "value"])
 
 
-def _draw(secret: bytes) -> Callable:
+def _draw(secret: bytes, make: Callable) -> Callable:
     """The surrogate of each (kind, value, attempt), as it is compared: emails with the domain found."""
 
     def run(batches):
         for batch in batches:
             new = []
             for kind, value, attempt in zip(*(batch[c].to_pylist() for c in ("kind", "value", "attempt"))):
-                word = surrogate(secret, kind, value, attempt)
+                word = make(secret, kind, value, attempt)
                 new.append(f"{word}@{value.partition('@')[2]}" if kind == "email" else word)
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in ("kind", "value", "attempt")), pa.array(new, pa.string())], ["kind", "value", "attempt", "new"])
 
     return run
 
 
-def settle(entities: DataFrame, secret: bytes) -> DataFrame:
+def settle(entities: DataFrame, secret: bytes, make: Callable = surrogate) -> DataFrame:
     """(kind, value, attempt): attempts at which all surrogates of a kind differ and none is an entity.
 
     ``entities`` holds each (kind, value) once. Given and family names are each kinds of their own.
     """
     schema = "kind string, value string, attempt int, new string"
-    table = materialize(entities.select("kind", "value", F.lit(0).alias("attempt")).mapInArrow(_draw(secret), schema), "surrogates")
+    table = materialize(entities.select("kind", "value", F.lit(0).alias("attempt")).mapInArrow(_draw(secret, make), schema), "surrogates")
     while True:
         twice = materialize(
             table.groupBy("kind", "new").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("first")).filter("n > 1").select("kind", "new", "first"), "clashes")
@@ -281,7 +281,7 @@ def settle(entities: DataFrame, secret: bytes) -> DataFrame:
             return table.select("kind", "value", "attempt")
         again = table.join(losers, ["kind", "value"], "left_semi").select("kind", "value", (F.col("attempt") + 1).alias("attempt"))
         table = materialize(
-            table.join(losers, ["kind", "value"], "left_anti").unionByName(again.mapInArrow(_draw(secret), schema)), "surrogates")
+            table.join(losers, ["kind", "value"], "left_anti").unionByName(again.mapInArrow(_draw(secret, make), schema)), "surrogates")
 
 
 _FOUND = T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in ("kind", "found", "surrogate")]))
