@@ -5,11 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from shelfwise.functions.text import strip
+
+
+# What reads as a number: no type letter after it ("320d"), which a cast would take.
+_NUMBER = r"(?i)^[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:e[+-]?[0-9]+)?|inf|infinity)$"
+
 
 def safe_double(x: Column) -> Column:
     """Text to double; anything unreadable, and NaN, is null."""
-    number = F.trim(x).try_cast("double")
-    return F.when(~F.isnan(number), number)
+    text = strip(x.cast("string"))
+    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
 
 
 def safe_long(x: Column) -> Column:

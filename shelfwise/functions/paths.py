@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from shelfwise.functions.text import digits_only, strip
+
 # Suffixes of audio files and the quarantine folder that is never re-read.
 AUDIO_EXTENSIONS = (".mp3", ".flac", ".m4a", ".aac", ".wav", ".ogg", ".wma", ".aiff", ".alac")
 QUARANTINE = "_a_trier"
@@ -60,8 +62,8 @@ def guess_artist_title(name: Column) -> Column:
     A leading part made of digits and dots is a track number. With fewer than two parts
     left the title is the whole name, number included.
     """
-    parts = F.filter(F.transform(F.split(name, " - "), lambda p: F.trim(p)), lambda p: p != "")
-    numbered = F.replace(F.get(parts, F.lit(0)), F.lit("."), F.lit("")).rlike("^[0-9]+$")
+    parts = F.filter(F.transform(F.split(name, " - "), lambda p: strip(p)), lambda p: p != "")
+    numbered = digits_only(F.replace(F.get(parts, F.lit(0)), F.lit("."), F.lit("")))
     parts = F.when(
         F.coalesce(numbered, F.lit(False)), F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))
     ).otherwise(parts)

@@ -27,6 +27,20 @@ UNEVEN_SPACE = rf"[ {_SPACES}]{{2,}}|[{_SPACES}]"
 _SEPARATOR = "\t"
 
 
+def strip(x: Column) -> Column:
+    """Without the white space of any kind at either end."""
+    return F.regexp_replace(x, rf"^[ {_SPACES}]+|[ {_SPACES}]+$", "")
+
+
+@lru_cache(maxsize=None)
+def digit_class() -> str:
+    """A pattern class of every character that counts as a digit, superscripts and the like included."""
+    codes = {c for c in range(sys.maxunicode + 1) if chr(c).isdigit()}
+    starts = sorted(c for c in codes if c - 1 not in codes)
+    ends = sorted(c for c in codes if c + 1 not in codes)
+    return "[" + "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in zip(starts, ends)) + "]"
+
+
 def _substitutions(rule: Callable[[str], str], first: int) -> tuple[str, str, dict[str, str]]:
     """One-to-one pairs and expansions of ``rule`` over all code points from ``first``."""
     source, target, expand = [], [], {}
@@ -69,15 +83,15 @@ def _is_ascii(x: Column) -> Column:
 
 
 def _expand(x: Column, expand: dict[str, str]) -> Column:
-    """Replace the characters that become several; other rows pass after one check."""
-    pairs = F.split(F.lit("\n".join(c + _SEPARATOR + t for c, t in expand.items())), "\n")
-    expanded = F.aggregate(
-        pairs,
-        x,
-        lambda acc, p: F.replace(
-            acc, F.substring_index(p, _SEPARATOR, 1), F.substring_index(p, _SEPARATOR, -1)
-        ),
-    )
+    """Replace the characters that become several; other rows pass after one check.
+
+    Only the distinct characters outside ASCII that a row holds are looked up, so the work does not
+    grow with the size of the table.
+    """
+    table = F.str_to_map(F.lit("\n".join(c + _SEPARATOR + t for c, t in expand.items())), F.lit("\n"), F.lit(_SEPARATOR))
+    present = F.array_distinct(F.split(F.regexp_replace(x, r"[\x00-\x7F]+", ""), ""))
+    known = F.filter(present, lambda c: F.element_at(table, c).isNotNull())
+    expanded = F.aggregate(known, x, lambda acc, c: F.replace(acc, c, F.element_at(table, c)))
     return F.when(F.translate(x, "".join(expand), "") != x, expanded).otherwise(x)
 
 
@@ -139,31 +153,27 @@ def with_norm_key(df: DataFrame, **outputs: str) -> DataFrame:
     return df.withColumns({out: norm_key(F.col(col)) for out, col in outputs.items()})
 
 
-def with_norm_place(df: DataFrame, name: str = "name", output: str = "norm_name") -> DataFrame:
-    return df.withColumn(output, norm_place(F.col(name)))
-
-
 def key_strength(na: Column, nt: Column) -> Column:
     """``both``, ``one`` or ``none`` of the two key parts carry text."""
     filled = (na != "").cast("int") + (nt != "").cast("int")
     return F.when(filled == 2, "both").when(filled == 1, "one").otherwise("none")
 
 
-def _digits_only(x: Column) -> Column:
-    return x.rlike(r"^[0-9]+$")
+def digits_only(x: Column) -> Column:
+    return x.rlike(f"^{digit_class()}+$")
 
 
 def is_strong_dedup_key(na: Column, nt: Column) -> Column:
     """Normalised artist and title present and the title not just a number."""
-    return (na != "") & (nt != "") & ~_digits_only(nt)
+    return (na != "") & (nt != "") & ~digits_only(nt)
 
 
 def is_weak_tag(artist: Column, title: Column) -> Column:
-    """Raw trimmed artist or title missing, or a numeric title (before normalising)."""
-    a = F.trim(F.coalesce(artist, F.lit("")))
-    t = F.trim(F.coalesce(title, F.lit("")))
-    return (a == "") | (t == "") | _digits_only(t)
+    """Raw artist or title missing or blank, or a numeric title (before normalising)."""
+    a = strip(F.coalesce(artist, F.lit("")))
+    t = strip(F.coalesce(title, F.lit("")))
+    return (a == "") | (t == "") | digits_only(t)
 
 
 def blank_to_null(x: Column) -> Column:
-    return F.nullif(F.trim(x), F.lit(""))
+    return F.nullif(strip(x), F.lit(""))

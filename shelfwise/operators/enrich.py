@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.numbers import minutes_seconds, mood, round_even
-from shelfwise.functions.text import norm_ws, track_key
+from shelfwise.functions.text import norm_ws, strip, track_key
 from shelfwise.operators.indexing import first_wins
 
 # Frequent tags that are not genres, and the shape of unusable tags.
@@ -28,7 +28,7 @@ def artist_names(library: DataFrame) -> DataFrame:
     split = library.select("artist").distinct().select(
         "artist", F.posexplode(F.split("artist", ", ")).alias("pos", "name")
     )
-    named = split.withColumn("name", F.trim("name")).filter("name <> ''")
+    named = split.withColumn("name", strip(F.col("name"))).filter("name <> ''")
     return named.withColumn("norm", norm_ws(F.col("name")))
 
 

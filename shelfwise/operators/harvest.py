@@ -23,17 +23,31 @@ def units_to_fetch(units: DataFrame) -> DataFrame:
     return units.filter(F.col("total").isNull() | (F.col("total") > 0))
 
 
-def unit_progress(pages: DataFrame) -> DataFrame:
-    """Per unit, from pages ``unit, n_items, next``: next offset and whether it is done."""
-    return pages.groupBy("unit").agg(
-        F.sum("n_items").alias("offset"), F.bool_or(F.col("next").isNull()).alias("done")
+def unit_progress(units: DataFrame, pages: DataFrame) -> DataFrame:
+    """Per listed unit the next offset to ask for, and whether it is done: ``unit, offset, done``.
+
+    ``units`` has ``unit`` and may have ``total``; ``pages`` (read ones only) has ``unit, page_offset,
+    n_items, next``, an offset counting items. Pages count as far as each begins where the one before
+    ended, so a refused or missing page leaves its unit open from there. A unit is done when
+    its last counted page has no next one, or when it is known to be empty.
+    """
+    before = Window.partitionBy("unit").orderBy("page_offset")
+    held = before.rowsBetween(Window.unboundedPreceding, -1)
+    joined = F.col("page_offset") == F.coalesce(F.sum("n_items").over(held), F.lit(0))
+    counted = pages.dropDuplicates(["unit", "page_offset"]).withColumn("_joined", joined).withColumn(
+        "_joined", F.min("_joined").over(before)).filter("_joined")
+    read = counted.groupBy("unit").agg(F.sum("n_items").alias("offset"), F.bool_or(F.col("next").isNull()).alias("done"))
+    empty = F.col("total") == 0 if "total" in units.columns else F.lit(False)
+    return units.join(read, "unit", "left").select(
+        "unit", F.coalesce("offset", F.lit(0)).cast("bigint").alias("offset"),
+        (F.coalesce("done", F.lit(False)) | F.coalesce(empty, F.lit(False))).alias("done"),
     )
 
 
 def completed_prefix(units: DataFrame, rows: DataFrame, liked: DataFrame | None = None) -> DataFrame:
     """Rows of the units listed before the first unfinished one.
 
-    ``units`` has ``unit, ordinal, done``; ``rows`` has ``unit``. Liked rows follow only
+    ``units`` is the whole listing, with ``unit, ordinal, done``; ``rows`` has ``unit``. Liked rows follow only
     when no unit is unfinished and the liked unit itself is done (``liked`` has ``done``).
     """
     gap = units.filter(~F.coalesce("done", F.lit(False))).agg(F.min("ordinal").alias("gap"))

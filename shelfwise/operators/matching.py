@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.numbers import round_even
-from shelfwise.functions.text import norm_ws, track_key
+from shelfwise.functions.text import norm_ws, strip, track_key
 from shelfwise.operators.indexing import first_wins, last_wins
 from shelfwise.session import materialize
 
@@ -18,12 +18,12 @@ def title_variants(title: Column) -> Column:
     return F.array_distinct(F.array_compact(F.array(
         title,
         F.when(F.contains(title, F.lit(" - ")), F.substring_index(title, " - ", 1)),
-        F.when(F.contains(title, F.lit("(")), F.trim(F.substring_index(title, "(", 1))),
+        F.when(F.contains(title, F.lit("(")), strip(F.substring_index(title, "(", 1))),
     )))
 
 
 def _names(artist: Column) -> Column:
-    names = F.filter(F.split(artist, ", "), lambda a: F.trim(a) != "")
+    names = F.filter(F.split(artist, ", "), lambda a: strip(a) != "")
     return F.array_distinct(F.transform(names, norm_ws))
 
 

@@ -80,7 +80,7 @@ def build_places(spark: SparkSession, source: str, out: str, state: str, backfil
     place_registry, list_registry = (
         file_sources.read_table_or_empty(spark, f"{state}/{name}", REGISTRY) for name in ("places", "lists")
     )
-    maps = materialize(map_sources.read_maps(spark, source), "maps")
+    maps = materialize(map_sources.read_maps(spark, source, strict=True), "maps")
     saved = map_sources.read_saved_lists(spark, source)
     built = places.build_places(
         places.map_occurrences(maps).unionByName(places.saved_occurrences(saved)),
@@ -93,18 +93,14 @@ def build_places(spark: SparkSession, source: str, out: str, state: str, backfil
     append_registry(built.new_place_keys, place_registry, f"{state}/places")
     append_registry(built.new_list_keys, list_registry, f"{state}/lists")
     skipped = maps.filter("pos IS NOT NULL AND NOT coalesce(geometry = 'Point', false)").agg(F.count("*").alias("n"))
-    return places.place_counters(built).select(
-        "*", skipped.scalar().alias("skipped_tracks"), *[places_total(spark, out, c) for c in _TOTALS]
-    )
+    totals = places_totals(spark, out).select(F.struct(*_TOTALS).alias("_totals")).scalar()
+    counted = places.place_counters(built).select("*", skipped.scalar().alias("skipped_tracks"), totals.alias("_totals"))
+    return counted.select("*", "_totals.*").drop("_totals")
 
 
 _TOTALS = ("places", "resolved", "unresolved", "in_several_lists", "lists", "map_lists", "saved_lists", "links", "refs")
 
 
-def places_total(spark: SparkSession, out: str, name: str):
-    return places_totals(spark, out).select(name).scalar().alias(name)
-
-
 def places_totals(spark: SparkSession, out: str) -> DataFrame:
     """Totals of the built tables, without rebuilding."""
     t = file_sources.open_tables(spark, out, PLACE_TABLES)
@@ -119,7 +115,7 @@ def inventory(spark: SparkSession, source: str) -> dict[str, DataFrame]:
         "maps": places.inventory_maps(map_sources.read_maps(spark, source)),
         "lists": places.inventory_lists(map_sources.read_saved_lists(spark, source)),
         "unreadable": map_sources.unreadable_maps(spark, source),
-        "other": listed.filter("kind = 'other'").orderBy("path").limit(10),
+        "other": listed.filter("kind = 'other'").orderBy("path"),
     }
 
 

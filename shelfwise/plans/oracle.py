@@ -296,14 +296,25 @@ VIEWS: dict[str, tuple[list[str], str]] = {
         SELECT id place_id, 'google' platform, reference external_id FROM occids WHERE reference IS NOT NULL
         QUALIFY row_number() OVER (PARTITION BY id ORDER BY o) = 1"""),
     "pagerows": ([], r"""
-        SELECT CAST(conv_id AS VARCHAR) unit, conv_id, turn page_offset, role, pos - 1 pos, CASE WHEN role = 'system' THEN '' ELSE line END track
-        FROM conversations, unnest(string_split(text, chr(10))) WITH ORDINALITY u(line, pos)"""),
-    "pagefacts": ([], r"""
-        SELECT CAST(conv_id AS VARCHAR) unit, conv_id, turn page_offset, len(string_split(text, chr(10))) n_items,
-               CASE WHEN turn < max(turn) OVER (PARTITION BY conv_id) OR (role = 'user' AND conv_id % 9 = 8) THEN 'more' END next FROM conversations
-        QUALIFY role <> 'system'"""),
-    "progress": (["pagefacts"], """
-        SELECT unit, conv_id, CAST(sum(n_items) AS BIGINT) AS "offset", bool_or(next IS NULL) done FROM pagefacts GROUP BY 1, 2"""),
+        SELECT CAST(conv_id AS VARCHAR) unit, conv_id, page_offset, role, pos - 1 pos, CASE WHEN role = 'system' THEN '' ELSE line END track
+        FROM (SELECT *, (SELECT coalesce(sum(len(string_split(text, chr(10)))), 0)::BIGINT FROM conversations b WHERE b.conv_id = c.conv_id AND b.turn < c.turn)
+              AS page_offset FROM conversations c), unnest(string_split(text, chr(10))) WITH ORDINALITY u(line, pos)"""),
+    "listing": ([], """
+        SELECT DISTINCT CAST(conv_id AS VARCHAR) unit, 2 * conv_id AS ordinal, NULL::BIGINT AS total FROM conversations
+        UNION ALL SELECT DISTINCT 'x' || conv_id, 2 * conv_id + 1, CASE WHEN conv_id % 20 = 7 THEN 0 END FROM conversations WHERE conv_id % 10 = 7"""),
+    "pagefacts": (["pagerows"], r"""
+        SELECT p.unit, p.conv_id, p.page_offset, count(*) n_items,
+               CASE WHEN p.page_offset < (SELECT max(page_offset) FROM pagerows m WHERE m.conv_id = p.conv_id)
+                         OR (p.role = 'user' AND p.conv_id % 9 = 8) THEN 'more' END next
+        FROM pagerows p WHERE p.role <> 'system' GROUP BY ALL"""),
+    # Following the pages one by one from offset 0, as a client would.
+    "progress": (["pagefacts", "listing"], """
+        SELECT l.unit, l.ordinal, coalesce(max(o), 0)::BIGINT AS "offset", coalesce(bool_or(finished), false) OR coalesce(any_value(l.total) = 0, false) AS done
+        FROM listing l LEFT JOIN (
+          WITH RECURSIVE walk(unit, o, finished) AS (
+            SELECT unit, n_items, next IS NULL FROM pagefacts WHERE page_offset = 0
+            UNION ALL SELECT f.unit, w.o + f.n_items, f.next IS NULL FROM walk w JOIN pagefacts f ON f.unit = w.unit AND f.page_offset = w.o)
+          SELECT * FROM walk) k ON k.unit = l.unit GROUP BY l.unit, l.ordinal"""),
     "recordings": (["tparts"], f"""
         SELECT '/x/' || o_orderkey || '.mp3' path, o_orderstatus, score, p_brand || ', ' || color artist, p_name title,
                CASE WHEN p_size % 2 = 0 THEN p_type ELSE 'EP ' || p_type END album, CAST(p_partkey AS VARCHAR) mbid

@@ -553,20 +553,23 @@ def refused_pages(spark, folder):
 
 @register(o.sql('SELECT unit, "offset", done FROM progress', "progress"))
 def unit_progress(spark, folder):
-    return bookkeeping.unit_progress(bodies.parse_pages(v.raw_pages(spark, folder))[1])
+    return bookkeeping.unit_progress(v.listed_units(spark, folder), bodies.parse_pages(v.raw_pages(spark, folder))[1])
 
 
-@register(o.sql(f"""SELECT * FROM ({_ITEM}) WHERE CAST(unit AS BIGINT) < (SELECT coalesce(min(conv_id), 9223372036854775807) FROM progress WHERE NOT done)""", "pagerows", "progress"))
+@register(o.sql(f"""SELECT p.* FROM ({_ITEM}) p JOIN progress g ON g.unit = p.unit
+    WHERE g.ordinal < (SELECT coalesce(min(ordinal), 9223372036854775807) FROM progress WHERE NOT done)""", "pagerows", "progress"))
 def prefix_rows(spark, folder):
     rows, facts, _ = bodies.parse_pages(v.raw_pages(spark, folder))
-    units = bookkeeping.unit_progress(facts).withColumn("ordinal", F.col("unit").cast("bigint"))
+    listing = v.listed_units(spark, folder)
+    units = bookkeeping.unit_progress(listing, facts).join(listing.select("unit", "ordinal"), "unit")
     return bookkeeping.completed_prefix(units, rows).drop("track_id")
 
 
 @register(o.sql("""SELECT (SELECT CAST(sum("offset") AS BIGINT) FROM progress) fetched, (SELECT CAST(sum(n_items) AS BIGINT) FROM pagefacts) expected""", "progress", "pagefacts"))
 def export_progress(spark, folder):
     facts = bodies.parse_pages(v.raw_pages(spark, folder))[1]
-    return bookkeeping.export_progress(facts.withColumn("total", F.col("n_items")), bookkeeping.unit_progress(facts))
+    progress = bookkeeping.unit_progress(v.listed_units(spark, folder), facts)
+    return bookkeeping.export_progress(facts.withColumn("total", F.col("n_items")), progress)
 
 
 @register(o.sql("SELECT playlist, artist, track, album FROM library UNION ALL SELECT 'Liked Songs', artist, track, album FROM tparts", "library", "tparts"))
@@ -666,7 +669,7 @@ def latest_run(spark, folder):
 def stream_pages(spark, folder):
     """The pages landed as files, consumed by the incremental run, then read from its cache."""
     landing, cache = scratch_path(spark, "landing"), scratch_path(spark, "cache")
-    v.raw_pages(spark, folder).repartition(4, "unit").write.parquet(landing)
+    v.raw_pages(spark, folder).write.option("maxRecordsPerFile", 50_000).parquet(landing)
     streams.ingest_pages(spark, landing, cache, scratch_path(spark, "resume"), files_per_batch=2).awaitTermination()
     return streams.cached_rows(spark, cache).drop("track_id")
 
@@ -675,7 +678,7 @@ def stream_pages(spark, folder):
 def stream_gains(spark, folder):
     """The coverage snapshots as a stream, followed with one number of state per stream."""
     landing, out = scratch_path(spark, "snapshots"), scratch_path(spark, "gains")
-    v.snapshots(spark, folder).repartition(1).write.parquet(landing)
+    v.snapshots(spark, folder).write.parquet(landing)
     stream = spark.readStream.schema("stream string, run bigint, pct bigint").parquet(landing)
     streams.follow_gains(stream).writeStream.format("parquet").option("checkpointLocation", scratch_path(spark, "resume")).trigger(
         availableNow=True

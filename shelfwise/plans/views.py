@@ -259,11 +259,13 @@ def saved_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """Conversation turns as landed pages: every line of the text is one item.
+    """Conversation turns as landed pages: every line of the text is one item, offsets count items.
 
     The items of system turns carry no name, so those pages cannot be read.
     """
-    turns = table(spark, folder, "conversations")
+    before = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
+    turns = table(spark, folder, "conversations").withColumn(
+        "page_offset", F.coalesce(F.sum(F.size(F.split("text", "\n"))).over(before), F.lit(0)).cast("bigint"))
     last = turns.groupBy("conv_id").agg(F.max("turn").alias("last"))
     item = lambda line: F.struct(F.struct(
         F.when(F.col("role") == "system", "").otherwise(line).alias("name"), F.array(F.struct(F.col("role").alias("name")), F.struct(F.lit("").alias("name"))).alias("artists"),
@@ -274,10 +276,20 @@ def raw_pages(spark: SparkSession, folder: str) -> DataFrame:
         F.transform(F.split("text", "\n"), item).alias("items"), F.when(unfinished, "more").alias("next"),
     ))
     return turns.join(last, "conv_id").select(
-        F.col("conv_id").cast("string").alias("unit"), F.col("turn").alias("page_offset"), body.alias("body")
+        F.col("conv_id").cast("string").alias("unit"), "page_offset", body.alias("body")
     )
 
 
+def listed_units(spark: SparkSession, folder: str) -> DataFrame:
+    """The listing of units: the conversations, and some without any page, every other one known to be empty."""
+    ids = table(spark, folder, "conversations").select("conv_id").distinct()
+    seen = ids.select(F.col("conv_id").cast("string").alias("unit"), (2 * F.col("conv_id")).alias("ordinal"), F.lit(None).cast("bigint").alias("total"))
+    bare = ids.filter("conv_id % 10 = 7").select(
+        F.concat(F.lit("x"), "conv_id").alias("unit"), (2 * F.col("conv_id") + 1).alias("ordinal"),
+        F.when(F.col("conv_id") % 20 == 7, F.lit(0)).cast("bigint").alias("total"))
+    return seen.unionByName(bare)
+
+
 def fingerprint_bodies(spark: SparkSession, folder: str) -> DataFrame:
     """Orders as fingerprinted files; their lines are the results, in line order."""
     lines = table(spark, folder, "lineitem").join(

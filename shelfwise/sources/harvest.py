@@ -49,13 +49,6 @@ def _blank(x: Column) -> Column:
     return F.coalesce(x, F.lit(""))
 
 
-def _is_item(item: Column) -> Column:
-    """An item that carries anything at all."""
-    return item.isNotNull() & (
-        item["track"].isNotNull() | item["item"].isNotNull() | item["episode"].isNotNull()
-    )
-
-
 def _usable(track: Column) -> Column:
     return _blank(track["name"]) != ""
 

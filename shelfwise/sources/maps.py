@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import codecs
 import io
+import re
 import zipfile
 from collections.abc import Iterator
 
@@ -42,7 +44,19 @@ LIST_HEADERS = {
     "tags": ("tags",),
     "comment": ("comment", "commentaire"),
 }
-_MAX_COLUMNS = 32
+
+
+_DECLARED = re.compile(rb"""^\s*<\?xml[^>]*\bencoding\s*=\s*["']([A-Za-z0-9._-]+)["']""")
+
+
+def decode_xml(data: bytes) -> str:
+    """The text of an XML file by its byte order mark or declaration, without the declaration."""
+    if data[:2] in (codecs.BOM_UTF16_LE, codecs.BOM_UTF16_BE):
+        text = data.decode("utf-16")
+    else:
+        declared = _DECLARED.match(data.removeprefix(codecs.BOM_UTF8))
+        text = data.decode("utf-8-sig" if data.startswith(codecs.BOM_UTF8) or not declared else declared[1].decode())
+    return re.sub(r"^\s*<\?xml[^>]*\?>", "", text)
 
 
 def _unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -52,8 +66,8 @@ def _unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             try:
                 with zipfile.ZipFile(io.BytesIO(content)) as archive:
                     name = next(n for n in archive.namelist() if n.lower().endswith(".kml"))
-                    texts.append(archive.read(name).decode("utf-8-sig"))
-            except (zipfile.BadZipFile, StopIteration, UnicodeDecodeError):
+                    texts.append(decode_xml(archive.read(name)))
+            except (zipfile.BadZipFile, StopIteration, UnicodeDecodeError, LookupError):
                 texts.append(None)
         yield pd.DataFrame({"path": batch["path"], "body": texts})
 
@@ -87,13 +101,18 @@ def unreadable_maps(spark: SparkSession, folder: str) -> DataFrame:
     return listed.join(readable.select("path"), "path", "left_anti")
 
 
-def read_maps(spark: SparkSession, folder: str) -> DataFrame:
+def read_maps(spark: SparkSession, folder: str, strict: bool = False) -> DataFrame:
     """One row per placemark: ``path, source_file, map, layer_pos, layer, pos, name,
     description, geometry, lat, lon, extended``.
 
     Placemarks outside any layer come first, in a layer named "". A layer without
-    placemarks keeps one row with a null ``pos``. Only direct children are read.
+    placemarks keeps one row with a null ``pos``. Only direct children are read. Unreadable
+    maps have no rows; with ``strict`` they are an error, as in a build.
     """
+    if strict:
+        lost = [r["path"] for r in unreadable_maps(spark, folder).orderBy("path").collect()]
+        if lost:
+            raise ValueError(f"{len(lost)} unreadable maps: {', '.join(lost)}")
     docs = _documents(spark, folder).filter("kml IS NOT NULL AND kml._corrupt_record IS NULL")
     root = F.coalesce(
         F.col("kml.Document"),
@@ -140,17 +159,30 @@ def list_header(columns: Column) -> Column:
     return F.struct(*[position(names).alias(field) for field, names in LIST_HEADERS.items()])
 
 
+def list_width(spark: SparkSession, folder: str) -> int:
+    """Columns of the widest header among the saved lists, at least one; a single number to the driver."""
+    lines = (
+        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.[cC][sS][vV]").text(folder)
+        .filter("_metadata.file_block_start = 0")
+        .select(F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("pos"), "value")
+    )
+    first = lines.groupBy("path").agg(F.min_by("value", "pos").alias("header"))
+    return (first.agg(F.max(F.size(F.split("header", ",")))).first()[0] or 1)
+
+
 def read_saved_lists(spark: SparkSession, folder: str) -> DataFrame:
     """Rows of saved lists: ``path, source_file, list, pos, title, note, url, tags, comment,
     lat, lon, cid``.
 
-    Headers vary by language. All files are read once by position; each file's first row is
-    its header and is joined back to name the columns. Rows without title and URL are empty.
+    Headers vary by language. All files are read once by position, as wide as the widest header;
+    each file's first row is its header and is joined back to name the columns. Rows without title
+    and URL are empty.
     """
-    columns = [f"c{i}" for i in range(_MAX_COLUMNS)]
+    columns = [f"c{i}" for i in range(list_width(spark, folder))]
     raw = (
         spark.read.schema(", ".join(f"{c} string" for c in columns)).option("header", False)
         .option("multiLine", True).option("quote", '"').option("escape", '"').option("encoding", "UTF-8")
+        .option("maxColumns", max(20480, len(columns) + 1))
         .option("recursiveFileLookup", True).option("pathGlobFilter", "*.[cC][sS][vV]").csv(folder)
         .select(
             F.url_decode(local_path(F.col("_metadata.file_path"))).alias("path"),

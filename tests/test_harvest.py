@@ -23,8 +23,20 @@ def test_pages_keep_usable_items_and_refuse_unknown_formats(spark):
     assert [(r["track"], r["artist"], r["pos"]) for r in rows.orderBy("page_offset").collect()] == [("x", "A", 0), ("e", "A", 0)]
     assert sorted((r["unit"], r["n_items"]) for r in facts.collect()) == [("u", 1), ("u", 3), ("w", 0)]
     assert sorted(r["unit"] for r in refused.collect()) == ["v", "z"]
-    done = {r["unit"]: (r["offset"], r["done"]) for r in harvest.unit_progress(facts).collect()}
-    assert done == {"u": (4, True), "w": (0, True)}
+    units = spark.createDataFrame([("u", None), ("v", None), ("w", None), ("z", 0), ("new", None)], "unit string, total bigint")
+    done = {r["unit"]: (r["offset"], r["done"]) for r in harvest.unit_progress(units, facts).collect()}
+    assert done == {"u": (4, True), "v": (0, False), "w": (0, True), "z": (0, True), "new": (0, False)}
+
+
+def test_progress_stops_at_a_gap(spark):
+    """A missing page, a refused one in the middle, a last page not yet seen, and a page landed twice."""
+    facts = spark.createDataFrame([
+        ("gap", 0, 1, "n"), ("gap", 5, 1, None), ("middle", 0, 2, "n"), ("middle", 4, 2, None),
+        ("open", 0, 3, "n"), ("twice", 0, 2, "n"), ("twice", 0, 2, "n"), ("twice", 2, 1, None), ("late", 2, 1, None),
+    ], "unit string, page_offset bigint, n_items int, next string")
+    units = facts.select("unit").distinct()
+    done = {r["unit"]: (r["offset"], r["done"]) for r in harvest.unit_progress(units, facts).collect()}
+    assert done == {"gap": (1, False), "middle": (2, False), "open": (3, False), "twice": (3, True), "late": (0, False)}
 
 
 def test_completed_prefix_and_liked(spark):
@@ -129,7 +141,9 @@ def test_stream_resumes_without_loss_or_repeats(spark, tmp_path):
     assert run() == first
     land(("u", 2, page("z")), ("u", 0, page("x", "y", nxt="n")), ("bad", 0, page("")))
     assert run() == first[:2] + [("u", 2, "z"), first[2]]
-    assert {r["unit"]: r["offset"] for r in harvest.unit_progress(streams.cached_pages(spark, cache)).collect()} == {"u": 3, "v": 1}
+    pages = streams.cached_pages(spark, cache)
+    progress = harvest.unit_progress(pages.select("unit").distinct(), pages)
+    assert {r["unit"]: r["offset"] for r in progress.collect()} == {"u": 3, "v": 1}
     assert spark.read.parquet(f"{cache}/refused").count() == 1
 
 
