@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from shelfwise.functions.text import track_key
 from shelfwise.operators import catalog, coherence, duplicates, enrich, harvest, history, matching, places, splitting
 from shelfwise.session import materialize, tune
-from shelfwise.sinks.tables import append_registry, next_counter, publish, publish_all, write_paths, write_report
+from shelfwise.sinks.state import publish_state, read_state
+from shelfwise.sinks.tables import grown_registry, next_counter, publish, publish_all, write_paths, write_report
 from shelfwise.sources import files as file_sources
 from shelfwise.sources import maps as map_sources
 
@@ -70,15 +71,15 @@ def music_totals(spark: SparkSession, out: str) -> DataFrame:
 def build_places(spark: SparkSession, source: str, out: str, state: str, backfill: bool = False) -> DataFrame:
     """Rebuild the place tables from map and list exports; returns counts and totals.
 
-    The registry in ``state`` outlives rebuilds, so ids do not change; it is published
-    after the tables, and a rebuild that fails before that repeats the same numbering.
+    The registry in ``state`` outlives rebuilds, so ids do not change. Its next version is in force,
+    as a whole, before any table with new ids is published; a rebuild stopped in between repeats them.
     """
     tune(spark)
     kinds = {r["kind"] for r in file_sources.classify_files(spark, source).select("kind").distinct().collect()}
     if not kinds & {"my_maps", "saved"}:
         raise FileNotFoundError(f"no map or list export below {source}")
     place_registry, list_registry = (
-        file_sources.read_table_or_empty(spark, f"{state}/{name}", REGISTRY) for name in ("places", "lists")
+        read_state(spark, state, name, REGISTRY) for name in ("places", "lists")
     )
     maps = materialize(map_sources.read_maps(spark, source, strict=True), "maps")
     saved = map_sources.read_saved_lists(spark, source)
@@ -87,11 +88,12 @@ def build_places(spark: SparkSession, source: str, out: str, state: str, backfil
         places.map_lists(maps).unionByName(places.saved_lists(map_sources.saved_files(spark, source))),
         place_registry, list_registry, next_counter(place_registry), next_counter(list_registry), backfill,
     )
+    publish_state({
+        "places": grown_registry(built.new_place_keys, place_registry), "lists": grown_registry(built.new_list_keys, list_registry),
+    }, state)
     publish_all({
         "places": built.places, "lists": built.lists, "list_places": built.list_places, "platform_refs": built.refs,
     }, out)
-    append_registry(built.new_place_keys, place_registry, f"{state}/places")
-    append_registry(built.new_list_keys, list_registry, f"{state}/lists")
     skipped = maps.filter("pos IS NOT NULL AND NOT coalesce(geometry = 'Point', false)").agg(F.count("*").alias("n"))
     totals = places_totals(spark, out).select(F.struct(*_TOTALS).alias("_totals")).scalar()
     counted = places.place_counters(built).select("*", skipped.scalar().alias("skipped_tracks"), totals.alias("_totals"))

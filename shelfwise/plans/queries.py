@@ -93,6 +93,14 @@ def norm_key_docs(spark, folder):
     return v.table(spark, folder, "documents").select("doc_id", text.norm_key(F.col("text")).alias("norm_key"))
 
 
+@register("SELECT doc_id, regexp_replace(lower(replace(replace(replace(replace(nfkd, '…', '...'), '™', 'tm'), '½', '12'), 'ﬁ', 'fi')), '[^a-z0-9]+', '', 'g') AS norm_place "
+          "FROM (SELECT doc_id, strip_accents(text) || '…™½ﬁ' AS nfkd FROM documents)")
+def norm_expanding_docs(spark, folder):
+    """The documents with characters at their end that become several letters."""
+    expanding = F.concat("text", F.lit("…™½ﬁ"))
+    return v.table(spark, folder, "documents").select("doc_id", text.norm_place(expanding).alias("norm_place"))
+
+
 @register(f"SELECT conv_id, turn, {o.norm_place('text')} norm_place FROM conversations")
 def norm_place_turns(spark, folder):
     return v.table(spark, folder, "conversations").select("conv_id", "turn", text.norm_place(F.col("text")).alias("norm_place"))

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.operators.harvest import TAB_ROWS, with_tabs
+from shelfwise.sources.files import path_exists
 
 
 def _fs(df: DataFrame, path: str):
@@ -19,8 +20,10 @@ def _fs(df: DataFrame, path: str):
 def publish(df: DataFrame, path: str) -> None:
     """Replace a table: write beside it, then swap by rename.
 
-    The old table can be an input of the new one, and a failed write leaves it in place.
+    The old table can be an input of the new one, and a failed write leaves it in place. A stop
+    between the two renames leaves the old table beside; the next publish, or ``recover``, puts it back.
     """
+    recover(df.sparkSession, path)
     staged, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
     df.write.parquet(staged)
     jvm, fs = _fs(df, path)
@@ -36,6 +39,18 @@ def publish(df: DataFrame, path: str) -> None:
         fs.delete(as_path(old), True)
 
 
+def recover(spark: SparkSession, path: str) -> None:
+    """Put a table back that a stopped publish had moved aside."""
+    if path_exists(spark, path):
+        return
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(target.getParent()):
+        aside = [s.getPath() for s in fs.listStatus(target.getParent()) if s.getPath().getName().startswith(f"{target.getName()}.old-")]
+        if aside:
+            fs.rename(aside[-1], target)
+
+
 def publish_all(tables: dict[str, DataFrame], folder: str) -> None:
     for name, df in tables.items():
         publish(df, f"{folder}/{name}")
@@ -63,9 +78,9 @@ def write_tabs(rows: DataFrame, path: str, order: list[str], cap: int = TAB_ROWS
     ).parquet(path)
 
 
-def append_registry(entries: DataFrame, registry: DataFrame, path: str) -> None:
-    """Publish the next version of a registry: old entries unchanged, new ones added."""
-    publish(registry.select("key", "id").unionByName(entries.select("key", "id")), path)
+def grown_registry(entries: DataFrame, registry: DataFrame) -> DataFrame:
+    """The next version of a registry: old entries unchanged, new ones added."""
+    return registry.select("key", "id").unionByName(entries.select("key", "id"))
 
 
 def next_counter(registry: DataFrame) -> int:

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfwise.plans import jobs
+from shelfwise.sinks import state
 from shelfwise.sinks import tables as sinks
 from shelfwise.sources import files
 
@@ -115,3 +116,43 @@ def test_tabs_are_contiguous_and_rewritable(spark, tmp_path):
         sinks.write_tabs(rows, path, ["n"], cap=10)
     sizes = {r["tab"]: (r["lo"], r["c"]) for r in spark.read.parquet(path).groupBy("tab").agg(F.min("n").alias("lo"), F.count("*").alias("c")).collect()}
     assert sizes == {1: (0, 10), 2: (10, 10), 3: (20, 5)}
+
+
+REGISTRY = "key string, id string"
+
+
+def test_state_survives_a_stop_at_every_step(spark, tmp_path):
+    """Between any two steps of a publish the registry is the old version or the new one."""
+    path = str(tmp_path / "state")
+
+    def frame(*keys):
+        return spark.createDataFrame([(k, f"P-{i}") for i, k in enumerate(keys)], REGISTRY)
+
+    def keys(name="places"):
+        return {r["key"] for r in state.read_state(spark, path, name, REGISTRY).collect()}
+
+    assert keys() == set()
+    state.publish_state({"places": frame("a"), "lists": frame("l")}, path)
+    assert keys() == {"a"} and keys("lists") == {"l"}
+    version = state.write_version({"places": frame("a", "b"), "lists": frame("l", "m")}, path)
+    assert keys() == {"a"} and keys("lists") == {"l"}
+    state.write_version({"places": frame("z")}, path)
+    state.point_to(spark, path, version)
+    assert keys() == {"a", "b"} and keys("lists") == {"l", "m"}
+    state.publish_state({"places": state.read_state(spark, path, "places", REGISTRY).union(frame("c")), "lists": frame("l")}, path)
+    assert keys() == {"a", "b", "c"}
+    (tmp_path / "state" / f".{state.POINTER}.crc").unlink(missing_ok=True)
+    (tmp_path / "state" / state.POINTER).write_text("version-lost")
+    with pytest.raises(RuntimeError):
+        keys()
+    (tmp_path / "state" / state.POINTER).unlink()
+    with pytest.raises(RuntimeError):
+        keys()
+
+
+def test_a_stopped_swap_is_put_right(spark, tmp_path):
+    path = tmp_path / "table"
+    sinks.publish(spark.range(3).toDF("n"), str(path))
+    path.rename(tmp_path / "table.old-1")
+    sinks.recover(spark, str(path))
+    assert spark.read.parquet(str(path)).count() == 3
