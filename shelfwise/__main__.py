@@ -8,11 +8,12 @@ from pyspark.sql import SparkSession
 
 from shelfwise.operators.coherence import least_coherent
 from shelfwise.plans import jobs
-from shelfwise.session import tune
+from shelfwise.session import drop_scratch, tune
 from shelfwise.sources.files import path_exists, read_csv_strings
 
 
 _OPTIONAL = {"scan", "profiles", "analysis", "source", "state", "tags", "primary", "secondary", "countries"}
+_HARVESTS = ("tags", "primary", "secondary", "countries", "fingerprints")
 _CACHED = ("library", "tags", "primary", "secondary", "countries")
 
 
@@ -51,8 +52,44 @@ def main() -> None:
     for name in ("analyse", "coherence", "split"):
         command(name, *_CACHED, "out")
     command("progress", *_CACHED)
+    pending = commands.add_parser("pending")
+    pending.add_argument("--harvest", choices=_HARVESTS, required=True)
+    pending.add_argument("--library", help="library CSV, or the file scan CSV for fingerprints", required=True)
+    pending.add_argument("--cache", help="the harvest's cache")
+    pending.add_argument("--out", required=True)
+    pending.add_argument("--limit", type=int, default=0)
+    pending.add_argument("--retry", action="store_true", help="ask for misses again")
+    pending.add_argument("--exclude", action="append", default=[], help="part of a path to leave out")
+    batches = commands.add_parser("batches")
+    batches.add_argument("--library", required=True)
+    batches.add_argument("--cache")
+    batches.add_argument("--out", required=True)
+    batches.add_argument("--used", type=int, default=0, help="requests already used")
+    batches.add_argument("--retry", action="store_true")
     args = parser.parse_args()
     spark = SparkSession.builder.appName(f"shelfwise {args.command}").getOrCreate()
+    try:
+        run(spark, args, parser)
+    finally:
+        drop_scratch(spark)
+
+
+def _pending_command(spark: SparkSession, args: argparse.Namespace):
+    """Write what a harvest has to ask for next; returns how much that is."""
+    library = read_csv_strings(spark, args.library)
+    if args.command == "batches":
+        rows = jobs.pending_batches(library, jobs.load_cache(spark, "primary", args.cache), args.used, args.retry)
+    elif args.harvest == "fingerprints":
+        cache = jobs.load_cache(spark, "fingerprints", args.cache)
+        rows = jobs.pending_files(library, cache, tuple(args.exclude), args.limit)
+    else:
+        rows = jobs.pending_keys(library, jobs.load_cache(spark, args.harvest, args.cache), args.harvest, args.limit, args.retry)
+    rows.write.mode("overwrite").parquet(args.out)
+    return spark.read.parquet(args.out).selectExpr("count(*) AS pending")
+
+
+def run(spark: SparkSession, args: argparse.Namespace, parser: argparse.ArgumentParser) -> None:
+    tune(spark)
 
     def optional_csv(path: str | None):
         return read_csv_strings(spark, path) if path and path_exists(spark, path) else None
@@ -77,6 +114,8 @@ def main() -> None:
     elif args.command == "retag":
         cache = jobs.load_cache(spark, "fingerprints", args.fingerprints)
         result = jobs.report_retag(cache, read_csv_strings(spark, args.csv), args.out)
+    elif args.command in ("pending", "batches"):
+        result = _pending_command(spark, args)
     elif args.command in ("analyse", "coherence", "split", "progress"):
         result = _library_command(tune(spark), args)
     else:

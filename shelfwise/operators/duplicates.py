@@ -34,18 +34,23 @@ def duplicate_groups(files: DataFrame) -> DataFrame:
 def rank_duplicates(files: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Files of duplicate groups, best quality first; the first is kept.
 
-    Quality is bit rate, then size (unreadable numbers count as 0), then input order.
+    Quality is bit rate, then size (unreadable numbers count as 0), then input order, which must be
+    unique. Files are counted and ranked on a 128-bit hash of their key; texts are fetched last, for
+    members of groups only.
     """
-    candidates = materialize(dedup_candidates(files), "candidates")  # keys are computed once
-    groups = duplicate_groups(candidates)
-    members = candidates.join(groups, KEY)
+    mark = [F.xxhash64(*KEY).alias("_h1"), F.xxhash64(F.lit(1), *KEY[::-1]).alias("_h2")]
+    narrow = materialize(dedup_candidates(files).select(*mark, "ordinal"), "candidates")  # keys of all files are computed once
+    shared = narrow.groupBy("_h1", "_h2").agg(F.count("*").alias("n")).filter("n > 1")
+    known = narrow.join(shared, ["_h1", "_h2"]).select("ordinal")
+    members = materialize(keyed_files(files.join(known, "ordinal")), "members")
+    groups = duplicate_groups(members)
     order = [
         F.desc(number_or_zero(F.col("bitrate_kbps"))),
         F.desc(number_or_zero(F.col("size_bytes"))),
         F.asc("ordinal"),
     ]
     sizes = groups.select("group_id", F.col("n_files").alias("count"))
-    ranked = grouped_rank(members, ["group_id"], order, "rank", max_group_rows, sizes)
+    ranked = grouped_rank(members.join(groups, KEY), ["group_id"], order, "rank", max_group_rows, sizes)
     action = F.when(F.col("rank") == 1, "keep").otherwise("candidate_removal")
     return ranked.withColumn("action", action).select(
         "group_id", "artist", "title", "rank", "action", "path",

@@ -74,8 +74,10 @@ def plan_batches(
     The requests used before a batch follow from its number, so no running sum is needed.
     A request sends the first artist and the start of the title.
     """
-    numbered = global_index(pending, order, "_n", start=0)
-    total = numbered.agg(F.count("*").alias("n")).scalar()
+    # Only rows that the budget may reach are sorted and numbered: a bounded number, in one task.
+    sendable = pending.orderBy(*order).limit(max(0, budget - used))
+    numbered = sendable.withColumn("_n", F.row_number().over(Window.orderBy(*order)) - 1)
+    total = pending.agg(F.count("*").alias("n")).scalar()
     last = F.least((F.floor(F.col("_n") / size) + 1) * size, total)
     return numbered.filter(last + used <= budget).select(
         *pending.columns,

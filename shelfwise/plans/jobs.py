@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.text import track_key
 from shelfwise.operators import catalog, coherence, duplicates, enrich, harvest, history, matching, places, splitting
+from shelfwise.operators.indexing import first_wins, last_wins
 from shelfwise.session import materialize, tune
 from shelfwise.sinks.state import publish_state, read_state
 from shelfwise.sinks.tables import grown_registry, next_counter, publish, publish_all, write_paths, write_report
@@ -235,7 +236,32 @@ def load_cache(spark: SparkSession, name: str, path: str | None) -> DataFrame:
         return spark.createDataFrame([], columns)
     if path.endswith(".json"):
         return file_sources.import_json_cache(spark, path, schema, key)
-    return spark.read.schema(columns).parquet(path)
+    # Parquet caches are appended to: a key written twice counts once, the later row.
+    stored = spark.read.schema(columns).parquet(path).withColumn("_row", F.monotonically_increasing_id())
+    return last_wins(stored, [key], "_row").drop("_row")
+
+
+def pending_keys(library: DataFrame, cache: DataFrame, name: str, limit: int = 0, retry: bool = False) -> DataFrame:
+    """What the harvest ``name`` still has to ask for, in library order; with ``retry`` misses again.
+
+    Artists for tags and countries, tracks for features.
+    """
+    if name in ("tags", "countries"):
+        return enrich.pending_work(enrich.unique_artists(library), cache, "norm", limit)
+    tracks = first_wins(
+        library.select(track_key(F.col("artist"), F.col("track")).alias("track_key"), "artist", "track", "ordinal"), ["track_key"])
+    return enrich.pending_work(tracks, enrich.retry_misses(cache) if retry else cache, "track_key", limit)
+
+
+def pending_batches(library: DataFrame, cache: DataFrame, used: int = 0, retry: bool = False) -> DataFrame:
+    """The next batches of tracks within the request budget, after ``used`` requests."""
+    return harvest.plan_batches(pending_keys(library, cache, "primary", retry=retry), ["ordinal"], used=used)
+
+
+def pending_files(scan: DataFrame, cache: DataFrame, excluded: tuple[str, ...] = (), limit: int = 0) -> DataFrame:
+    """Files with unusable tags that have no fingerprint yet, outside the excluded folders."""
+    targets = duplicates.weak_tag_targets(scan, excluded or duplicates.EXCLUDED_PARTS)
+    return enrich.pending_work(targets, cache, "path", limit)
 
 
 def harvest_coverage(

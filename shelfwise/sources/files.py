@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from shelfwise.functions.paths import (
     AUDIO_EXTENSIONS, QUARANTINE, extension, file_kind, filename, guess_artist_title, in_folder, stem,
 )
+from shelfwise.operators.indexing import global_index
 from shelfwise.session import materialize
 
 HISTORY_SCHEMA = T.StructType([
@@ -54,7 +55,12 @@ def read_csv_strings(spark: SparkSession, path: str) -> DataFrame:
     """
     raw = _csv(spark).option("header", True).option("inferSchema", False).csv(path)
     named = raw.toDF(*[c.lstrip("﻿") for c in raw.columns])
-    return materialize(named.withColumn("ordinal", F.monotonically_increasing_id()), "csv")
+    if len(raw.inputFiles()) <= 1:
+        return materialize(named.withColumn("ordinal", F.monotonically_increasing_id()), "csv")
+    # Splits are packed by size, so rows of several files are numbered by (path, place in the file).
+    cells = [F.col(f"`{old}`").alias(new) for old, new in zip(raw.columns, named.columns)]
+    placed = raw.select(*cells, F.col("_metadata.file_path").alias("_path"), F.monotonically_increasing_id().alias("_row"))
+    return global_index(materialize(placed, "csv"), ["_path", "_row"], "ordinal", start=0).drop("_path", "_row")
 
 
 def read_table_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:

@@ -56,3 +56,35 @@ def test_command_line(spark, inputs, monkeypatch, capsys):
     monkeypatch.setattr(sys, "argv", ["shelfwise", "progress", "--library", str(inputs / "lib.csv"), "--tags", str(inputs / "tags.json")])
     cli.main()
     assert "stream" in capsys.readouterr().out
+
+
+def test_pending_work_of_each_harvest(spark, tmp_path):
+    """Library order, limits, misses again, caches with a key written twice, excluded folders."""
+    library = spark.createDataFrame(
+        [(i, "p", a, t) for i, (a, t) in enumerate([("A, B", "x"), ("A", "y"), ("C", "z"), ("A", "y")])],
+        "ordinal bigint, playlist string, artist string, track string")
+    artists = jobs.pending_keys(library, spark.createDataFrame([("b",)], "norm string"), "tags")
+    assert [r["norm"] for r in artists.orderBy("ordinal", "pos").collect()] == ["a", "c"]
+    path = str(tmp_path / "primary")
+    columns = f"track_key string, {jobs.CACHES['primary'][1]}"
+    for found in (False, True):
+        rest = [None] * (len(jobs.CACHES["primary"][1].split(",")) - 1)
+        spark.createDataFrame([("a||y", found, *rest), ("c||z", False, *rest)], columns).coalesce(1).write.mode("append").parquet(path)
+    cache = jobs.load_cache(spark, "primary", path)
+    assert cache.count() == 2
+    assert [r["track_key"] for r in jobs.pending_keys(library, cache, "primary").collect()] == ["a, b||x"]
+    again = {r["track_key"] for r in jobs.pending_keys(library, cache.withColumn("found", cache["track_key"] == "a||y"), "primary", retry=True).collect()}
+    assert again == {"a, b||x", "c||z"}
+    assert [r["sent_track"] for r in jobs.pending_batches(library, cache).collect()] == ["x"]
+    scan = spark.createDataFrame([("/m/1.mp3", "", "t", 0), ("/m/radio/2.mp3", "", "t", 1), ("/m/3.mp3", "", "t", 2), ("/m/4.mp3", "a", "t", 3)],
+                                 "path string, artist string, title string, ordinal bigint")
+    done = spark.createDataFrame([("/m/3.mp3",)], "path string")
+    assert {r["path"] for r in jobs.pending_files(scan, done).collect()} == {"/m/1.mp3"}
+    assert {r["path"] for r in jobs.pending_files(scan, done, ("/m/1",)).collect()} == {"/m/radio/2.mp3"}
+
+
+def test_rows_of_several_csv_files_keep_their_order(spark, tmp_path):
+    for name, rows in (("b.csv", 3), ("a.csv", 400), ("c.csv", 50)):
+        (tmp_path / name).write_text("v\n" + "".join(f"{name[0]}{i}\n" for i in range(rows)))
+    read = read_csv_strings(spark, str(tmp_path)).orderBy("ordinal").collect()
+    assert [r["v"] for r in read] == [f"{n}{i}" for n, k in (("a", 400), ("b", 3), ("c", 50)) for i in range(k)]
