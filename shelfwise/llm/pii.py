@@ -36,7 +36,7 @@ _TITLES = MALE + FEMALE + NEUTRAL
 _NAME = r"[^\W\d_a-zà-öø-ÿ][^\W\d_]+(?:['’-][^\W\d_]+)*"
 _PATTERNS = {
     "email": r"(?<![\w.+%-])[A-Za-z0-9_%+-](?:[A-Za-z0-9._%+-]{0,62}[A-Za-z0-9_%+-])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z]{2,24}(?![\w-])",
-    "secret": r"(?:(?<=[^\w])|^)(?i:password|passwd|pwd|token|secret|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?(?P<value>[A-Za-z0-9+/_.-]{7,}[A-Za-z0-9])",
+    "secret": r"(?:(?<=[^\w])|^)(?i:password|passwd|pwd|token|secret|api[_-]?key)[ \t]{0,3}[=:][ \t]{0,3}[\"']?(?P<value>[A-Za-z0-9+/_.-]{7,}[A-Za-z0-9])",
     "key": r"(?<!\w)(?:AKIA|ASIA)[A-Z0-9]{16}(?!\w)",
     "iban": r"(?<!\w)[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?!\w)",
     "ip": r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\w)",
@@ -46,8 +46,8 @@ _PATTERNS = {
     "person": r"(?<!\w)(?P<title>" + "|".join(sorted(_TITLES, key=len, reverse=True)) + r")(?:\.[ ]?|[ ])(?P<name>" + _NAME + r"(?:[ ]" + _NAME + r"){0,2})",
 }
 _FINDER = re.compile("|".join(f"(?P<{kind}>{pattern})" for kind, pattern in _PATTERNS.items()))
-_TRIGGER = re.compile(r"[0-9@]")
-_SECRET = re.compile(r"(?i)password|passwd|pwd|token|secret|api[_-]?key")
+# What every entity holds; no entity goes on over the end of a line.
+_TRIGGER = re.compile(r"[0-9@=:]|(?:" + "|".join(sorted(_TITLES, key=len, reverse=True)) + r")[. ]")
 
 # The first and last letters that stand for a script in surrogates.
 _LETTERS = [("a", "z"), ("а", "я"), ("α", "ρ"), ("א", "ת"), ("ا", "غ"), ("अ", "ह"), ("ぁ", "ん"), ("ァ", "ン"), ("가", "힣"), ("一", "龥")]
@@ -76,12 +76,20 @@ def _script(word: str) -> str:
     return name if name in _SYLLABLES else "other"
 
 
+def _lines(text: str) -> Iterator[tuple[int, int]]:
+    """The lines that may hold an entity."""
+    end = -1
+    for m in _TRIGGER.finditer(text):
+        if m.start() >= end:
+            start, end = text.rfind("\n", 0, m.start()) + 1, text.find("\n", m.start())
+            end = len(text) if end < 0 else end
+            yield start, end
+
+
 def find(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, normal form) of each entity, in order and apart from each other."""
-    if not _TRIGGER.search(text) and not _SECRET.search(text) and not any(t in text for t in _TITLES):
-        return []
     out, surnames = [], {}
-    for m in _FINDER.finditer(text):
+    for m in (m for start, end in _lines(text) for m in _FINDER.finditer(text, start, end)):
         kind, value, start = m.lastgroup, m[0], m.start()
         if kind in ("value", "title", "name"):
             kind = "secret" if m["secret"] else "person"

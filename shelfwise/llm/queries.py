@@ -137,9 +137,9 @@ def language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 @_register("op4_pii_surrogates")
 def pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
-    """All documents with surrogates for the personal data in them."""
+    """All documents with surrogates for the personal data in them, without what was found."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return with_surrogates(docs, SURROGATE_KEY).select("doc_id", "text", F.size("entities").cast("long").alias("n_entities"), "entities")
+    return with_surrogates(docs, SURROGATE_KEY).select("doc_id", "text", F.size("entities").cast("long").alias("n_entities"))
 
 
 @_register("op6_block_top_k", """
