@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shelfwise.functions.numbers import safe_double, safe_long
 from shelfwise.functions.text import blank_to_null, with_norm_key
 from shelfwise.operators.indexing import first_wins, last_wins, with_sequential_id
+from shelfwise.session import materialize
 
 KEY = ["na", "nt"]
 # The names of the two origins, in order of precedence.
@@ -25,8 +26,32 @@ def _has_key() -> Column:
 
 
 def keyed_library(library: DataFrame) -> DataFrame:
-    """The library with its match keys; already keyed input is taken as it is."""
-    return library if set(KEY) <= set(library.columns) else with_norm_key(library, na="artist", nt="track")
+    """The library with its match keys; already keyed input is taken as it is.
+
+    Keys are computed once per distinct (artist, track); a written table on the right lets AQE
+    split the rows of a frequent pair.
+    """
+    if set(KEY) <= set(library.columns):
+        return library
+    pairs = materialize(with_norm_key(library.select("artist", "track").distinct(), na="artist", nt="track"), "pairs")
+    pairs = pairs.withColumnsRenamed({"artist": "_artist", "track": "_track"})
+    same = F.col("artist").eqNullSafe(F.col("_artist")) & F.col("track").eqNullSafe(F.col("_track"))
+    return library.join(pairs, same).drop("_artist", "_track")
+
+
+def first_pairs(library: DataFrame) -> DataFrame:
+    """The first row of each (artist, track) with its match keys."""
+    if set(KEY) <= set(library.columns):
+        return library
+    return with_norm_key(first_wins(library.select("artist", "track", "album", "ordinal"), ["artist", "track"]), na="artist", nt="track")
+
+
+def key_marks() -> dict[str, Column]:
+    """A 128-bit hash of the match key, to join and group on; null without a key."""
+    return {
+        "_h1": F.when(_has_key(), F.xxhash64(*KEY)),
+        "_h2": F.when(_has_key(), F.xxhash64(F.lit(1), *KEY[::-1])),
+    }
 
 
 def keyed_files(files: DataFrame) -> DataFrame:
@@ -46,11 +71,11 @@ def canonical_tracks(library: DataFrame, files: DataFrame | None = None) -> Data
             F.lit(origin).alias("origin"), F.lit(rank).alias("source_rank"), "ordinal",
         )
 
-    rows = part(keyed_library(library), "track", LIBRARY_ORIGIN, 0)
+    rows = part(first_pairs(library), "track", LIBRARY_ORIGIN, 0)
     if files is not None:
         rows = rows.unionByName(part(keyed_files(files), "title", LOCAL_ORIGIN, 1))
-    rows = rows.withColumn("_order", F.struct("source_rank", "ordinal"))
-    unique = first_wins(rows, KEY, "_order").drop("_order")
+    rows = rows.withColumns(key_marks() | {"_order": F.struct("source_rank", "ordinal")})
+    unique = first_wins(rows, ["_h1", "_h2"], "_order").drop("_order", "_h1", "_h2")
     return with_sequential_id(unique, ["source_rank", "ordinal"], "TRK", 6)
 
 
@@ -71,9 +96,10 @@ def playlists_table(library: DataFrame, profiles: DataFrame | None = None) -> Da
 
 def playlist_tracks(library: DataFrame, playlists: DataFrame, tracks: DataFrame) -> DataFrame:
     """Distinct (playlist_id, track_id) links."""
-    links = keyed_library(library).filter(_has_key()).select("playlist", *KEY).distinct()
+    pairs = library.select("playlist", "artist", "track", *[k for k in KEY if k in library.columns]).distinct()
+    links = keyed_library(pairs).filter(_has_key()).select("playlist", *key_marks().values()).toDF("playlist", "_h1", "_h2").distinct()
     return (
-        links.join(tracks.select(*KEY, F.col("id").alias("track_id")), KEY)
+        links.join(tracks.withColumns(key_marks()).select("_h1", "_h2", F.col("id").alias("track_id")), ["_h1", "_h2"])
         .join(playlists.select(F.col("name").alias("playlist"), F.col("id").alias("playlist_id")), "playlist")
         .select("playlist_id", "track_id")
     )
@@ -101,11 +127,11 @@ def match_files(files: DataFrame, tracks: DataFrame) -> DataFrame:
     the file that brought a new track, ``orphan`` has no usable key and joins nothing.
     """
     keyed = keyed_files(files)
-    known = tracks.select(
-        *KEY, F.col("id").alias("track_id"), "origin", F.col("ordinal").alias("_first")
+    known = tracks.withColumns(key_marks()).select(
+        "_h1", "_h2", F.col("id").alias("track_id"), "origin", F.col("ordinal").alias("_first")
     )
-    # An empty key is replaced by nulls, so orphans neither match nor pile up on one key.
-    joinable = keyed.withColumns({c: F.when(_has_key(), F.col(c)) for c in KEY})
+    # A file without a key has null marks, so orphans neither match nor pile up on one key.
+    joinable = keyed.withColumns(key_marks()).drop(*KEY)
     created = (F.col("origin") == LOCAL_ORIGIN) & (F.col("ordinal") == F.col("_first"))
     match_class = (
         F.when(F.col("track_id").isNull(), "orphan")
@@ -114,9 +140,9 @@ def match_files(files: DataFrame, tracks: DataFrame) -> DataFrame:
         .otherwise("matched_local")
     )
     return (
-        joinable.join(known, KEY, "left")
+        joinable.join(known, ["_h1", "_h2"], "left")
         .withColumn("match_class", match_class)
-        .drop("_first", "origin", *KEY)
+        .drop("_first", "origin", "_h1", "_h2")
     )
 
 

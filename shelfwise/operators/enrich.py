@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shelfwise.functions.numbers import minutes_seconds, mood, round_even
 from shelfwise.functions.text import norm_ws, strip, track_key
 from shelfwise.operators.indexing import first_wins
+from shelfwise.session import materialize
 
 # Frequent tags that are not genres, and the shape of unusable tags.
 TAG_BLACKLIST = (
@@ -137,19 +138,19 @@ def analysis_table(
     countries: DataFrame,
 ) -> DataFrame:
     """One analysed row per library row: genres, country of the first artist, features."""
-    keyed = library.withColumns({
+    pairs = library.select("artist", "track").distinct().withColumns({
         "track_key": track_key(F.col("artist"), F.col("track")),
         "_first": norm_ws(F.get(F.split("artist", ", "), F.lit(0))),
     })
     joined = (
-        with_features(keyed, primary, secondary)
+        with_features(pairs, primary, secondary)
         .join(track_genres(library, tags), "artist", "left")
         .join(countries.select(F.col("norm").alias("_first"), "country"), "_first", "left")
     )
     f = F.col("features")
     own_mood = F.nullif(f["mood"], F.lit(""))
-    return joined.select(
-        "ordinal", "playlist", "artist", "track", "album",
+    found = materialize(joined.select(
+        F.col("artist").alias("_artist"), F.col("track").alias("_track"),
         F.coalesce("genres", F.lit("")).alias("genres"),
         F.coalesce("country", F.lit("")).alias("country"),
         F.when(f.isNotNull(), F.coalesce(own_mood, mood(f["energy"], f["valence"])))
@@ -159,7 +160,10 @@ def analysis_table(
         F.coalesce(f["camelot"], F.lit("")).alias("camelot"),
         F.coalesce(minutes_seconds(f["duration_ms"]), F.lit("")).alias("duration"),
         f.isNotNull().alias("found"),
-    )
+    ), "analysed")
+    # All lookups are done per distinct pair; the library's rows are moved once, to meet theirs.
+    same = F.col("artist").eqNullSafe(F.col("_artist")) & F.col("track").eqNullSafe(F.col("_track"))
+    return library.select("ordinal", "playlist", "artist", "track", "album").join(found, same).drop("_artist", "_track")
 
 
 def build_coverage(analysis: DataFrame) -> DataFrame:

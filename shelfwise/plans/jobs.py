@@ -36,7 +36,6 @@ def build_music(
         library = spark.createDataFrame([], "playlist string, artist string, track string, album string").withColumn(
             "ordinal", F.lit(None).cast(scan.schema["ordinal"].dataType)
         )
-    library = materialize(catalog.keyed_library(library), "library")
     if scan is not None:
         scan = materialize(catalog.keyed_files(scan), "scan")
     tracks = catalog.canonical_tracks(library, scan)
@@ -57,7 +56,7 @@ def build_music(
 
 
 def _no_files(library: DataFrame) -> DataFrame:
-    return library.limit(0).select("artist", F.col("track").alias("title"), "album", "ordinal", "na", "nt").withColumn(
+    return library.limit(0).select("artist", F.col("track").alias("title"), "album", "ordinal").withColumn(
         "path", F.lit("")
     )
 

@@ -161,8 +161,8 @@ class _Built(NamedTuple):
 
 
 def _build(spark: SparkSession, folder: str) -> _Built:
-    # The match keys are read by several tables, so both inputs are keyed once.
-    library = materialize(catalog.keyed_library(v.library(spark, folder)), "library")
+    # The match keys of the scan are read by several tables, so it is keyed once.
+    library = v.library(spark, folder)
     scan = materialize(catalog.keyed_files(v.local_files(spark, folder)), "scan")
     tracks = catalog.canonical_tracks(library, scan)
     playlists = catalog.playlists_table(library, v.profiles(spark, folder))

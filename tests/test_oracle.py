@@ -21,7 +21,11 @@ def duck():
 def test_query(spark, duck, name):
     """Equal to its SQL and not empty; a query that SQL cannot express has brute-force tests of its own."""
     if name in SQL:
-        assert compare(spark, duck, name, queries()[name], SQL[name], FOLDER) is None
+        problem = compare(spark, duck, name, queries()[name], SQL[name], FOLDER)
+        if problem == "no rows":  # the smallest tables have none of some cases
+            larger = FOLDER.replace("sf0.001", "sf0.01")
+            problem = compare(spark, connect(larger), name, queries()[name], SQL[name], larger)
+        assert problem is None
     else:
         assert not queries()[name](spark, FOLDER).isEmpty()
 
