@@ -159,7 +159,8 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     texts = texts.select("id", F.xxhash64("text").alias("tid"), "text")
     found = texts.select("tid", "text").mapInArrow(_seeds(length), "anchor long, extension long, tid long, span long")
-    shared = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
+    # Written tables on the right leave both sides of each join to plain exchanges, which AQE can split.
+    shared = materialize(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor"), "anchors")
     found = materialize(found.join(shared, "anchor"), "seeds")
 
     classes = materialize(
@@ -168,17 +169,18 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         found.join(classes.filter("n > 1").select("anchor", "extension"), ["anchor", "extension"], "left_semi").select("tid", "span")
     )
     # Anchors whose extensions differ, one seed for each extension; a class of several counts twice.
-    differing = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("n")).filter("k > 1 and n = 1").select("anchor")
+    differing = materialize(
+        classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("n")).filter("k > 1 and n = 1").select("anchor"), "differing")
     asked = (
         classes.join(differing, "anchor")
         .select("one.tid", F.struct(F.col("one.span").alias("span"), F.least("n", F.lit(2)).alias("weight")).alias("seed"))
         .groupBy("tid").agg(F.collect_list("seed").alias("spans"))
     )
-    windows = (
+    windows = materialize(
         texts.join(asked.hint("shuffle_hash"), "tid").select("id", "tid", "text", "spans")
-        .mapInArrow(_windows(length), "window long, weight long, tid long, span long")
+        .mapInArrow(_windows(length), "window long, weight long, tid long, span long"), "windows",
     )
-    again = windows.groupBy("window").agg(F.sum("weight").alias("n")).filter("n > 1").select("window")
+    again = materialize(windows.groupBy("window").agg(F.sum("weight").alias("n")).filter("n > 1").select("window"), "again")
     single = windows.filter("weight = 1").join(again, "window").select("tid", "span")
     gone = repeated.unionByName(single).distinct().groupBy("tid").agg(F.collect_list("span").alias("spans"))
 
