@@ -251,8 +251,9 @@ def unpacked(tokens: pa.Buffer) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-def _sets(words: int, filled: np.ndarray) -> Callable:
-    """The whole sets of the rows that may be a class's first row."""
+def _sets(words: int, filled: np.ndarray, whole: bool) -> Callable:
+    """Sizes and bitmaps, or whole sets, of the rows that may be a class's first row."""
+    names = ["sid", "tokens"] if whole else ["sid", "n", "bits"]
 
     def run(batches):
         for batch in batches:
@@ -260,11 +261,13 @@ def _sets(words: int, filled: np.ndarray) -> Callable:
                 sets = list(shingle_sets(part["text"], words))
                 sids = np.array([set_id(s) if len(s) else 0 for s in sets], np.int64)
                 may = passes(filled, sids.view(np.uint64) ^ mix(part["mark"].to_numpy().view(np.uint64)))
-                sets = [s for s, n in zip(sets, may) if n and len(s)]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([set_id(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([signature(s) for s in sets], pa.binary()), pa.array([packed(s) for s in sets], pa.binary()),
-                ], ["sid", "n", "bits", "tokens"])
+                kept = [(sid, s) for sid, s, m in zip(sids.tolist(), sets, may) if m and len(s)]
+                columns = [pa.array([sid for sid, _ in kept], pa.int64())]
+                if whole:
+                    columns.append(pa.array([packed(s) for _, s in kept], pa.binary()))
+                else:
+                    columns += [pa.array([len(s) for _, s in kept], pa.int64()), pa.array([signature(s) for _, s in kept], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     return run
 
@@ -323,12 +326,31 @@ def _with_sets(pairs: DataFrame, sets: DataFrame, columns: list[str]) -> DataFra
     return pairs
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs that do link."""
-    near = _with_sets(pairs, sets.select("sid", "n"), ["n"]).filter(
+def _bounded_pairs(pairs: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
+    """The pairs that sizes and bitmaps do not rule out."""
+    near = _with_sets(pairs, signs.select("sid", "n"), ["n"]).filter(
         f"100 * n_a >= {percent} * n_b and 100 * n_b >= {percent} * n_a").select("a", "b")
-    near = _with_sets(near, sets, ["n", "bits"]).mapInArrow(_bounded(percent), "a long, b long")
-    return _with_sets(near, sets, ["tokens"]).mapInArrow(_verified(percent), "a long, b long")
+    return _with_sets(near, signs, ["n", "bits"]).mapInArrow(_bounded(percent), "a long, b long")
+
+
+class _Texts:
+    """Sets are made again from the texts when asked for, for the classes that need them only."""
+
+    def __init__(self, source: DataFrame, first_of: DataFrame, words: int):
+        self.rows = source.filter("id is not null").select(F.xxhash64("id").alias("mark"), "text")
+        self.first_of, self.words = first_of, words
+
+    def of(self, sids: DataFrame, whole: bool) -> DataFrame:
+        """The whole sets, or sizes and bitmaps, of the classes in the column ``sid``."""
+        keys = materialize(self.first_of.join(sids, "sid", "left_semi").mapInArrow(_keys, "key long"), "keys")
+        schema = "sid long, tokens binary" if whole else "sid long, n long, bits binary"
+        return materialize(self.rows.mapInArrow(_sets(self.words, build(keys, keys.count()), whole), schema), "sets")
+
+    def links(self, pairs: DataFrame, percent: int) -> DataFrame:
+        """The pairs that do link, by their whole sets."""
+        ends = materialize(pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct(), "ends")
+        sets = self.of(ends, whole=True)
+        return materialize(_with_sets(pairs, sets, ["tokens"]).mapInArrow(_verified(percent), "a long, b long"), "links")
 
 
 def jaccard_components(
@@ -365,17 +387,14 @@ def jaccard_components(
     )
     wanted = members_of.select("sid").distinct()
     first_of = members.filter("id is not null").groupBy("sid").agg(F.min("id").alias("id")).join(wanted, "sid", "left_semi")
-    keys = materialize(first_of.select("sid", F.xxhash64("id").alias("mark")).mapInArrow(_keys, "key long"), "keys")
-    filled = build(keys, keys.count())
-    sets = materialize(
-        source.filter("id is not null").select(F.xxhash64("id").alias("mark"), "text")
-        .mapInArrow(_sets(words, filled), "sid long, n long, bits binary, tokens binary"), "sets",
-    )
+    first_of = materialize(first_of.select("sid", F.xxhash64("id").alias("mark")), "first-rows")
+    sets = _Texts(source, first_of, words)
+    signs = sets.of(first_of.select("sid"), whole=False)
 
     # Each class with the first one of its block. The blocks of one first class make up a larger block.
     first = materialize(members_of.groupBy("block").agg(F.min("sid").alias("a")), "firsts")
     stars = materialize(members_of.join(first, "block").filter("sid <> a").select("a", F.col("sid").alias("b")).distinct(), "stars")
-    links = materialize(_links(stars, sets, percent), "links")
+    links = sets.links(materialize(_bounded_pairs(stars, signs, percent), "near"), percent)
     roots = components(links)
 
     # Then the trees of the larger blocks that still hold several components.
@@ -393,12 +412,12 @@ def jaccard_components(
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
         .select("a", "sid", "root", "side", F.least("side", "other").alias("tile_a"), F.greatest("side", "other").alias("tile_b"))
     )
-    pairs = (
-        tiled.join(sets.select("sid", "n", "bits"), "sid")
+    pairs = materialize(
+        tiled.join(signs, "sid")
         .groupBy("a", "tile_a", "tile_b").applyInArrow(_traverse(percent), "a long, b long")
-        .distinct().join(stars, ["a", "b"], "left_anti")
+        .distinct().join(stars, ["a", "b"], "left_anti"), "near",
     )
-    more = materialize(_links(pairs, sets, percent), "links")
+    more = sets.links(pairs, percent)
     if not more.isEmpty():
         roots = components(links.unionByName(more))
 
