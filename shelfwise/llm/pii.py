@@ -46,8 +46,8 @@ _PATTERNS = {
     "person": r"(?<!\w)(?P<title>" + "|".join(sorted(_TITLES, key=len, reverse=True)) + r")(?:\.[ ]?|[ ])(?P<name>" + _NAME + r"(?:[ ]" + _NAME + r"){0,2})",
 }
 _FINDER = re.compile("|".join(f"(?P<{kind}>{pattern})" for kind, pattern in _PATTERNS.items()))
-# What every entity holds; no entity goes on over the end of a line.
-_TRIGGER = re.compile(r"[0-9@=:]|(?:" + "|".join(sorted(_TITLES, key=len, reverse=True)) + r")[. ]")
+# What every entity holds. Only white space beside a secret's sign may go on over the end of a line.
+_TRIGGER = re.compile(r"[\d@]|[=:]\s{0,3}|AKIA|ASIA|(?:" + "|".join(sorted(_TITLES, key=len, reverse=True)) + r")[. ]")
 
 # The first and last letters that stand for a script in surrogates.
 _LETTERS = [("a", "z"), ("а", "я"), ("α", "ρ"), ("א", "ת"), ("ا", "غ"), ("अ", "ह"), ("ぁ", "ん"), ("ァ", "ン"), ("가", "힣"), ("一", "龥")]
@@ -77,13 +77,23 @@ def _script(word: str) -> str:
 
 
 def _lines(text: str) -> Iterator[tuple[int, int]]:
-    """The lines that may hold an entity."""
-    end = -1
+    """Runs of whole lines that may hold an entity; no entity goes on over the end of a run."""
+    start = end = -1
     for m in _TRIGGER.finditer(text):
-        if m.start() >= end:
-            start, end = text.rfind("\n", 0, m.start()) + 1, text.find("\n", m.start())
-            end = len(text) if end < 0 else end
-            yield start, end
+        if m.end() <= end:
+            continue
+        low = m.start()
+        if text[low] in "=:":
+            while low > max(0, m.start() - 3) and text[low - 1].isspace():
+                low -= 1
+        low, high = text.rfind("\n", 0, low) + 1, text.find("\n", m.end())
+        if low > end:
+            if end >= 0:
+                yield start, end
+            start = low
+        end = len(text) if high < 0 else high
+    if end >= 0:
+        yield start, end
 
 
 def find(text: str) -> list[tuple[int, int, str, str]]:
