@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from cases import empty_docs, hard_docs, hard_rows, prose, rows_of
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from test_dedup import brute_exact, brute_near
 
@@ -15,6 +17,7 @@ from shelfwise.llm import pii
 from shelfwise.llm.block_search import exact_top_k
 from shelfwise.llm.lang_id import CELLS, Model, fit, held_out, identify, label_words, viterbi
 from shelfwise.llm.pii import find, iban_rest, luhn, replaced, settle, with_surrogates
+from shelfwise.llm.queries import QUERIES
 from shelfwise.llm.warc import read_archive, read_archives, read_record, write_archive, write_archives, write_record
 from shelfwise.session import scratch_path
 
@@ -184,6 +187,28 @@ def test_lines_hold_every_match():
     assert [k for _, _, k, _ in find("call (\u0662\u0664\u0669) \u0665\u0665\u0665-\u0666\u0668\u0663\u0665 now")] == ["phone"]
 
 
+def test_secrets_over_the_end_of_a_line():
+    for sign in (":\n", "\n=\n", " \n\n:\n\n\n", "\u00a0:\u00a0", ":\r\n", "\n\n\n=", "\u2028= "):
+        text = f"some words\nYour password{sign}ba8622c6c9448c25\nand more words"
+        assert [(k, v) for _, _, k, v in find(text)] == [("secret", "ba8622c6c9448c25")], sign
+    assert find("password\n\n\n\n: ba8622c6c9448c25") == []
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.sampled_from([*SHORTEST.values(), *"\n\n\n  :=.\u00a0\u0663", "\r\n", "word", "token", "api_key", "Mr", "AKIA", "1234567", "abcdefg8", "+"]), max_size=30))
+def test_lines_equal_whole_text(parts):
+    found, whole = spans("".join(parts))
+    assert found == whole
+    replaced("".join(parts), b"k", {})
+
+
+def test_query_returns_entities(spark):
+    folder = scratch_path(spark, "tables")
+    spark.createDataFrame([(1, PRIVATE), (2, CLEAN)], "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    found = {r["doc_id"]: r for r in QUERIES["op4_pii_surrogates"].run(spark, folder).collect()}
+    assert found[1]["n_entities"] == len(found[1]["entities"]) == 18 and found[2]["entities"] == []
+
+
 def test_surrogates_keep_type_and_coreference():
     text, entities = replaced(PRIVATE, b"k", {})
     assert not any(found in text for _, found, _ in entities)
