@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -163,9 +164,10 @@ def _members(words: int) -> Callable:
             sets = list(shingle_sets(batch["text"], words))
             yield pa.RecordBatch.from_arrays([
                 batch["id"],
+                batch["mark"],
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([set_id(s) if len(s) else None for s in sets], pa.int64()),
-            ], ["id", "n", "sid"])
+            ], ["id", "mark", "n", "sid"])
 
     return run
 
@@ -252,21 +254,24 @@ def unpacked(tokens: pa.Buffer) -> np.ndarray:
 
 
 def _sets(words: int, filled: np.ndarray, whole: bool) -> Callable:
-    """Sizes and bitmaps, or whole sets, of the rows that may be a class's first row."""
-    names = ["sid", "tokens"] if whole else ["sid", "n", "bits"]
+    """Sizes and bitmaps, or whole sets, of the rows that may be a class's first row; of repeated rows one a task."""
+    names = ["sid", "mark", "n", "tokens" if whole else "bits"]
+    pack = packed if whole else signature
 
     def run(batches):
+        seen: set[tuple[int, int]] = set()
         for batch in batches:
             for part in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
                 sets = list(shingle_sets(part["text"], words))
                 sids = np.array([set_id(s) if len(s) else 0 for s in sets], np.int64)
                 may = passes(filled, sids.view(np.uint64) ^ mix(part["mark"].to_numpy().view(np.uint64)))
-                kept = [(sid, s) for sid, s, m in zip(sids.tolist(), sets, may) if m and len(s)]
-                columns = [pa.array([sid for sid, _ in kept], pa.int64())]
-                if whole:
-                    columns.append(pa.array([packed(s) for _, s in kept], pa.binary()))
-                else:
-                    columns += [pa.array([len(s) for _, s in kept], pa.int64()), pa.array([signature(s) for _, s in kept], pa.binary())]
+                kept = {}
+                for sid, mark, s, m in zip(sids.tolist(), part["mark"].to_pylist(), sets, may):
+                    if m and len(s) and (sid, mark) not in seen:
+                        kept[sid, mark] = s
+                seen.update(kept)
+                columns = [pa.array([k[i] for k in kept], pa.int64()) for i in (0, 1)]
+                columns += [pa.array([len(s) for s in kept.values()], pa.int64()), pa.array([pack(s) for s in kept.values()], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     return run
@@ -319,56 +324,69 @@ def _traverse(percent: int) -> Callable:
     return run
 
 
-def _with_sets(pairs: DataFrame, sets: DataFrame, columns: list[str]) -> DataFrame:
-    """The columns of both ends; b is looked up first, as a may be the hub of many pairs."""
+class _Sets(NamedTuple):
+    """``rows`` may hold rows of no class and several of one; ``chosen`` has the one row of each class."""
+
+    chosen: DataFrame
+    rows: DataFrame
+
+
+def _with_chosen(pairs: DataFrame, sets: _Sets) -> DataFrame:
+    """The size and the row of both ends; b is looked up first, as a may be the hub of many pairs."""
+    for end in ("b", "a"):
+        pairs = pairs.join(sets.chosen.select(F.col("sid").alias(end), F.col("n").alias(f"n_{end}"), F.col("row").alias(f"row_{end}")), end)
+    return pairs
+
+
+def _with_column(pairs: DataFrame, sets: _Sets, column: str) -> DataFrame:
+    """The column of the rows of both ends."""
     for end in ("b", "a"):
-        pairs = pairs.join(sets.select(F.col("sid").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in columns]), end)
+        pairs = pairs.join(sets.rows.select(F.col("row").alias(f"row_{end}"), F.col(column).alias(f"{column}_{end}")), f"row_{end}")
     return pairs
 
 
-def _bounded_pairs(pairs: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
+def _bounded_pairs(pairs: DataFrame, signs: _Sets, percent: int) -> DataFrame:
     """The pairs that sizes and bitmaps do not rule out."""
-    near = _with_sets(pairs, signs.select("sid", "n"), ["n"]).filter(
-        f"100 * n_a >= {percent} * n_b and 100 * n_b >= {percent} * n_a").select("a", "b")
-    return _with_sets(near, signs, ["n", "bits"]).mapInArrow(_bounded(percent), "a long, b long")
+    near = _with_chosen(pairs, signs).filter(f"100 * n_a >= {percent} * n_b and 100 * n_b >= {percent} * n_a")
+    return _with_column(near, signs, "bits").mapInArrow(_bounded(percent), "a long, b long")
 
 
 class _Texts:
     """Sets are made again from the texts when asked for, for the classes that need them only."""
 
     def __init__(self, source: DataFrame, first_of: DataFrame, words: int):
-        self.rows = source.filter("id is not null").select(F.xxhash64("id").alias("mark"), "text")
-        self.first_of, self.words = first_of, words
-
-    def of(self, sids: DataFrame, whole: bool) -> DataFrame:
-        """The whole sets, or sizes and bitmaps, of the classes in the column ``sid``."""
-        keys = materialize(self.first_of.join(sids, "sid", "left_semi").mapInArrow(_keys, "key long"), "keys")
-        schema = "sid long, tokens binary" if whole else "sid long, n long, bits binary"
-        return materialize(self.rows.mapInArrow(_sets(self.words, build(keys, keys.count()), whole), schema), "sets")
+        self.rows, self.first_of, self.words = source.select("mark", "text"), first_of, words
+
+    def of(self, sids: DataFrame, whole: bool) -> _Sets:
+        """The whole sets, or the bitmaps, of the classes in the column ``sid``."""
+        firsts = materialize(self.first_of.join(sids, "sid", "left_semi"), "keys")
+        filled = build(firsts.mapInArrow(_keys, "key long"), firsts.count())
+        schema = f"sid long, mark long, n long, {'tokens' if whole else 'bits'} binary"
+        rows = materialize(
+            self.rows.mapInArrow(_sets(self.words, filled, whole), schema).withColumn("row", F.monotonically_increasing_id()), "sets")
+        # The filter lets other rows through, and copies of the first row lie in several tasks.
+        chosen = rows.select("sid", "mark", "n", "row").join(firsts, ["sid", "mark"]).groupBy("sid").agg(
+            F.min(F.struct("row", "n")).alias("one"))
+        return _Sets(materialize(chosen.select("sid", "one.row", "one.n"), "chosen"), rows)
 
     def links(self, pairs: DataFrame, percent: int) -> DataFrame:
         """The pairs that do link, by their whole sets."""
         ends = materialize(pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct(), "ends")
         sets = self.of(ends, whole=True)
-        return materialize(_with_sets(pairs, sets, ["tokens"]).mapInArrow(_verified(percent), "a long, b long"), "links")
+        found = _with_column(_with_chosen(pairs, sets), sets, "tokens")
+        return materialize(found.mapInArrow(_verified(percent), "a long, b long"), "links")
 
 
-def jaccard_components(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80
-) -> DataFrame:
-    """One row per row of ``docs``: (doc_id, n_shingles, component_id).
+def _linked(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
+    """One row per row of ``docs``: (id, mark, n, component_id, lead_mark, size).
 
-    Words are lower-cased in A-Z only. Two texts link when 100 * |intersection| >= percent * |union|
-    of their shingle sets. component_id is the smallest id reachable by links. A text of fewer
-    words than a shingle is one shingle; a null, empty or blank text has none, links with nothing
-    and is its own component. Rows that repeat a text share its component, also when they repeat an
-    id. A row without an id has its group's smallest id, or null if no member has one. An empty table
-    gives no rows; other columns are not looked at. Shingles and sets are told apart by 64-bit hashes.
+    The mark is a hash of id and text that every row has. Of the row that leads a component, the one
+    with the smallest id and then mark, every row has id and mark; size counts the component's rows.
     """
     spark = docs.sparkSession
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    source = docs.select(F.col(id_col).alias("id"), F.xxhash64(id_col, text_col).alias("mark"), F.col(text_col).alias("text"))
     texts = source.select("text")
-    members = materialize(source.mapInArrow(_members(words), f"id {docs.schema[id_col].dataType.simpleString()}, n long, sid long"), "members")
+    members = materialize(source.mapInArrow(_members(words), f"id {docs.schema[id_col].dataType.simpleString()}, mark long, n long, sid long"), "members")
     total = members.agg(F.count(F.lit(1)).alias("docs"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens")).first()
 
     # A bounded list: the tokens to be put last.
@@ -386,8 +404,8 @@ def jaccard_components(
         "blocks",
     )
     wanted = members_of.select("sid").distinct()
-    first_of = members.filter("id is not null").groupBy("sid").agg(F.min("id").alias("id")).join(wanted, "sid", "left_semi")
-    first_of = materialize(first_of.select("sid", F.xxhash64("id").alias("mark")), "first-rows")
+    first_of = materialize(
+        members.filter("sid is not null").groupBy("sid").agg(F.min("mark").alias("mark")).join(wanted, "sid", "left_semi"), "first-rows")
     sets = _Texts(source, first_of, words)
     signs = sets.of(first_of.select("sid"), whole=False)
 
@@ -413,7 +431,7 @@ def jaccard_components(
         .select("a", "sid", "root", "side", F.least("side", "other").alias("tile_a"), F.greatest("side", "other").alias("tile_b"))
     )
     pairs = materialize(
-        tiled.join(signs, "sid")
+        tiled.join(signs.chosen, "sid").join(signs.rows.select("row", "bits"), "row")
         .groupBy("a", "tile_a", "tile_b").applyInArrow(_traverse(percent), "a long, b long")
         .distinct().join(stars, ["a", "b"], "left_anti"), "near",
     )
@@ -423,13 +441,30 @@ def jaccard_components(
 
     full = members.filter("sid is not null").join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn(
         "root", F.coalesce("root", "sid"))
-    least = materialize(full.groupBy("root").agg(F.min("id").alias("component_id")), "least")
-    out = full.join(least, "root").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+    lead = F.min(F.struct(F.col("id").isNull(), "id", "mark")).alias("lead")
+    least = full.groupBy("root").agg(lead, F.count(F.lit(1)).alias("size"))
+    least = materialize(least.select("root", F.col("lead.id").alias("component_id"), F.col("lead.mark").alias("lead_mark"), "size"), "least")
+    out = full.join(least, "root").select("id", "mark", "n", "component_id", "lead_mark", "size")
     alone = members.filter("sid is null").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("id").alias("component_id"))
+        "id", "mark", "n", F.col("id").alias("component_id"), F.col("mark").alias("lead_mark"), F.lit(1).cast("long").alias("size"))
     return out.unionByName(alone)
 
 
+def jaccard_components(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80
+) -> DataFrame:
+    """One row per row of ``docs``: (doc_id, n_shingles, component_id).
+
+    Words are lower-cased in A-Z only. Two texts link when 100 * |intersection| >= percent * |union|
+    of their shingle sets. component_id is the smallest id reachable by links. A text of fewer
+    words than a shingle is one shingle; a null, empty or blank text has none, links with nothing
+    and is its own component. Rows that repeat a text share its component, also when they repeat an
+    id. A row without an id has its group's smallest id, or null if no member has one. An empty table
+    gives no rows; other columns are not looked at. Shingles and sets are told apart by 64-bit hashes.
+    """
+    return _linked(docs, id_col, text_col, words, percent).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+
+
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` whose id is their component's smallest; all columns unchanged.
 

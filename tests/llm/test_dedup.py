@@ -123,6 +123,31 @@ def test_jaccard_components_in_tiles(spark, monkeypatch):
     assert rows_of(jaccard_components(docs), "doc_id", "n_shingles", "component_id") == brute_near(rows)
 
 
+def test_jaccard_components_without_ids(spark):
+    """Near copies without an id, chains that only such a row links, and repeats of it."""
+    words = prose(8, 200).split(" ")
+    chain = [" ".join([f"edit{j}" if j < 12 * i else w for j, w in enumerate(words)]) for i in range(3)]
+    near = prose(9, 100)
+    rows = [(1, chain[0]), (None, chain[1]), (2, chain[2]), (3, near), (None, edited(near, 1, 1)), (None, edited(near, 2, 1))]
+    rows += [(None, edited(prose(10, 100), i, 1)) for i in range(3)] + [rows[1]] * 5 + [(4, prose(11, 100))] * 3 + [(4, edited(prose(11, 100), 1, 1))] * 2
+    wanted = brute_near(rows)
+    assert (2, 196, 1) in wanted and (None, 96, 3) in wanted and (None, 96, None) in wanted
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert rows_of(jaccard_components(docs), "doc_id", "n_shingles", "component_id") == wanted
+
+
+def test_full_filter_adds_no_pairs(spark, monkeypatch):
+    """Where every row passes the filter, each class still has one row in every pair."""
+    monkeypatch.setattr(ngram_join, "passes", lambda filled, keys: keys == keys)
+    seen = []
+    count = ngram_join._with_column
+    monkeypatch.setattr(ngram_join, "_with_column", lambda pairs, sets, column: seen.append((pairs.count(), (out := count(pairs, sets, column)).count(), sets.chosen.count())) or out)
+    rows = [(i, edited(prose(6, 90), i % 4, 1)) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert rows_of(jaccard_components(docs), "doc_id", "n_shingles", "component_id") == brute_near(rows)
+    assert seen and all(n == m <= 6 and classes <= 4 for n, m, classes in seen)
+
+
 def test_drop_near_copies(spark):
     docs = hard_docs(spark, True)
     kept = drop_near_copies(docs)
