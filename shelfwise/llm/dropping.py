@@ -1,9 +1,11 @@
-"""Dropping rows by id without moving the texts of the rows that stay."""
+"""Dropping rows without moving the texts of the rows that stay."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,6 +13,37 @@ from shelfwise.llm.bloom import build, passes
 from shelfwise.session import materialize
 
 
+def _filter(keys: DataFrame) -> Callable[[Column], Column]:
+    """Whether a 64-bit hash may be among the one column of ``keys``."""
+    filled = build(keys, keys.count())
+
+    @F.arrow_udf(T.BooleanType())
+    def may(key: pa.Array) -> pa.Array:
+        return pa.array(passes(filled, key.to_numpy(zero_copy_only=False).view("uint64")))
+
+    return may
+
+
+def one_row_each(docs: DataFrame, rows: DataFrame, key: Column, id_col: str = "doc_id") -> DataFrame:
+    """One of the rows of ``docs`` for each group, and all rows whose group is not listed.
+
+    ``rows`` has (id, key, stays) of all rows of the groups listed; ``key`` is the same key over
+    ``docs``, and id and key together tell the rows of a group apart. Of rows that repeat both, one
+    stays where stays says so. A null is an id. Only rows that may be listed go into the join.
+    """
+    listed = rows.groupBy(F.col("id").alias("_id"), F.col("key").alias("_listed")).agg(
+        F.bool_or("stays").alias("_stays"), F.count(F.lit(1)).alias("_rows"))
+    listed = materialize(listed.filter("not _stays or _rows > 1").select("_id", "_listed", "_stays"), "listed")
+    keyed = docs.withColumn("_key", key)
+    may = _filter(listed.select(F.xxhash64("_id", "_listed").alias("key")))(F.xxhash64(id_col, "_key"))
+    asked = keyed.filter(may)
+    found = asked.join(listed, (asked["_key"] == listed["_listed"]) & asked[id_col].eqNullSafe(listed["_id"]), "left")
+    out = keyed.filter(~may).unionByName(found.filter("_stays is null").select(*keyed.columns))
+    if not listed.filter("_stays").isEmpty():
+        out = out.unionByName(found.filter("_stays").select(*keyed.columns).dropDuplicates([id_col, "_key"]))
+    return out.select(*docs.columns)
+
+
 def without_ids(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` whose id is not among the one column of ``dropped``; a null is an id.
 
@@ -18,12 +51,6 @@ def without_ids(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id") ->
     dropped go into the join.
     """
     dropped = materialize(dropped.select(F.col(dropped.columns[0]).alias("_dropped")).distinct(), "dropped")
-    filled = build(dropped.select(F.xxhash64("_dropped").alias("key")), dropped.count())
-
-    @F.arrow_udf(T.BooleanType())
-    def may_go(key: pa.Array) -> pa.Array:
-        return pa.array(passes(filled, key.to_numpy(zero_copy_only=False).view("uint64")))
-
-    may = may_go(F.xxhash64(id_col))
+    may = _filter(dropped.select(F.xxhash64("_dropped").alias("key")))(F.xxhash64(id_col))
     asked = docs.filter(may)
     return docs.filter(~may).unionByName(asked.join(dropped, asked[id_col].eqNullSafe(dropped["_dropped"]), "left_anti"))

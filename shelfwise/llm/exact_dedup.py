@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.llm.dropping import without_ids
+from shelfwise.llm.dropping import one_row_each
 from shelfwise.session import materialize
 
 FIRST_DIGIT = 64
@@ -90,6 +90,13 @@ def exact_groups(
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, all their columns unchanged; an id of which one row stays, stays."""
-    by_id = exact_groups(docs, id_col, text_col).groupBy(id_col).agg(F.bool_or("kept").alias("kept"))
-    return without_ids(docs, by_id.filter(~F.col("kept")).select(id_col), id_col)
+    """One row of each group of equal texts, all its columns unchanged: one with the group's largest id.
+
+    Of rows that repeat id and text any one stays; in a group without ids one does. Where an id has
+    several texts, each is a row of its own group. Rows are found again by id and SHA-256.
+    """
+    groups = exact_groups(docs, id_col, text_col).filter("group_size > 1")
+    text = ascii_lower(F.coalesce(F.col(text_col), F.lit("")))
+    return one_row_each(
+        docs, groups.select(F.col(id_col).alias("id"), F.col("text_sha256").alias("key"), F.col("kept").alias("stays")),
+        F.sha2(text.cast("binary"), 256), id_col)

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm.bloom import build, passes
 from shelfwise.llm.components import components
-from shelfwise.llm.dropping import without_ids
+from shelfwise.llm.dropping import one_row_each
 from shelfwise.llm.words import blocks, mix, run_hashes, span_hashes, word_hashes
 from shelfwise.session import materialize
 
@@ -466,10 +466,11 @@ def jaccard_components(
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` whose id is their component's smallest; all columns unchanged.
+    """One row of each component, all its columns unchanged: one with the component's smallest id.
 
-    Rows without an id stay where a component has no id at all; an id of which one row stays, stays.
+    Of rows that repeat id and text any one stays; in a component without ids one row does. Texts
+    without words are components of their own, and stay. Rows are found again by id and a 64-bit hash.
     """
-    stays = F.col(id_col).eqNullSafe(F.col("component_id"))
-    by_id = jaccard_components(docs, id_col, text_col, words, percent).groupBy(id_col).agg(F.bool_or(stays).alias("stays"))
-    return without_ids(docs, by_id.filter("not stays").select(id_col), id_col)
+    rows = _linked(docs, id_col, text_col, words, percent).filter("size > 1")
+    stays = F.col("id").eqNullSafe(F.col("component_id")) & (F.col("mark") == F.col("lead_mark"))
+    return one_row_each(docs, rows.select("id", F.col("mark").alias("key"), stays.alias("stays")), F.xxhash64(id_col, text_col), id_col)

@@ -201,6 +201,40 @@ def test_without_repeats_partial_overlaps(spark):
     assert found == brute_repeats(rows, 35)
 
 
+def loose_rows():
+    """Null ids with unique, copied and nearly copied texts; rows repeated whole; ids with several texts."""
+    near, other = prose(9, 100), prose(12, 80)
+    rows = [(None, prose(30, 40)), (None, other), (8, other), (None, near), (3, edited(near, 1, 1)), (None, edited(near, 2, 1))]
+    rows += [(5, prose(31, 50))] * 4 + [(None, prose(32, 50))] * 3 + [(None, prose(33, 50).upper()), (None, prose(33, 50))]
+    rows += [(6, prose(34, 60)), (6, near), (6, prose(34, 60).upper()), (7, prose(35, 90)), (7, edited(prose(35, 90), 1, 1))]
+    return rows + [(None, None), (None, " "), (None, " "), (9, "")]
+
+
+def one_each(rows, groups, least_id):
+    """(id, number of rows) that stay of each group."""
+    members = {}
+    for row, group in zip(rows, groups):
+        members.setdefault(group, []).append(row[0])
+    return sorted(((least if least_id else best)(ids) for ids in members.values()), key=repr)
+
+
+def near_groups(rows):
+    """The component of each row, by brute force over the rows' places."""
+    found = {i: c for i, _, c in brute_near([(i, r[1]) for i, r in enumerate(rows)])}
+    return [found[i] for i in range(len(rows))]
+
+
+def test_drops_keep_one_row_of_each_group(spark):
+    for rows in (loose_rows(), [(r[0], r[1]) for r in hard_rows()]):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+        exact, near = ([(r["doc_id"], r["text"]) for r in drop(docs).collect()] for drop in (drop_exact_copies, drop_near_copies))
+        assert set(exact) <= set(rows) and set(near) <= set(rows)
+        assert sorted((i for i, _ in exact), key=repr) == one_each(rows, [lower(t) for _, t in rows], False)
+        assert sorted(lower(t) for _, t in exact) == sorted({lower(t) for _, t in rows})
+        assert sorted((i for i, _ in near), key=repr) == one_each(rows, near_groups(rows), True)
+        assert len(set(near_groups(near))) == len(near)
+
+
 def test_empty_tables(spark):
     docs = empty_docs(spark)
     for out in (exact_groups(docs), jaccard_components(docs), without_repeats(docs), drop_exact_copies(docs), drop_near_copies(docs)):

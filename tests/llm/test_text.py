@@ -11,7 +11,7 @@ from cases import empty_docs, hard_docs, hard_rows, prose, rows_of
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
-from test_dedup import brute_exact, brute_near
+from test_dedup import brute_exact, brute_near, loose_rows, lower, near_groups
 
 from shelfwise.llm import pii
 from shelfwise.llm.block_search import exact_top_k
@@ -304,3 +304,17 @@ def test_pipeline_stages(spark):
         assert ("example.org" in text) == (texts[i]["text"] != text)
         assert texts[i]["n_chars"] == (len(texts[i]["text"]) if "example.org" in text else n)
     assert {r["doc_id"] for r in kept["packing"]} == set(texts)
+
+
+def test_pipeline_stages_with_null_and_repeated_ids(spark):
+    """Row counts of the dedup stages, ids missing and repeated."""
+    rows = [(i, t, "en", "s", len(t or "")) for i, t in loose_rows()]
+    docs = spark.createDataFrame(rows, hard_docs(spark).schema).repartition(3)
+    stages = dict(corpus_pipeline.STAGES)
+    kept = {}
+    for name in ("exact copies", "near copies", "personal data"):
+        docs = corpus_pipeline.materialize(stages[name](spark, docs, ""), "stage")
+        kept[name] = docs.collect()
+    assert len(kept["exact copies"]) == len({lower(r[1]) for r in rows})
+    exact = [tuple(r) for r in kept["exact copies"]]
+    assert len(kept["personal data"]) == len(kept["near copies"]) == len(set(near_groups(exact)))
