@@ -7,9 +7,11 @@ cut there in two places:
 * in the whole text, found by table lookup on all bytes at once, where the second byte is ASCII
   white space and the first one ends a character that is not white space. No pre-token goes on
   over such a place and none looks beyond it, so both sides can be encoded on their own;
-* inside each pre-token of a fragment that is not known yet, before its merges are looked for.
+* inside each pre-token of a fragment that is not known yet, before its merges are looked for. This
+  holds for the merges in Python only: with the compiled encoder, the main path, texts are cut at
+  white space alone, and pairs inside pre-tokens are left to that encoder.
 
-Fragments are encoded independently and their ids concatenated. As they repeat, each worker keeps
+Fragments are encoded apart from each other and their ids concatenated. As they repeat, each worker keeps
 the encodings of short ones in a table of bounded size. New fragments of a block are encoded in one
 call: put one after the other they stay apart, as certain cuts lie between them, and this is
 checked on the lengths of the tokens that come back.
