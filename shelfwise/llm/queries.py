@@ -11,15 +11,18 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from shelfwise.llm.block_search import exact_top_k
 from shelfwise.llm.bpe import decoded, encode_texts, ids_text
+from shelfwise.llm.collocations import collocations
 from shelfwise.llm.exact_dedup import exact_groups
 from shelfwise.llm.lang_id import fit, held_out, identify
 from shelfwise.llm.ngram_join import jaccard_components
 from shelfwise.llm.packing import pack_documents
 from shelfwise.llm.pii import with_surrogates
+from shelfwise.llm.secrets import find_secrets, with_counts
 from shelfwise.llm.settings import SURROGATE_KEY, bpe_file
 from shelfwise.llm.sharding import shard_documents
 from shelfwise.llm.substring_dedup import without_repeats
 from shelfwise.llm.warc import round_trip
+from shelfwise.llm.whitening import by_component, whiten
 
 
 class Query(NamedTuple):
@@ -156,4 +159,44 @@ def block_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return exact_top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+@_register("op11_qd_whitening")
+def qd_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """The first eight whitened components of every vector."""
+    return by_component(whiten(table(spark, folder, "embeddings")))
+
+
+@_register("op12_secret_grammar")
+def secret_grammar(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets of all documents, by patterns and by automata learned from what these find."""
+    return with_counts(find_secrets(table(spark, folder, "documents")))
+
+
+@_register("op13_phrase_collocations", f"""
+    WITH RECURSIVE
+    w AS MATERIALIZED (
+        SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws
+        FROM (SELECT lang, unnest(string_split_regex({LOWER_TEXT}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+    n AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang),
+    g AS MATERIALIZED (
+        SELECT lang, k::INTEGER AS k, array_to_string(ws[i:i + k - 1], ' ') AS p, count(*) AS a
+        FROM (SELECT lang, ws, k, unnest(generate_series(1, len(ws) - k + 1)) AS i FROM w, generate_series(1, 4) t(k) WHERE len(ws) >= k)
+        GROUP BY ALL HAVING count(*) >= 30),
+    c AS MATERIALIZED (SELECT lang, k, p AS phrase, a, string_split(p, ' ') AS ws FROM g WHERE k > 1),
+    cuts AS (SELECT c.*, j, array_to_string(ws[:j], ' ') AS lp, array_to_string(ws[j + 1:], ' ') AS rp
+             FROM c, generate_series(1, 3) t(j) WHERE j < k),
+    scored AS (
+        SELECT cuts.lang, phrase, cuts.a, x.a AS l, y.a AS r, ((2000000::HUGEINT * cuts.a) // (x.a + y.a))::BIGINT AS score, j
+        FROM cuts JOIN g x ON x.lang = cuts.lang AND x.p = lp JOIN g y ON y.lang = cuts.lang AND y.p = rp),
+    lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+    inner_ AS (SELECT lang, array_to_string(ws[i:i + m - 1], ' ') AS phrase, max(a) AS most
+               FROM (SELECT c.*, m, unnest(generate_series(1, k - m + 1)) AS i FROM c, generate_series(2, 3) t(m) WHERE m < k) GROUP BY ALL),
+    kept AS (SELECT s.* FROM lowest s LEFT JOIN inner_ i USING (lang, phrase) WHERE i.most IS NULL OR 100 * i.most < 80 * s.a)
+    SELECT lang, row_number() OVER o AS rank, phrase, a, l, r, n, score FROM kept JOIN n USING (lang)
+    WINDOW o AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) QUALIFY row_number() OVER o <= 2000
+""")
+def phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The best phrases of each language."""
+    return collocations(table(spark, folder, "documents"))
+
+
 QUERIES["pipeline"] = Query(corpus_pipeline.run, corpus_pipeline.ORACLE_SQL)
