@@ -236,7 +236,7 @@ def collocation_rows(df):
     return sorted((r["lang"], r["rank"], r["phrase"], r["a"], r["l"], r["r"], r["n"], r["score"]) for r in df.collect())
 
 
-@pytest.mark.parametrize("changes", [{}, {"SHARD": 50, "FAN_IN": 2, "RANGE": 20}, {"LONGEST": 4, "RANGE": 1}], ids=["plain", "many shards", "many ranges"])
+@pytest.mark.parametrize("changes", [{}, {"SHARD": 50, "PENDING": 10, "FAN_IN": 2, "RANGE": 20}, {"LONGEST": 4, "RANGE": 1}], ids=["plain", "many shards", "many ranges"])
 def test_collocations_against_counting(spark, monkeypatch, changes):
     for name, value in changes.items():
         monkeypatch.setattr(C, name, value)
