@@ -2,10 +2,11 @@
 
 The matches of three patterns are the labelled credentials. For each kind, a bounded sample of
 distinct values becomes a prefix tree; states whose ways to go on do not differ by more than
-Hoeffding's bound are merged, in breadth-first order, into a probabilistic automaton. One more is
-learned from a sample of other tokens. Every run of token characters in every text is a candidate: one that an
-automaton of credentials makes much likelier than the automaton of other tokens, and as likely per character as
-its own labelled values, is a further span. Spans of the patterns stay as they are.
+Hoeffding's bound are merged, in breadth-first order, into a probabilistic automaton. Two more are
+learned from samples of other tokens, words and what holds digits. Every run of token characters in every text is a
+candidate: one that an automaton of credentials makes much likelier than those of other tokens, and as likely per
+character as its own labelled values, is a further span. Spans of the patterns stay as they are. A format that many
+tokens without a label have too counts as no secret: the automata of other tokens know it.
 """
 
 from __future__ import annotations
@@ -30,8 +31,9 @@ TOKEN = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
 LEAST = {"assign": 8, "access": 16, "hex": 32}
 
 KINDS = list(LEAST)
-OTHER = "other"
-#: Distinct values of each kind, and of other tokens, that the automata are learned from.
+#: What other tokens are told apart by: without and with a digit.
+OTHER = ["words", "codes"]
+#: Distinct values of each kind, and of either sort of other tokens, that the automata are learned from.
 FIT_VALUES = 1_000
 #: Confidence of the merge test; natural log of how much likelier a credential must be; standard errors below the labelled values' mean.
 ALPHA, MARGIN, ERRORS = 0.05, 12.0, 3.0
@@ -45,6 +47,8 @@ _SYMBOL[list(TOKEN)] = np.arange(len(TOKEN))
 _IS_HEX = np.zeros(256, bool)
 _IS_HEX[list(HEX)] = True
 _IS_TOKEN = _SYMBOL >= 0
+_IS_DIGIT = np.zeros(256, bool)
+_IS_DIGIT[48:58] = True
 #: Upper case, lower case, digits, and each sign on its own.
 _CLASS = np.array([0] * 26 + [1] * 26 + [2] * 10 + list(range(3, 9)))
 END = len(TOKEN)
@@ -259,17 +263,18 @@ def _lowest(found: dict[bytes, int], most: int) -> dict[bytes, int]:
 
 
 def samples(texts: DataFrame, most: int = FIT_VALUES) -> dict[str, list[bytes]]:
-    """Up to ``most`` distinct values of each kind and of other tokens: those with the lowest hashes over all texts."""
+    """Up to ``most`` distinct values of each kind and of either sort of other tokens: those with the lowest hashes over all texts."""
 
     def run(batches):
-        lowest: list[dict[bytes, int]] = [{} for _ in range(len(KINDS) + 1)]
+        lowest: list[dict[bytes, int]] = [{} for _ in range(len(KINDS) + len(OTHER))]
         limits = [1 << 64] * len(lowest)
         for batch in batches:
             for scan in scans(batch.column(0)):
-                free = scan.free()
-                spans = [(k, np.array([(v, e) for _, kind, _, e, v in scan.base if kind == k], np.int64).reshape(-1, 2)) for k in range(len(KINDS))]
-                spans.append((len(KINDS), np.stack([scan.start[free], scan.end[free]], axis=1)))
-                for k, ends in spans:
+                spans = [np.array([(v, e) for _, kind, _, e, v in scan.base if kind == k], np.int64).reshape(-1, 2) for k in range(len(KINDS))]
+                other = np.stack([scan.start, scan.end], axis=1)[scan.free()]
+                digits = np.append(0, np.cumsum(_IS_DIGIT[scan.data]))
+                coded = digits[other[:, 1]] > digits[other[:, 0]]
+                for k, ends in enumerate([*spans, other[~coded], other[coded]]):
                     ends[:, 1] = np.minimum(ends[:, 1], ends[:, 0] + LEARNED)
                     hashes = mix(span_hashes(scan.data, ends[:, 0], ends[:, 1])) if len(ends) else np.zeros(0, np.uint64)
                     for i in np.flatnonzero(hashes < np.uint64(min(limits[k], (1 << 64) - 1))).tolist():
@@ -284,18 +289,16 @@ def samples(texts: DataFrame, most: int = FIT_VALUES) -> dict[str, list[bytes]]:
 
     found = materialize(texts.mapInArrow(run, "kind int, value binary, mark long").distinct(), "credentials")
     out = {}
-    for k, kind in enumerate([*KINDS, OTHER]):
+    for k, kind in enumerate([*KINDS, *OTHER]):
         rows = found.filter(F.col("kind") == k).orderBy("mark", "value").limit(most)
         out[kind] = [bytes(r["value"]) for r in rows.select("value").collect()]
     return out
 
 
 def learned(texts: DataFrame, most: int = FIT_VALUES) -> dict[str, Automaton]:
-    """An automaton for each kind that occurs and for other tokens; nothing if either side is missing."""
-    found = {kind: values for kind, values in samples(texts, most).items() if values}
-    if OTHER not in found or len(found) == 1:
-        return {}
-    return {kind: infer(values) for kind, values in found.items()}
+    """An automaton for each kind that occurs and for other tokens; nothing if no kind does."""
+    found = {kind: values for kind, values in samples(texts, most).items() if values or kind in OTHER}
+    return {kind: infer(values) for kind, values in found.items()} if len(found) > len(OTHER) else {}
 
 
 def likely(scan: Scan, automata: dict[str, Automaton]) -> list[tuple[int, int, int, int, float]]:
@@ -305,7 +308,7 @@ def likely(scan: Scan, automata: dict[str, Automaton]) -> list[tuple[int, int, i
     if not automata or not len(start):
         return []
     owner, size = scan.owner()[free], end - start + 1
-    rest = automata[OTHER].scores(scan.data, start, end)
+    rest = np.maximum(*(automata[name].scores(scan.data, start, end) for name in OTHER))
     best, kind = np.full(len(start), -np.inf), np.full(len(start), -1)
     for k, name in enumerate(KINDS):
         if name in automata:

@@ -168,6 +168,7 @@ def test_candidates_beside_the_patterns(spark):
     rng = np.random.default_rng(2)
     stems = ["inter", "nation", "al", "tele", "com", "muni", "ca", "tion", "re", "pub", "lish", "ed", "organ", "isa", "recom", "mend"]
     prose = [" ".join("".join(rng.choice(stems, 4)) for _ in range(12)) for _ in range(60)]
+    prose += [f"call {a}-{b}-{a}{b} or pay {a}{b}{b}{a} by 20{a % 100:02d}-{b % 12:02d}-{a % 28:02d}" for a, b in rng.integers(1000, 9999, (150, 2))]
     labelled = [f"config {c} and token = {k}" for c, k in zip(CODES[:150], KEYS[:150])]
     bare = [f"seen éé {k[:30]} there" for k in KEYS[200:210]]
     texts = prose + labelled + bare
