@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions import geo, numbers, paths, text
-from shelfwise.operators import catalog, coherence, duplicates, enrich, history, identity, matching, places, splitting
+from shelfwise.operators import catalog, coherence, duplicates, enrich, history, identity, matching, nearby, places, splitting
 from shelfwise.operators import harvest as bookkeeping
 from shelfwise.plans import oracle as o
 from shelfwise.plans import views as v
@@ -851,3 +851,28 @@ def inventory_maps(spark, folder):
     count(*) FILTER (lat IS NULL AND cid IS NULL) name_only FROM saved GROUP BY ROLLUP (list)""", "saved"))
 def inventory_lists(spark, folder):
     return places.inventory_lists(v.saved_rows(spark, folder))
+
+
+_METRES = """2 * 6371000.0 * asin(sqrt(least(1.0, pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2))))"""
+_POINTS = "(SELECT pos AS place, lat, lon FROM maps WHERE lat IS NOT NULL AND lon IS NOT NULL)"
+_POSITIONS = "(SELECT pos, lat, lon FROM saved WHERE lat IS NOT NULL AND lon IS NOT NULL)"
+
+
+def _map_points(spark: SparkSession, folder: str) -> DataFrame:
+    return v.map_rows(spark, folder).select(F.col("pos").alias("place"), "lat", "lon")
+
+
+@register(o.sql(f"SELECT pos, place, CAST(round({_METRES}) AS BIGINT) metres FROM {_POSITIONS} a, {_POINTS} b WHERE {_METRES} <= 100000", "maps", "saved"))
+def places_near(spark, folder):
+    """All placemarks at most 100 km from each saved position."""
+    found = nearby.places_near(v.saved_rows(spark, folder), _map_points(spark, folder), 100_000, "pos", "place")
+    return found.withColumn("metres", F.round("metres").cast("bigint"))
+
+
+@register(o.sql(f"""SELECT pos, CAST(rank AS INTEGER) AS rank, place, CAST(round(m) AS BIGINT) metres FROM (
+    SELECT pos, place, m, row_number() OVER (PARTITION BY pos ORDER BY m, place) AS rank FROM (SELECT pos, place, {_METRES} m FROM {_POSITIONS} a, {_POINTS} b))
+    WHERE rank <= 3""", "maps", "saved"))
+def places_nearest(spark, folder):
+    """The three placemarks nearest to each saved position."""
+    found = nearby.places_nearest(v.saved_rows(spark, folder), _map_points(spark, folder), 3, "pos", "place")
+    return found.withColumn("metres", F.round("metres").cast("bigint"))
