@@ -17,6 +17,7 @@ from shelfwise.session import materialize, scratch_path, tune
 from shelfwise.sources import files as file_sources
 from shelfwise.sources import harvest as bodies
 from shelfwise.streaming import harvest as streams
+from shelfwise.streaming import journal
 
 
 class Query(NamedTuple):
@@ -876,3 +877,58 @@ def places_nearest(spark, folder):
     """The three placemarks nearest to each saved position."""
     found = nearby.places_nearest(v.saved_rows(spark, folder), _map_points(spark, folder), 3, "pos", "place")
     return found.withColumn("metres", F.round("metres").cast("bigint"))
+
+
+# --- events of places ------------------------------------------------------------------
+
+_STATUS_LIST = "['INBOX', 'DRAFT', 'VALIDATED', 'BROKEN']"
+_PLACE_EVENTS = f"""
+    e AS (SELECT 'P' || user_id place_id, event_id, event_id * 7919 % 10007 seq, (['CAPTURE', 'RENAME', 'STATUS', 'VISIT', 'VISIT', 'DELETE', 'RESTORE'])[event_id % 7 + 1] AS type,
+            CASE event_id % 7 WHEN 1 THEN 'name ' || (props->>'$.k') WHEN 2 THEN ({_STATUS_LIST})[CAST(props->>'$.k' AS INT) % 4 + 1] END AS value, ts FROM events),
+    landed AS (SELECT * FROM e
+        UNION ALL SELECT place_id, event_id + 1000000000000, seq, 'UNVISIT', CAST(event_id AS VARCHAR), ts FROM e WHERE type = 'VISIT' AND event_id % 3 = 0
+        UNION ALL SELECT place_id, event_id, seq + CASE WHEN event_id % 20 = 1 THEN -1 ELSE 1 END, type, value, ts FROM e WHERE event_id % 10 = 1)"""
+_REPLAY = f"""WITH {_PLACE_EVENTS},
+    once AS (SELECT * FROM landed WHERE value IS DISTINCT FROM 'BROKEN' QUALIFY row_number() OVER (PARTITION BY place_id, event_id ORDER BY seq) = 1),
+    v AS (SELECT place_id, count(*) visits, min(ts) first_visit, max(ts) last_visit FROM once a WHERE type = 'VISIT'
+        AND NOT EXISTS (SELECT 1 FROM once b WHERE b.type = 'UNVISIT' AND b.place_id = a.place_id AND b.value = CAST(a.event_id AS VARCHAR)) GROUP BY 1),
+    s AS (SELECT place_id, arg_max(value, (seq, event_id)) FILTER (type = 'RENAME') AS name, coalesce(arg_max(value, (seq, event_id)) FILTER (type = 'STATUS'), 'INBOX') status,
+        bool_or(type = 'CAPTURE') captured, coalesce(arg_max(type, (seq, event_id)) FILTER (type IN ('DELETE', 'RESTORE')) = 'DELETE', false) deleted, count(*) events FROM once GROUP BY 1)
+    SELECT s.*, coalesce(visits, 0) visits, strftime(first_visit, '%Y-%m-%dT%H:%M:%S.%f') first_visit, strftime(last_visit, '%Y-%m-%dT%H:%M:%S.%f') last_visit
+    FROM s LEFT JOIN v USING (place_id)"""
+
+
+@register(_REPLAY)
+def event_replay(spark, folder):
+    """The state of all places from all events at once."""
+    return _text_times(journal.replay(v.place_events(spark, folder)), "first_visit", "last_visit")
+
+
+def _landed_events(spark: SparkSession, folder: str, landing: str, turn: int) -> None:
+    """Half of the events as files, dealt so that places' events come late and out of order."""
+    events = v.place_events(spark, folder)
+    half = F.pmod(F.xxhash64("event_id", "seq"), F.lit(2)) == turn
+    events.filter(half).repartition(3, "seq").write.mode("append").parquet(landing)
+
+
+@register(_REPLAY)
+def stream_event_replay(spark, folder):
+    """The same states from a stream that stops after half of the files and goes on from its checkpoint."""
+    landing, out, checkpoint = (scratch_path(spark, name) for name in ("events", "states", "resume"))
+    for turn in range(2):
+        _landed_events(spark, folder, landing, turn)
+        journal.replay_stream(spark, landing, out, checkpoint, files_per_batch=2).awaitTermination()
+    return _text_times(journal.current_states(spark, out), "first_visit", "last_visit")
+
+
+@register(f"WITH {_PLACE_EVENTS} SELECT place_id, event_id, seq, type, value FROM landed WHERE value = 'BROKEN'")
+def refused_events(spark, folder):
+    return journal.refused(v.place_events(spark, folder)).select("place_id", "event_id", "seq", "type", "value")
+
+
+@register(o.sql(f"""SELECT c_custkey, 'P' || c_custkey AS id, coalesce(visits, 0) visits, coalesce(visits, 0) > 0 visited, last_visit, coalesce(deleted, false) deleted
+    FROM customer LEFT JOIN ({_REPLAY}) ON place_id = 'P' || c_custkey"""))
+def visit_status(spark, folder):
+    """All customers as places, with what the events say of them."""
+    places_ = v.table(spark, folder, "customer").select("c_custkey", F.concat(F.lit("P"), "c_custkey").alias("id"))
+    return _text_times(journal.with_visits(places_, journal.replay(v.place_events(spark, folder))), "last_visit")

@@ -350,3 +350,21 @@ def catalog_entries(spark: SparkSession, folder: str) -> DataFrame:
     )
     full = parts.filter("p_size > 25").select((F.col("p_partkey") * 2 + 1).alias("catalog_id"), F.upper("track").alias("title"), artists.alias("artists"))
     return plain.unionByName(full).withColumn("cand_pos", F.col("catalog_id"))
+
+
+# --- events of places, broadcast schedule ----------------------------------------------
+
+
+def place_events(spark: SparkSession, folder: str) -> DataFrame:
+    """``events`` as typed events of places: the user is the place; some visits are taken back, some rows repeat, some are refused."""
+    n, k = F.col("event_id"), F.get_json_object("props", "$.k").cast("int")
+    kinds = F.array(*map(F.lit, ("CAPTURE", "RENAME", "STATUS", "VISIT", "VISIT", "DELETE", "RESTORE")))
+    statuses = F.array(*map(F.lit, ("INBOX", "DRAFT", "VALIDATED", "BROKEN")))
+    kind = F.get(kinds, (n % 7).cast("int"))
+    value = F.when(kind == "RENAME", F.concat(F.lit("name "), k)).when(kind == "STATUS", F.get(statuses, k % 4))
+    events = table(spark, folder, "events").select(
+        F.concat(F.lit("P"), "user_id").alias("place_id"), "event_id", (n * 7919 % 10007).alias("seq"), kind.alias("type"), value.alias("value"), "ts")
+    visits = events.filter((F.col("type") == "VISIT") & (n % 3 == 0))
+    back = visits.select("place_id", (n + 1_000_000_000_000).alias("event_id"), "seq", F.lit("UNVISIT").alias("type"), n.cast("string").alias("value"), "ts")
+    repeated = events.filter(n % 10 == 1).withColumn("seq", F.col("seq") + F.when(n % 20 == 1, -1).otherwise(1))
+    return events.unionByName(back).unionByName(repeated)
