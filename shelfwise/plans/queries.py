@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions import geo, numbers, paths, text
-from shelfwise.operators import catalog, coherence, duplicates, enrich, history, identity, matching, nearby, places, splitting
+from shelfwise.operators import catalog, coherence, duplicates, enrich, history, identity, matching, nearby, places, schedule, splitting
 from shelfwise.operators import harvest as bookkeeping
 from shelfwise.plans import oracle as o
 from shelfwise.plans import views as v
@@ -932,3 +932,52 @@ def visit_status(spark, folder):
     """All customers as places, with what the events say of them."""
     places_ = v.table(spark, folder, "customer").select("c_custkey", F.concat(F.lit("P"), "c_custkey").alias("id"))
     return _text_times(journal.with_visits(places_, journal.replay(v.place_events(spark, folder))), "last_visit")
+
+
+# --- broadcast schedule ----------------------------------------------------------------
+
+_STATION = "(['click', 'error', 'purchase', 'signup', 'view'])[{k} % 5 + 1]"
+_ERA = "(['80s', '90s', '00s'])[{k} % 3 + 1]"
+_SLOT_DAYS = f"""slotdays AS (SELECT DISTINCT station, slot_id, priority, start_min, length, day FROM (
+    SELECT {_STATION.format(k='p_partkey')} station, p_partkey slot_id, CASE WHEN p_partkey % 499 = 0 THEN 9 ELSE p_size % 7 END priority, (p_partkey * 37 + p_size * 11) % 1440 start_min,
+      CASE WHEN p_partkey % 499 = 0 THEN 1440 ELSE 1 + p_size % 15 END AS length, unnest([p_partkey % 7 + 1, (p_partkey * 3 + p_size) % 7 + 1]) AS day FROM part))"""
+_ON_AIR = "(wd - day + 7) % 7 * 1440 + clock - start_min BETWEEN 0 AND length - 1"
+
+
+@register(f"""WITH {_SLOT_DAYS}, plays AS (SELECT event_id play_id, event_type station, isodow(ts) wd, hour(ts) * 60 + minute(ts) AS clock FROM events),
+    held AS (SELECT play_id, arg_min(slot_id, (priority, slot_id)) slot_id FROM plays JOIN slotdays s ON s.station = plays.station AND {_ON_AIR} GROUP BY 1)
+    SELECT play_id, plays.station, slot_id FROM plays LEFT JOIN held USING (play_id)""")
+def slot_of_play(spark, folder):
+    """The slot on air at every play."""
+    return schedule.slot_of_play(v.station_plays(spark, folder), v.slots(spark, folder)).select("play_id", "station", "slot_id")
+
+
+@register(f"""WITH {_SLOT_DAYS}, clocks AS (SELECT wd, clock FROM range(1, 8) a(wd), range(0, 1440) b(clock)),
+    air AS (SELECT station, wd, clock, arg_min(slot_id, (priority, slot_id)) slot_id FROM clocks JOIN slotdays ON {_ON_AIR} GROUP BY 1, 2, 3)
+    SELECT station, slot_id, count(*) AS minutes FROM air GROUP BY 1, 2""")
+def slot_minutes(spark, folder):
+    """Minutes a week that each slot is on air, after stronger slots took theirs."""
+    grid = schedule.weekly_grid(v.slots(spark, folder))
+    return grid.groupBy("station", "slot_id").agg(F.sum(F.col("end_min") - F.col("start_min")).alias("minutes"))
+
+
+@register(f"""WITH requests AS (SELECT s_suppkey request_id, {_STATION.format(k='s_suppkey')} station, make_timestamp((1704067200 + s_suppkey * 26171 % 2592000) * 1000000) AS "at",
+      s_suppkey % 3 + 1 low, s_suppkey % 3 + 1 + s_suppkey % 2 high, CASE WHEN s_suppkey % 4 > 0 THEN {_ERA.format(k='(s_suppkey // 5)')} END era,
+      CASE WHEN s_suppkey % 3 = 0 THEN 'US' END culture FROM supplier),
+    files AS (SELECT p_partkey AS file, {_STATION.format(k='p_partkey')} station, p_size % 5 + 1 energy, {_ERA.format(k='p_partkey')} era,
+      CASE WHEN p_partkey // 5 % 2 = 0 THEN 'US' ELSE 'FR' END culture, round(p_retailprice / 100) weight FROM part WHERE p_size % 11 <> 0 AND round(p_retailprice / 100) > 0),
+    drawn AS (SELECT request_id, f.file, -ln((('0x' || substr(md5('draw|' || request_id || '|' || f.file), 1, 12))::BIGINT + 1) / 281474976710656.0) / weight AS key
+      FROM requests r JOIN files f ON f.station = r.station AND energy BETWEEN low AND high AND coalesce(r.era, f.era) = f.era AND coalesce(r.culture, f.culture) = f.culture
+      WHERE NOT EXISTS (SELECT 1 FROM events e WHERE e.event_type = r.station AND e.event_id * 7 % 2000 = f.file AND e.ts >= r."at" - INTERVAL 7 DAY AND e.ts < r."at"))
+    SELECT request_id, CAST(rank AS INTEGER) AS rank, file FROM (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY key, file) AS rank FROM drawn) WHERE rank <= 5""")
+def slot_candidates(spark, folder):
+    """Five files for each request, drawn by weight among those not played for a week."""
+    return schedule.slot_candidates(v.slot_requests(spark, folder), v.station_files(spark, folder), v.station_plays(spark, folder), 5, "draw")
+
+
+@register("""WITH plays AS (SELECT event_type station, ts, event_id play_id, CAST(props->>'$.k' AS INT) % 5 + 1 energy FROM events),
+    o AS (SELECT *, lag(energy) OVER w AS e, lag(play_id) OVER w AS before FROM plays WINDOW w AS (PARTITION BY station ORDER BY ts, play_id))
+    SELECT station, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') ts, play_id, before FROM o WHERE energy = 5 AND e = 1""")
+def energy_breaks(spark, folder):
+    """Plays of the highest energy right after the lowest."""
+    return _text_times(schedule.energy_breaks(v.station_plays(spark, folder)), "ts")

@@ -368,3 +368,42 @@ def place_events(spark: SparkSession, folder: str) -> DataFrame:
     back = visits.select("place_id", (n + 1_000_000_000_000).alias("event_id"), "seq", F.lit("UNVISIT").alias("type"), n.cast("string").alias("value"), "ts")
     repeated = events.filter(n % 10 == 1).withColumn("seq", F.col("seq") + F.when(n % 20 == 1, -1).otherwise(1))
     return events.unionByName(back).unionByName(repeated)
+
+
+def _station(k: Column) -> Column:
+    return F.get(F.array(*map(F.lit, ("click", "error", "purchase", "signup", "view"))), (k % 5).cast("int"))
+
+
+def slots(spark: SparkSession, folder: str) -> DataFrame:
+    """Parts as the slots of five stations, on one or two days each; a few run all day below the others."""
+    k, size = F.col("p_partkey"), F.col("p_size")
+    start = (k * 37 + size * 11) % 1440
+    all_day = k % 499 == 0
+    return table(spark, folder, "part").select(
+        _station(k).alias("station"), k.alias("slot_id"), F.array(k % 7 + 1, (k * 3 + size) % 7 + 1).alias("days"), start.alias("start_min"),
+        F.when(all_day, start).otherwise((start + 1 + size % 15) % 1440).alias("end_min"), F.when(all_day, 9).otherwise(size % 7).alias("priority"))
+
+
+def station_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Parts as files that stations can play."""
+    k, size = F.col("p_partkey"), F.col("p_size")
+    return table(spark, folder, "part").select(
+        k.alias("file"), _station(k).alias("station"), (size % 5 + 1).alias("energy"), F.get(F.array(F.lit("80s"), F.lit("90s"), F.lit("00s")), (k % 3).cast("int")).alias("era"),
+        F.when(F.expr("p_partkey div 5 % 2 = 0"), "US").otherwise("FR").alias("culture"), F.when(size % 11 == 0, 0.0).otherwise(F.round(F.col("p_retailprice") / 100)).alias("weight"))
+
+
+def station_plays(spark: SparkSession, folder: str) -> DataFrame:
+    """``events`` as plays of stations."""
+    return table(spark, folder, "events").select(
+        F.col("event_type").alias("station"), F.col("event_id").alias("play_id"), "ts", (F.col("event_id") * 7 % 2000).alias("file"),
+        (F.get_json_object("props", "$.k").cast("int") % 5 + 1).alias("energy"))
+
+
+def slot_requests(spark: SparkSession, folder: str) -> DataFrame:
+    """Suppliers as requests for files, spread over the month of the plays."""
+    k = F.col("s_suppkey")
+    low = (k % 3 + 1).cast("int")
+    return table(spark, folder, "supplier").select(
+        k.alias("request_id"), _station(k).alias("station"), F.timestamp_seconds(F.lit(1704067200) + k * 26171 % 2592000).alias("at"), low.alias("energy_min"),
+        (low + k % 2).cast("int").alias("energy_max"), F.when(k % 4 > 0, F.get(F.array(F.lit("80s"), F.lit("90s"), F.lit("00s")), (F.expr("s_suppkey div 5") % 3).cast("int"))).alias("era"),
+        F.when(k % 3 == 0, "US").alias("culture"))
