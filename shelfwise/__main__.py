@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import argparse
+from contextlib import nullcontext
 
 from pyspark.sql import SparkSession
 
+from shelfwise.operators import quality
 from shelfwise.operators.coherence import least_coherent
 from shelfwise.plans import jobs
 from shelfwise.session import drop_scratch, tune
+from shelfwise.sinks.runlog import RunJournal, entries, latest_runs, unknown_entries
 from shelfwise.sources.files import path_exists, read_csv_strings
 
 
@@ -66,10 +69,20 @@ def main() -> None:
     batches.add_argument("--out", required=True)
     batches.add_argument("--used", type=int, default=0, help="requests already used")
     batches.add_argument("--retry", action="store_true")
+    checked = commands.add_parser("quality")
+    checked.add_argument("--tables", help="folder of the published tables", required=True)
+    checked.add_argument("--rules", help="music, places, or a CSV of table, rule, condition, severity, guard, unique", required=True)
+    commands.add_parser("runs")
+    for sub in commands.choices.values():
+        sub.add_argument("--journal", help="folder of the journal of runs")
     args = parser.parse_args()
     spark = SparkSession.builder.appName(f"shelfwise {args.command}").getOrCreate()
+    journal = nullcontext()
+    if args.journal and args.command != "runs":
+        journal = RunJournal(spark, args.journal, args.command, **{k: v for k, v in vars(args).items() if k not in ("command", "journal")})
     try:
-        run(spark, args, parser)
+        with journal:
+            run(spark, args, parser, journal if args.journal else None)
     finally:
         drop_scratch(spark)
 
@@ -88,7 +101,12 @@ def _pending_command(spark: SparkSession, args: argparse.Namespace):
     return spark.read.parquet(args.out).selectExpr("count(*) AS pending")
 
 
-def run(spark: SparkSession, args: argparse.Namespace, parser: argparse.ArgumentParser) -> None:
+def _rules(spark: SparkSession, name: str) -> dict[str, list[quality.Rule]]:
+    known = {"music": quality.MUSIC_RULES, "places": quality.PLACE_RULES}
+    return known.get(name) or quality.read_rules(read_csv_strings(spark, name).collect())
+
+
+def run(spark: SparkSession, args: argparse.Namespace, parser: argparse.ArgumentParser, journal: RunJournal | None = None) -> None:
     tune(spark)
 
     def optional_csv(path: str | None):
@@ -114,6 +132,14 @@ def run(spark: SparkSession, args: argparse.Namespace, parser: argparse.Argument
     elif args.command == "retag":
         cache = jobs.load_cache(spark, "fingerprints", args.fingerprints)
         result = jobs.report_retag(cache, read_csv_strings(spark, args.csv), args.out)
+    elif args.command == "quality":
+        jobs.check_tables(spark, args.tables, _rules(spark, args.rules), journal).show(1000, truncate=False)
+        return
+    elif args.command == "runs":
+        if not args.journal:
+            parser.error("runs needs --journal")
+        print("entries of newer versions:", unknown_entries(spark, args.journal))
+        result = latest_runs(entries(spark, args.journal))
     elif args.command in ("pending", "batches"):
         result = _pending_command(spark, args)
     elif args.command in ("analyse", "coherence", "split", "progress"):

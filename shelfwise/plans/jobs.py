@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions.text import track_key
-from shelfwise.operators import catalog, coherence, duplicates, enrich, harvest, history, matching, places, splitting
+from shelfwise.operators import catalog, coherence, duplicates, enrich, harvest, history, matching, places, quality, splitting
 from shelfwise.operators.indexing import first_wins, last_wins
 from shelfwise.session import materialize, tune
+from shelfwise.sinks.runlog import RunJournal
 from shelfwise.sinks.state import publish_state, read_state
 from shelfwise.sinks.tables import grown_registry, next_counter, publish, publish_all, write_paths, write_report
 from shelfwise.sources import files as file_sources
@@ -274,3 +275,16 @@ def harvest_coverage(
         .unionByName(harvest.coverage(tracks, primary, "track_key", "features", "found"))
         .unionByName(harvest.coverage(artists, countries, "norm", "country", "country <> ''"))
     )
+
+
+def check_tables(spark: SparkSession, folder: str, rules: dict[str, list[quality.Rule]], journal: RunJournal | None = None) -> DataFrame:
+    """(table, rule, severity, checked, broken) of the published tables that ``rules`` names; broken rules go to ``journal``."""
+    tune(spark)
+    out = None
+    for name, own in rules.items():
+        report = materialize(quality.quality_report(spark.read.parquet(f"{folder}/{name}"), own), "quality")
+        if journal:
+            journal.rules(name, report)
+        report = report.select(F.lit(name).alias("table"), "*")
+        out = report if out is None else out.unionByName(report)
+    return out if out is not None else spark.createDataFrame([], "table string, " + quality.REPORT)

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions import geo, numbers, paths, text
-from shelfwise.operators import catalog, coherence, duplicates, enrich, history, identity, matching, nearby, places, schedule, splitting
+from shelfwise.operators import catalog, coherence, duplicates, enrich, history, identity, matching, nearby, places, quality, schedule, splitting
 from shelfwise.operators import harvest as bookkeeping
 from shelfwise.plans import oracle as o
 from shelfwise.plans import views as v
@@ -981,3 +982,50 @@ def slot_candidates(spark, folder):
 def energy_breaks(spark, folder):
     """Plays of the highest energy right after the lowest."""
     return _text_times(schedule.energy_breaks(v.station_plays(spark, folder)), "ts")
+
+
+# --- data quality ----------------------------------------------------------------------
+
+_RULES = {
+    "documents": [
+        quality.Rule("id", unique=("doc_id",)), quality.Rule("text", "length(trim(text)) > 0"), quality.Rule("copies", severity="info", unique=("text",)),
+        quality.Rule("length", "n_chars = char_length(text)", "warning"),
+        quality.any_of("known", [quality.Rule("lang", "lang IN ('en', 'fr')"), quality.Rule("long", "n_chars > 2000")], "info"),
+    ],
+    "orders": [
+        quality.Rule("id", unique=("o_orderkey",)), quality.Rule("status", "o_orderstatus IN ('F', 'O')", "warning"),
+        quality.Rule("price", "o_totalprice > 1000").where("o_orderstatus = 'F'"),
+    ],
+    "lineitem": [
+        quality.Rule("line", "true", "error", "true", ("l_orderkey", "l_linenumber")),
+        quality.all_of("amount", [quality.Rule("quantity", "l_quantity BETWEEN 2 AND 49"), quality.Rule("tax", "l_tax > 0").where("l_returnflag = 'R'")], "warning"),
+        quality.Rule("discount", "l_discount BETWEEN 0 AND 0.08"),
+    ],
+    "customer": [quality.Rule("id", unique=("c_custkey",)), quality.Rule("balance", "c_acctbal >= 0", "warning"), quality.Rule("nation", unique=("c_nationkey",), severity="info")],
+    "events": [quality.Rule("id", unique=("event_id",)), quality.Rule("value", "value > 0.5", "warning", "event_type <> 'error'")],
+}
+
+
+def _sql_rule(table: str, rule: quality.Rule) -> str:
+    """A rule counted on its own, as a check of the one pass."""
+    present = " AND ".join([f"({rule.guard})", *(f"{c} IS NOT NULL" for c in rule.unique)])
+    broken = f"count(*) FILTER (WHERE {present}) - count(DISTINCT ({', '.join(rule.unique)})) FILTER (WHERE {present})" if rule.unique else (
+        f"count(*) FILTER (WHERE ({rule.guard}) AND NOT coalesce({rule.condition.replace('char_length', 'length')}, false))")
+    return f"""SELECT '{table}' AS "table", '{rule.name}' AS rule, '{rule.severity}' AS severity, count(*) FILTER (WHERE {present}) checked, {broken} broken FROM {table}"""
+
+
+@register(" UNION ALL ".join(_sql_rule(t, r) for t, rules in _RULES.items() for r in rules))
+def quality_report(spark, folder):
+    """All rules over five whole tables, one scan of each."""
+    parts = [quality.quality_report(v.table(spark, folder, t), rules).select(F.lit(t).alias("table"), "*") for t, rules in _RULES.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register("""SELECT quality, rule, count(*) n FROM (SELECT CASE WHEN len(broken) > 0 THEN 'refused' ELSE 'kept' END quality, unnest(broken || ['rows']) AS rule FROM (
+    SELECT list_filter([CASE WHEN NOT coalesce(l_discount BETWEEN 0 AND 0.08, false) THEN 'discount' END], lambda x: x IS NOT NULL) broken FROM lineitem)) GROUP BY 1, 2""")
+def quality_split(spark, folder):
+    """Line items written in one pass as kept and refused; the counts are those of the table read back."""
+    path = scratch_path(spark, "checked")
+    quality.write_checked(v.table(spark, folder, "lineitem"), [r for r in _RULES["lineitem"] if r.severity == "error"], path)
+    stored = spark.read.parquet(path).select("quality", F.explode(F.concat("broken", F.array(F.lit("rows")))).alias("rule"))
+    return stored.groupBy("quality", "rule").agg(F.count("*").alias("n"))
