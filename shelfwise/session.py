@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,9 +64,22 @@ def scratch_root(spark: SparkSession) -> str:
     return f"{configured.rstrip('/')}/shelfwise-{spark.sparkContext.applicationId}"
 
 
+_scopes: list[str] = []
+
+
+@contextmanager
+def scratch_scope(name: str) -> Iterator[None]:
+    """Scratch tables made inside go to a folder of their own, which ``drop_scratch`` can delete alone."""
+    _scopes.append(name)
+    try:
+        yield
+    finally:
+        _scopes.pop()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared scratch folder."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the shared scratch folder, below the scope in force."""
+    return "/".join([scratch_root(spark), *_scopes, f"{name}-{uuid.uuid4().hex}"])
 
 
 def materialize(df: DataFrame, name: str = "cut") -> DataFrame:
@@ -79,8 +94,8 @@ def materialize(df: DataFrame, name: str = "cut") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_scratch(spark: SparkSession) -> None:
-    """Delete this application's scratch tables once their readers are done."""
+def drop_scratch(spark: SparkSession, scope: str | None = None) -> None:
+    """Delete this application's scratch tables, or those of one scope, once their readers are done."""
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path = jvm.org.apache.hadoop.fs.Path(scratch_root(spark) + (f"/{scope}" if scope else ""))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
