@@ -2,21 +2,25 @@
 
 Each stage is a function (spark, docs, sf_dir) -> DataFrame and works on all rows that the stage
 before kept; all but the last return the columns of ``documents``. ``run`` writes every stage as
-Parquet to the shared scratch folder and reads it again for the next.
+Parquet to the shared scratch folder and reads it again for the next. When a stage begins, the scratch tables of the
+stages before are deleted, as their results have been written.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.llm.exact_dedup import drop_exact_copies
-from shelfwise.llm.lang_id import UNDETERMINED, fit, held_out, identify
+from shelfwise.llm.lang_id import UNDETERMINED, fit, held_out, predicted
 from shelfwise.llm.ngram_join import drop_near_copies
 from shelfwise.llm.packing import pack_documents
 from shelfwise.llm.pii import with_surrogates
 from shelfwise.llm.settings import SURROGATE_KEY, bpe_file
-from shelfwise.session import materialize
+from shelfwise.session import drop_scratch, materialize, scratch_scope
 
 #: Below this score no language holds a fifth of the letters with any certainty.
 LEAST_SCORE = 0.2
@@ -29,8 +33,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     from, every document is undetermined and goes.
     """
     model = fit(docs.filter(~held_out()))
-    found = identify(docs.select(F.struct("*").alias("row"), "text"), model, id_col="row")
-    return found.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_SCORE)).select("row.*")
+    found = predicted(F.col("text"), model)
+    rows = docs.select(F.struct("*").alias("row"), found.alias("found"))
+    return rows.filter((F.col("found.lang_pred") != UNDETERMINED) & (F.col("found.score") >= LEAST_SCORE)).select("row.*")
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,16 +57,29 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document's pieces with their places in training sequences of 1024 tokens."""
-    return pack_documents(docs, bpe_file())
+    return pack_documents(docs, bpe_file(), keep_vocabulary=False)
+
+
+def _scoped(name: str, stage: Callable) -> Callable:
+    """The stage with scratch tables of its own, after those of the other stages are deleted."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        for other in NAMES:
+            drop_scratch(spark, _scope(other))
+        with scratch_scope(_scope(name)):
+            return stage(spark, docs, sf_dir)
+
+    return run
+
+
+def _scope(name: str) -> str:
+    return f"stage-{name.replace(' ', '-')}"
 
 
-STAGES = [
-    ("language", language),
-    ("exact copies", exact_copies),
-    ("near copies", near_copies),
-    ("personal data", personal_data),
-    ("packing", packing),
-]
+_STAGES = {"language": language, "exact copies": exact_copies, "near copies": near_copies, "personal data": personal_data, "packing": packing}
+NAMES = list(_STAGES)
+STAGES = [(name, _scoped(name, stage)) for name, stage in _STAGES.items()]
 
 #: Identification, surrogates and packing are beyond SQL; tests compare the stages with brute force.
 ORACLE_SQL = None

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise.llm.bloom import build, passes
+from shelfwise.llm.memory import fresh
 from shelfwise.session import materialize
 
 
@@ -31,16 +32,17 @@ def one_row_each(docs: DataFrame, rows: DataFrame, key: Column, id_col: str = "d
     ``docs``, and id and key together tell the rows of a group apart. Of rows that repeat both, one
     stays where stays says so. A null is an id. Only rows that may be listed go into the join.
     """
-    listed = rows.groupBy(F.col("id").alias("_id"), F.col("key").alias("_listed")).agg(
-        F.bool_or("stays").alias("_stays"), F.count(F.lit(1)).alias("_rows"))
-    listed = materialize(listed.filter("not _stays or _rows > 1").select("_id", "_listed", "_stays"), "listed")
-    keyed = docs.withColumn("_key", key)
-    may = _filter(listed.select(F.xxhash64("_id", "_listed").alias("key")))(F.xxhash64(id_col, "_key"))
+    own_key, own_id, listed_key, keeps = fresh(docs.columns, "_key", "_id", "_listed", "_stays")
+    listed = rows.groupBy(F.col("id").alias(own_id), F.col("key").alias(listed_key)).agg(
+        F.bool_or("stays").alias(keeps), F.count(F.lit(1)).alias("rows"))
+    listed = materialize(listed.filter(~F.col(keeps) | (F.col("rows") > 1)).select(own_id, listed_key, keeps), "listed")
+    keyed = docs.withColumn(own_key, key)
+    may = _filter(listed.select(F.xxhash64(own_id, listed_key).alias("key")))(F.xxhash64(id_col, own_key))
     asked = keyed.filter(may)
-    found = asked.join(listed, (asked["_key"] == listed["_listed"]) & asked[id_col].eqNullSafe(listed["_id"]), "left")
-    out = keyed.filter(~may).unionByName(found.filter("_stays is null").select(*keyed.columns))
-    if not listed.filter("_stays").isEmpty():
-        out = out.unionByName(found.filter("_stays").select(*keyed.columns).dropDuplicates([id_col, "_key"]))
+    found = asked.join(listed, (asked[own_key] == listed[listed_key]) & asked[id_col].eqNullSafe(listed[own_id]), "left")
+    out = keyed.filter(~may).unionByName(found.filter(F.col(keeps).isNull()).select(*keyed.columns))
+    if not listed.filter(F.col(keeps)).isEmpty():
+        out = out.unionByName(found.filter(F.col(keeps)).select(*keyed.columns).dropDuplicates([id_col, own_key]))
     return out.select(*docs.columns)
 
 

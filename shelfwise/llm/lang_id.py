@@ -13,7 +13,7 @@ better. The other texts of a block go through Viterbi side by side, very long on
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,12 +23,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfwise.llm.memory import release, released
 from shelfwise.llm.words import Block, blocks
 
-#: The model is fitted on about so many labelled documents, chosen by a hash of their ids.
+#: The model is fitted on about so many labelled documents, chosen by a hash of id and text.
 FIT_DOCUMENTS = 20_000
-#: Languages learned at most, those with the most documents.
-FIT_LANGUAGES = 256
 PENALTY = 8.0
 #: Scores count bigrams and trigrams of the same letters, so each counts for less.
 WEIGHT = 0.5
@@ -210,30 +209,30 @@ def _count(batches):
     """(kind, cell, lang, n): bigrams 0, trigrams 1, scripts 2, documents 3."""
     for batch in batches:
         langs, own = np.unique(np.asarray(batch["lang"].to_pylist(), object).astype(str), return_inverse=True)
-        counts = [np.zeros((len(langs), n), np.int64) for n in (CELLS, CELLS, len(NAMES), 1)]
-        counts[3][:, 0] = np.bincount(own, minlength=len(langs))
+        # Sparse: (cell and language as one number, n), so that many languages need no large tables.
+        counts: list[list] = [[], [], [], [np.unique(own, return_counts=True)]]
         for block in blocks(lowered(batch["text"])):
             words = features(block)
             by_word = own[block.row:block.row + len(block)][block.owner()]
             letters = words.weight > 0
             by_gram = np.repeat(by_word, np.diff(np.append(words.first, len(words.grams))))
-            np.add.at(counts[2], (by_word[letters], words.script[letters]), 1)
+            counts[2].append(np.unique(words.script[letters] * np.int64(len(langs)) + by_word[letters], return_counts=True))
             for k, cells in enumerate((words.grams, words.trigrams)):
-                flat = np.bincount(by_gram * CELLS + cells, minlength=len(langs) * CELLS)
-                counts[k] += flat.reshape(len(langs), CELLS)
-        for kind, table in enumerate(counts):
-            lang, cell = np.nonzero(table)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.full(len(cell), kind, np.int32)), pa.array(cell.astype(np.int32)), pa.array(langs[lang].astype(str)),
-                pa.array(table[lang, cell]),
-            ], ["kind", "cell", "lang", "n"])
+                counts[k].append(np.unique(cells.astype(np.int64) * len(langs) + by_gram, return_counts=True))
+        for kind, parts in enumerate(counts):
+            if parts:
+                codes, where = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
+                n = np.bincount(where, np.concatenate([n for _, n in parts]), len(codes)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(len(codes), kind, np.int32)), pa.array((codes // len(langs)).astype(np.int32)),
+                    pa.array(langs[codes % len(langs)].astype(str)), pa.array(n)], ["kind", "cell", "lang", "n"])
 
 
 def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", documents: int = FIT_DOCUMENTS) -> Model | None:
     """Learn from rows with a text and a language; None without any.
 
-    At most about ``documents`` rows are read, chosen by a hash of their id; what comes back to the
-    driver are counts per cell and language, at most ``FIT_LANGUAGES`` languages.
+    At most about ``documents`` rows are read, chosen by a hash of their id and text; what comes back to the
+    driver are counts per cell and language of that sample, half a megabyte a language at most.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).filter(
         "text is not null and lang is not null")
@@ -241,11 +240,9 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
     if not n:
         return None
     if n > documents:
-        rows = rows.filter(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(1_000_000 * documents / n))
-    counts = rows.select("text", "lang").mapInArrow(_count, "kind int, cell int, lang string, n long").groupBy("kind", "cell", "lang").agg(
-        F.sum("n").alias("n"))
-    known = counts.filter("kind = 3").orderBy(F.desc("n"), "lang").limit(FIT_LANGUAGES).select("lang")
-    found = counts.join(F.broadcast(known), "lang").toPandas()
+        rows = rows.filter(F.pmod(F.xxhash64("id", "text"), F.lit(1_000_000)) < int(1_000_000 * documents / n))
+    counts = rows.select("text", "lang").mapInArrow(released(_count), "kind int, cell int, lang string, n long").groupBy("kind", "cell", "lang")
+    found = counts.agg(F.sum("n").alias("n")).toPandas()
     if found.empty:
         return None
     languages = sorted(found["lang"].unique())
@@ -320,7 +317,27 @@ def identify(
     if model is None:
         out = rows.select("id", F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"), F.array().cast(T.ArrayType(span)).alias("spans"))
     else:
-        out = rows.mapInArrow(_identify(model, penalty), T.StructType([
+        out = rows.mapInArrow(released(_identify(model, penalty)), T.StructType([
             T.StructField("id", docs.schema[id_col].dataType), T.StructField("lang_pred", T.StringType()),
             T.StructField("score", T.DoubleType()), T.StructField("spans", T.ArrayType(span))]))
     return out.withColumnRenamed("id", id_col)
+
+
+def predicted(text: Column, model: Model | None, penalty: float = PENALTY) -> Column:
+    """(lang_pred, score) of each text, as ``identify`` has them; only the text goes to Python and only these come back."""
+    kind = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    if model is None:
+        return F.struct(F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score")).cast(kind)
+    run = _identify(model, penalty)
+
+    @F.arrow_udf(kind)
+    def predict(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        try:
+            for column in texts:
+                batch = pa.RecordBatch.from_arrays([column, column], ["id", "text"])
+                (found,) = run([batch])
+                yield pa.StructArray.from_arrays([found["lang_pred"], found["score"]], ["lang_pred", "score"])
+        finally:
+            release()
+
+    return predict.asNondeterministic()(text)  # or a filter on it would make Spark run it twice

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise.llm.bpe import _parts, vocabulary
+from shelfwise.llm.memory import released
 from shelfwise.llm.ranks import with_ranks
 from shelfwise.session import materialize
 
@@ -189,7 +190,7 @@ def _pieces(path: str, window: int, end_id: int, keep_ids: bool) -> Callable:
 
 def pack_documents(
     docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", window: int = 1024, end_id: int = 0,
-    keep_ids: bool = False,
+    keep_ids: bool = False, keep_vocabulary: bool = True,
 ) -> DataFrame:
     """One row per piece: (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset[, ids]).
 
@@ -197,14 +198,17 @@ def pack_documents(
     Each id lies in one piece, and pieces lie in a sequence without gaps from offset 0 to at most
     ``window``. Ids of rows are only carried, null or repeated ones too; each row is a document of
     its own. An empty table gives no rows; other columns are not looked at. With ``keep_ids`` each
-    piece carries its token ids.
+    piece carries its token ids. Without ``keep_vocabulary`` workers drop the vocabulary at the end of each task.
     """
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     id_type = docs.schema[id_col].dataType
     fields = [("id", id_type), *((n, T.LongType()) for n in ("start", "length", "ids_crc32", "doc_tokens")),
               ("task", T.IntegerType()), ("local", T.LongType())] + [("ids", T.ArrayType(T.IntegerType()))] * keep_ids
     schema = T.StructType([T.StructField(n, t) for n, t in fields])
-    pieces = materialize(source.mapInArrow(_pieces(path, window, end_id, keep_ids), schema), "pieces")
+    make = _pieces(path, window, end_id, keep_ids)
+    if not keep_vocabulary:
+        make = released(make, vocabulary.cache_clear)
+    pieces = materialize(source.mapInArrow(make, schema), "pieces")
 
     histogram = np.zeros(window + 1, np.int64)
     for length, n in pieces.groupBy("length").count().collect():  # a row for each length up to the window

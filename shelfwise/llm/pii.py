@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfwise.llm.memory import fresh
 from shelfwise.session import materialize
 
 #: Entities beyond their first attempt that are sent to tasks; more are joined.
@@ -177,10 +178,15 @@ def _shaped(value: str, draw: Draw, hexadecimal: bool = False) -> str:
     return "".join(out)
 
 
+def _grown(value: str, attempt: int) -> str:
+    """The shape of ``value``, longer from the fourth attempt on: short shapes can have too few surrogates."""
+    return value + value[-1:] * (attempt // 4)
+
+
 def _name(value: str, kind: str, attempt: int, draw: Draw) -> str:
     script = _script(value)
     if script not in _SYLLABLES:
-        return _shaped(value, draw)
+        return _shaped(_grown(value, attempt), draw)
     heads, vowels, female, male = (x.split() for x in _SYLLABLES[script])
     word = "".join(heads[draw.below(len(heads))] + vowels[draw.below(len(vowels))] for _ in range(2 + attempt // 2))
     word += heads[draw.below(len(heads) // 2)]
@@ -193,9 +199,10 @@ def surrogate(secret: bytes, kind: str, value: str, attempt: int = 0) -> str:
     """The normal form of an entity's surrogate; for an email the local part only."""
     draw = Draw(secret, kind, value, attempt)
     if kind == "email":
-        return _shaped(value.partition("@")[0], draw)
+        return _shaped(_grown(value.partition("@")[0], attempt), draw)
     if kind == "domain":
-        return ".".join([_shaped(p, draw) for p in value.split(".")[:-1]] + value.split(".")[-1:])
+        *parts, last = value.split(".")
+        return ".".join([*(_shaped(p, draw) for p in parts[:-1]), *(_shaped(_grown(p, attempt), draw) for p in parts[-1:]), last])
     if kind == "ip":
         return ".".join(str(1 + draw.below(254)) for _ in range(4))
     if kind == "card":
@@ -211,9 +218,9 @@ def surrogate(secret: bytes, kind: str, value: str, attempt: int = 0) -> str:
         body = value[:2] + "00" + _shaped(value[4:], draw)
         return body[:2] + f"{98 - iban_rest(body):02d}" + body[4:]
     if kind == "key":
-        return value[:4] + _shaped(value[4:], draw)
+        return value[:4] + _shaped(_grown(value[4:], attempt), draw)
     if kind == "secret":
-        return _shaped(value, draw, hexadecimal=True)
+        return _shaped(_grown(value, attempt), draw, hexadecimal=True)
     return _name(value, kind, attempt, draw)
 
 
@@ -305,11 +312,11 @@ def settle(entities: DataFrame, secret: bytes, make: Callable = surrogate) -> Da
 _FOUND = T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in ("kind", "found", "surrogate")]))
 
 
-def _apply(secret: bytes, sent: Attempts, text_col: str, names: list[str]) -> Callable:
+def _apply(secret: bytes, sent: Attempts, text_col: str, names: list[str], own_col: str | None = None) -> Callable:
     def run(batches):
         for batch in batches:
             texts, found = [], []
-            more = batch["_attempts"].to_pylist() if "_attempts" in batch.schema.names else [None] * batch.num_rows
+            more = batch[own_col].to_pylist() if own_col else [None] * batch.num_rows
             for value, own in zip(batch[text_col], more):
                 text = value.as_py()
                 attempts = sent if own is None else {(x["kind"], x["value"]): x["attempt"] for x in own}
@@ -344,8 +351,9 @@ def with_surrogates(docs: DataFrame, secret: str | bytes, text_col: str = "text"
     if later.count() <= sent:
         attempts = {(r["kind"], r["value"]): r["attempt"] for r in later.collect()}
         return docs.mapInArrow(_apply(secret, attempts, text_col, names), schema)
+    own_col, own_tid = fresh(names, "_attempts", "_tid")
     by_text = materialize(
-        entities.distinct().join(later, ["kind", "value"]).groupBy("tid").agg(F.collect_list(F.struct("kind", "value", "attempt")).alias("_attempts")), "by-text")
-    marked = docs.withColumn("_tid", F.xxhash64(text_col))
-    marked = marked.join(by_text.hint("shuffle_hash"), marked["_tid"] == by_text["tid"], "left").select(*names, "_attempts")
-    return marked.mapInArrow(_apply(secret, {}, text_col, names), schema)
+        entities.distinct().join(later, ["kind", "value"]).groupBy(F.col("tid").alias(own_tid)).agg(
+            F.collect_list(F.struct("kind", "value", "attempt")).alias(own_col)), "by-text")
+    marked = docs.withColumn(own_tid, F.xxhash64(text_col)).join(by_text.hint("shuffle_hash"), own_tid, "left").select(*names, own_col)
+    return marked.mapInArrow(_apply(secret, {}, text_col, names, own_col), schema)

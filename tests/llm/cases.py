@@ -9,7 +9,7 @@ SCHEMA = T.StructType([
     T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType()),
 ])
 #: Columns that operators use inside; they must not be mistaken for the operators' own.
-CLASHING = ["id", "rest", "n", "sid", "tid", "row", "kept", "task", "local", "shard", "entities", "rank", "spans", "key", "digit"]
+CLASHING = ["id", "rest", "n", "sid", "tid", "row", "kept", "task", "local", "shard", "entities", "rank", "spans", "key", "digit", "_key", "_id", "_listed", "_stays", "_attempts", "_tid"]
 
 
 def prose(seed: int, words: int) -> str:

@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from test_dedup import brute_exact, brute_near, loose_rows, lower, near_groups
 
-from shelfwise.llm import pii
+from shelfwise.llm import lang_id, pii
 from shelfwise.llm.block_search import exact_top_k
 from shelfwise.llm.lang_id import CELLS, Model, fit, held_out, identify, label_words, viterbi
 from shelfwise.llm.pii import find, iban_rest, luhn, replaced, settle, with_surrogates
@@ -239,12 +239,30 @@ def test_clashes_are_settled(spark):
     assert len(settled) == len(set(made)) == 20 and not set(made) & set(values) and max(settled.values()) > 0
 
 
+def test_short_shapes_are_settled(spark):
+    """Every one-letter mailbox and many short names occur: surrogates grow until they are free."""
+    values = [("email", f"{c}@x.example") for c in "abcdefghijklmnopqrstuvwxyz"] + [("email", f"{c}@y.example") for c in "0123456789"]
+    values += [("domain", "x.example"), ("domain", "y.example"), ("secret", "a"), ("given-n", "漢")]
+    settled = {(r["kind"], r["value"]): r["attempt"] for r in settle(spark.createDataFrame(values, "kind string, value string"), b"k").collect()}
+    made = {(k, pii.surrogate(b"k", k, v, a) + (v[v.find("@"):] if k == "email" else "")) for (k, v), a in settled.items()}
+    assert len(made) == len(values) and not made & set(values) and max(settled.values()) < 12
+
+
+def test_stages_keep_clashing_columns(spark):
+    """Extra columns with the operators' own names come back as they were."""
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        docs = hard_docs(spark, clashing=True).drop("entities")
+        plain = corpus_pipeline.materialize(stage(spark, docs, ""), "stage")
+        assert plain.columns == docs.columns, name
+        assert plain.filter(" OR ".join(f"coalesce(`{c}`, '') <> 'x'" for c in docs.columns if c not in hard_docs(spark).columns)).count() == 0, name
+
+
 @pytest.mark.parametrize("sent", [1000, -1])
 def test_with_surrogates(spark, sent):
     rows = [(i, t) for i, (_, t, *_) in enumerate(hard_rows())] + [(100, PRIVATE), (101, PRIVATE), (102, CLEAN), (103, "x " + PRIVATE)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("entities", F.lit(1)).withColumn("kind", F.lit("k"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"entities": F.lit(1), "kind": F.lit("k"), "_attempts": F.lit(1), "_tid": F.lit(2)})
     out = with_surrogates(docs, "k", sent=sent)
-    assert sorted(out.columns) == ["doc_id", "entities", "kind", "text"]
+    assert sorted(out.columns) == ["_attempts", "_tid", "doc_id", "entities", "kind", "text"]
     found = {r["doc_id"]: r for r in out.collect()}
     texts = dict(rows)
     assert len(found) == len(rows)
@@ -253,6 +271,22 @@ def test_with_surrogates(spark, sent):
     assert with_surrogates(empty_docs(spark), "k").collect() == []
 
 
+def test_language_of_the_stage_is_that_of_the_operator(spark):
+    docs = hard_docs(spark)
+    model = lang_id.fit(docs)
+    by_row = docs.select("doc_id", "text", lang_id.predicted(F.col("text"), model).alias("p")).select("doc_id", "text", "p.*")
+    found = lang_id.identify(docs.select(F.struct("doc_id", "text").alias("row"), "text"), model, id_col="row").select("row.*", "lang_pred", "score")
+    assert rows_of(by_row, "doc_id", "text", "lang_pred", "score") == rows_of(found, "doc_id", "text", "lang_pred", "score")
+    assert by_row.filter("lang_pred <> 'x' AND score >= 0")._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") <= 1
+    assert lang_id.predicted(F.col("text"), None) is not None and docs.select(lang_id.predicted(F.col("text"), None).alias("p")).filter("p.score = 0").count() == docs.count()
+
+
+def test_no_language_is_left_out(spark):
+    rows = [(i, " ".join(prose(1000 + i, 6).split()), f"l{i:03d}") for i in range(300)]
+    model = lang_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.languages == [f"l{i:03d}" for i in range(300)]
+
+
 # --- vector search
 
 
