@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise.llm.bloom import build, passes
-from shelfwise.llm.memory import fresh
+from shelfwise.llm.memory import fresh, released
 from shelfwise.session import materialize
 
 
@@ -18,10 +18,13 @@ def _filter(keys: DataFrame) -> Callable[[Column], Column]:
     """Whether a 64-bit hash may be among the one column of ``keys``."""
     filled = build(keys, keys.count())
 
-    @F.arrow_udf(T.BooleanType())
-    def may(key: pa.Array) -> pa.Array:
+    def one(key: pa.Array) -> pa.Array:
         return pa.array(passes(filled, key.to_numpy(zero_copy_only=False).view("uint64")))
 
+    @F.arrow_udf(T.BooleanType())
+    def may(keys_: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from released(lambda columns: map(one, columns))(keys_)
+
     return may
 
 

@@ -13,6 +13,8 @@ Each level is written to the shared scratch folder, so a lost executor costs one
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -20,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise.llm.dropping import one_row_each
+from shelfwise.llm.memory import released
 from shelfwise.session import materialize
 
 FIRST_DIGIT = 64
@@ -27,9 +30,9 @@ GROWTH = 8
 
 
 @F.arrow_udf(T.StringType())
-def ascii_lower(text: pa.Array) -> pa.Array:
+def ascii_lower(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """A-Z to a-z; every other character stays."""
-    return pc.ascii_lower(text)
+    yield from released(lambda columns: map(pc.ascii_lower, columns))(texts)
 
 
 def _split(rows: DataFrame, width: int, keys: list[str]) -> tuple[DataFrame, DataFrame]:

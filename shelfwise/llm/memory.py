@@ -8,9 +8,12 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 
+from shelfwise.llm.words import forget
+
 
 def release() -> None:
     """Return what the Arrow pool and the C heap no longer use to the system."""
+    forget()
     gc.collect()
     pa.default_memory_pool().release_unused()
     try:

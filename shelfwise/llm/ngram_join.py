@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from shelfwise.llm.bloom import build, passes
 from shelfwise.llm.components import components
 from shelfwise.llm.dropping import one_row_each
+from shelfwise.llm.memory import released
 from shelfwise.llm.words import blocks, mix, run_hashes, span_hashes, word_hashes
 from shelfwise.session import materialize
 
@@ -348,7 +349,7 @@ def _with_column(pairs: DataFrame, sets: _Sets, column: str) -> DataFrame:
 def _bounded_pairs(pairs: DataFrame, signs: _Sets, percent: int) -> DataFrame:
     """The pairs that sizes and bitmaps do not rule out."""
     near = _with_chosen(pairs, signs).filter(f"100 * n_a >= {percent} * n_b and 100 * n_b >= {percent} * n_a")
-    return _with_column(near, signs, "bits").mapInArrow(_bounded(percent), "a long, b long")
+    return _with_column(near, signs, "bits").mapInArrow(released(_bounded(percent)), "a long, b long")
 
 
 class _Texts:
@@ -360,10 +361,10 @@ class _Texts:
     def of(self, sids: DataFrame, whole: bool) -> _Sets:
         """The whole sets, or the bitmaps, of the classes in the column ``sid``."""
         firsts = materialize(self.first_of.join(sids, "sid", "left_semi"), "keys")
-        filled = build(firsts.mapInArrow(_keys, "key long"), firsts.count())
+        filled = build(firsts.mapInArrow(released(_keys), "key long"), firsts.count())
         schema = f"sid long, mark long, n long, {'tokens' if whole else 'bits'} binary"
         rows = materialize(
-            self.rows.mapInArrow(_sets(self.words, filled, whole), schema).withColumn("row", F.monotonically_increasing_id()), "sets")
+            self.rows.mapInArrow(released(_sets(self.words, filled, whole)), schema).withColumn("row", F.monotonically_increasing_id()), "sets")
         # The filter lets other rows through, and copies of the first row lie in several tasks.
         chosen = rows.select("sid", "mark", "n", "row").join(firsts, ["sid", "mark"]).groupBy("sid").agg(
             F.min(F.struct("row", "n")).alias("one"))
@@ -374,7 +375,7 @@ class _Texts:
         ends = materialize(pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct(), "ends")
         sets = self.of(ends, whole=True)
         found = _with_column(_with_chosen(pairs, sets), sets, "tokens")
-        return materialize(found.mapInArrow(_verified(percent), "a long, b long"), "links")
+        return materialize(found.mapInArrow(released(_verified(percent)), "a long, b long"), "links")
 
 
 def _linked(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
@@ -386,12 +387,12 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, words: int, percent: in
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).alias("id"), F.xxhash64(id_col, text_col).alias("mark"), F.col(text_col).alias("text"))
     texts = source.select("text")
-    members = materialize(source.mapInArrow(_members(words), f"id {docs.schema[id_col].dataType.simpleString()}, mark long, n long, sid long"), "members")
+    members = materialize(source.mapInArrow(released(_members(words)), f"id {docs.schema[id_col].dataType.simpleString()}, mark long, n long, sid long"), "members")
     total = members.agg(F.count(F.lit(1)).alias("docs"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens")).first()
 
     # A bounded list: the tokens to be put last.
     last = (
-        texts.mapInArrow(_frequent(words), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+        texts.mapInArrow(released(_frequent(words)), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
         .filter(F.col("n") >= max(64, int(total["docs"] * FREQUENT_SHARE)))
         .orderBy(F.desc("n"), "token").limit(FREQUENT_TOKENS).select("token").toPandas()["token"]
     )
@@ -399,8 +400,8 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, words: int, percent: in
 
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(total["tokens"] * (100 - percent) / 100 // ENTRIES_PER_TASK))
     members_of = materialize(
-        texts.mapInArrow(_entries(words, percent, last), "token long, sid long")
-        .repartition(tasks, "token").mapInArrow(_blocks, "block long, sid long").distinct(),
+        texts.mapInArrow(released(_entries(words, percent, last)), "token long, sid long")
+        .repartition(tasks, "token").mapInArrow(released(_blocks), "block long, sid long").distinct(),
         "blocks",
     )
     wanted = members_of.select("sid").distinct()

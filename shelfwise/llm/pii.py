@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.llm.memory import fresh
+from shelfwise.llm.memory import fresh, released
 from shelfwise.session import materialize
 
 #: Entities beyond their first attempt that are sent to tasks; more are joined.
@@ -294,7 +294,7 @@ def settle(entities: DataFrame, secret: bytes, make: Callable = surrogate) -> Da
     ``entities`` holds each (kind, value) once. Given and family names are each kinds of their own.
     """
     schema = "kind string, value string, attempt int, new string"
-    table = materialize(entities.select("kind", "value", F.lit(0).alias("attempt")).mapInArrow(_draw(secret, make), schema), "surrogates")
+    table = materialize(entities.select("kind", "value", F.lit(0).alias("attempt")).mapInArrow(released(_draw(secret, make)), schema), "surrogates")
     while True:
         twice = materialize(
             table.groupBy("kind", "new").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("first")).filter("n > 1").select("kind", "new", "first"), "clashes")
@@ -306,7 +306,7 @@ def settle(entities: DataFrame, secret: bytes, make: Callable = surrogate) -> Da
             return table.select("kind", "value", "attempt")
         again = table.join(losers, ["kind", "value"], "left_semi").select("kind", "value", (F.col("attempt") + 1).alias("attempt"))
         table = materialize(
-            table.join(losers, ["kind", "value"], "left_anti").unionByName(again.mapInArrow(_draw(secret, make), schema)), "surrogates")
+            table.join(losers, ["kind", "value"], "left_anti").unionByName(again.mapInArrow(released(_draw(secret, make)), schema)), "surrogates")
 
 
 _FOUND = T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in ("kind", "found", "surrogate")]))
@@ -345,15 +345,15 @@ def with_surrogates(docs: DataFrame, secret: str | bytes, text_col: str = "text"
         docs = docs.drop("entities")
     names = docs.columns
     seen = docs.select(F.xxhash64(text_col).alias("tid"), F.col(text_col).cast("string").alias("text")).filter("text is not null")
-    entities = seen.mapInArrow(_entities, "tid long, kind string, value string")
+    entities = seen.mapInArrow(released(_entities), "tid long, kind string, value string")
     later = materialize(settle(entities.select("kind", "value").distinct(), secret).filter("attempt > 0"), "attempts")
     schema = T.StructType([*docs.schema.fields, T.StructField("entities", _FOUND)])
     if later.count() <= sent:
         attempts = {(r["kind"], r["value"]): r["attempt"] for r in later.collect()}
-        return docs.mapInArrow(_apply(secret, attempts, text_col, names), schema)
+        return docs.mapInArrow(released(_apply(secret, attempts, text_col, names)), schema)
     own_col, own_tid = fresh(names, "_attempts", "_tid")
     by_text = materialize(
         entities.distinct().join(later, ["kind", "value"]).groupBy(F.col("tid").alias(own_tid)).agg(
             F.collect_list(F.struct("kind", "value", "attempt")).alias(own_col)), "by-text")
     marked = docs.withColumn(own_tid, F.xxhash64(text_col)).join(by_text.hint("shuffle_hash"), own_tid, "left").select(*names, own_col)
-    return marked.mapInArrow(_apply(secret, {}, text_col, names, own_col), schema)
+    return marked.mapInArrow(released(_apply(secret, {}, text_col, names, own_col)), schema)

@@ -97,6 +97,11 @@ def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers(1 << max(16, int(size).bit_length()))
 
 
+def forget() -> None:
+    """Drop the powers kept; they are soon made again."""
+    _powers.cache_clear()
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit numbers."""
     x = x ^ (x >> np.uint64(30))
