@@ -15,8 +15,11 @@ from shelfwise.operators import harvest as bookkeeping
 from shelfwise.plans import oracle as o
 from shelfwise.plans import views as v
 from shelfwise.session import materialize, scratch_path, tune
+from shelfwise.sinks.state import publish_state, read_state
+from shelfwise.sinks.tables import write_report
 from shelfwise.sources import files as file_sources
 from shelfwise.sources import harvest as bodies
+from shelfwise.sources import maps as map_sources
 from shelfwise.streaming import harvest as streams
 from shelfwise.streaming import journal
 
@@ -1029,3 +1032,93 @@ def quality_split(spark, folder):
     quality.write_checked(v.table(spark, folder, "lineitem"), [r for r in _RULES["lineitem"] if r.severity == "error"], path)
     stored = spark.read.parquet(path).select("quality", F.explode(F.concat("broken", F.array(F.lit("rows")))).alias("rule"))
     return stored.groupBy("quality", "rule").agg(F.count("*").alias("n"))
+
+
+# --- sources and sinks, written and read again -----------------------------------------
+
+
+@register(o.sql("SELECT ts, ms_played, artist, album, track FROM history", "history"))
+def history_roundtrip(spark, folder):
+    """All events as JSON arrays of at most 5,000 plays a file, read as a listening history."""
+    path = scratch_path(spark, "history")
+    play = F.struct(
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("ts"), "ms_played", F.col("artist").alias("master_metadata_album_artist_name"),
+        F.col("album").alias("master_metadata_album_album_name"), F.col("track").alias("master_metadata_track_name"))
+    plays = materialize(v.history(spark, folder).withColumn("file", F.expr("monotonically_increasing_id() div 5000")), "plays")
+    plays.groupBy("file").agg(F.to_json(F.collect_list(play)).alias("value")).write.partitionBy("file").text(path)
+    return _text_times(file_sources.read_history(spark, path, "part-*"), "ts")
+
+
+@register("SELECT CAST(doc_id AS VARCHAR) doc_id, text, lang, source, CAST(n_chars AS VARCHAR) n_chars FROM documents")
+def report_roundtrip(spark, folder):
+    """All documents as a CSV report with header, quotes and line breaks included, read as text columns."""
+    path = scratch_path(spark, "report")
+    write_report(v.table(spark, folder, "documents"), path)
+    return file_sources.read_csv_strings(spark, path).drop("ordinal")
+
+
+@register(o.sql("SELECT title, coalesce(note, '') note, url, tags, coalesce(comment, '') AS comment, lat, lon, cid FROM saved", "saved"))
+def saved_list_roundtrip(spark, folder):
+    """All saved rows as CSV files, half of them with headers of another language and order."""
+    path = scratch_path(spark, "saved")
+    rows = v.saved_urls(spark, folder)
+    headers = {0: ("title Title, note Note, url URL, tags Tags, comment Comment"), 1: ("url URL, title Titre, comment Commentaire, note Note, tags Tags")}
+    for turn, names in headers.items():
+        half = rows.filter(F.col("pos") % 2 == turn).selectExpr(*[" AS ".join(f"`{x}`" for x in n.split()) for n in names.split(", ")])
+        write_report(half, f"{path}/{turn}")
+    read = map_sources.read_saved_lists(spark, path)
+    return read.select("title", "note", "url", "tags", "comment", "lat", "lon", "cid")
+
+
+@register("SELECT 'k' || c_custkey AS key, 'P' || c_custkey AS id, 2 AS version FROM customer")
+def state_roundtrip(spark, folder):
+    """A registry published twice: readers get the second version whole."""
+    state = scratch_path(spark, "state")
+    rows = v.table(spark, folder, "customer").select(F.concat(F.lit("k"), "c_custkey").alias("key"), F.concat(F.lit("P"), "c_custkey").alias("id"), "c_custkey")
+    for version, part in ((1, rows.filter(F.col("c_custkey") % 2 == 0)), (2, rows)):
+        publish_state({"registry": part.select("key", "id", F.lit(version).alias("version"))}, state)
+    return read_state(spark, state, "registry", "key string, id string, version int")
+
+
+@register("""SELECT 'n' || n_nationkey AS id, CASE WHEN n_nationkey % 3 > 0 THEN upper(n_name[1:2]) END code, CASE WHEN n_nationkey % 4 > 0 THEN 'r' || n_regionkey END parent FROM nation
+    UNION ALL SELECT 'c' || c_custkey, CASE WHEN c_custkey % 3 > 0 THEN upper(c_name[1:2]) END, CASE WHEN c_custkey % 4 > 0 THEN 'n' || c_nationkey END FROM customer""")
+def area_rows(spark, folder):
+    """Nations and customers as area bodies: the first code, and the first area that it is part of."""
+
+    def landed(name: str, mark: str, key: str, text_: str, up: str, up_mark: str) -> DataFrame:
+        relation = lambda kind, way, area: F.struct(F.lit(kind).alias("type"), F.lit(way).alias("direction"), F.struct(area.alias("id")).alias("area"))
+        part_of = F.when(F.col(key) % 4 > 0, F.array(
+            relation("capital", "backward", F.lit("x")), relation("part of", "forward", F.lit("y")), relation("part of", "backward", F.concat(F.lit(up_mark), up)),
+            relation("part of", "backward", F.lit("z"))))
+        codes = F.when(F.col(key) % 3 > 0, F.array(F.upper(F.substring(text_, 1, 2)), F.lit("ZZ")))
+        body = F.struct(F.concat(F.lit(mark), key).alias("id"), codes.alias("iso-3166-1-codes"), part_of.alias("relations"))
+        return v.table(spark, folder, name).select(F.to_json(body).alias("body"))
+
+    raw = landed("nation", "n", "n_nationkey", "n_name", "n_regionkey", "r").unionByName(landed("customer", "c", "c_custkey", "c_name", "c_nationkey", "n"))
+    return bodies.parse_areas(raw)
+
+
+@register(f"""SELECT c_custkey, CASE WHEN c_custkey % 5 > 0 THEN CAST({o.lat_text('c_custkey // 3')} AS DOUBLE) END lat,
+    CASE WHEN c_custkey % 5 > 0 THEN CAST({o.lon_text('c_custkey // 3')} AS DOUBLE) END lon FROM customer""".replace("c_custkey // 3", "(c_custkey // 3)"))
+def point_texts(spark, folder):
+    """Coordinates of all customers from texts of maps, with a height, blanks, or a half that cannot be read."""
+    k = F.expr("c_custkey div 3")
+    lat = F.when(F.col("c_custkey") % 5 == 0, "north").otherwise(v._lat_text(k))
+    point = F.concat(F.lit(" "), v._lon_text(k), F.lit(", "), lat, F.when(F.col("c_custkey") % 2 == 0, ",12.5").otherwise(""), F.lit(" "))
+    lat, lon = geo.point_coords(point)
+    return v.table(spark, folder, "customer").select("c_custkey", lat.alias("lat"), lon.alias("lon"))
+
+
+@register("""SELECT CAST(p_partkey AS VARCHAR) track_key, p_size % 5 > 0 AS found, CASE WHEN p_size % 5 > 0 THEN p_name END matched_title, CASE WHEN p_size % 5 > 0 THEN p_size / 50.0::DOUBLE END energy,
+    CASE WHEN p_size % 5 > 0 AND p_size % 7 > 0 THEN (p_partkey % 100) / 100.0::DOUBLE END valence, NULL danceability, CASE WHEN p_size % 5 > 0 THEN 60.0::DOUBLE + p_size END tempo, NULL acousticness,
+    NULL instrumentalness, NULL liveness, NULL loudness, NULL speechiness, CASE WHEN p_size % 5 > 0 THEN p_size % 12 END AS key, CASE WHEN p_size % 5 > 0 THEN p_size % 2 END AS mode FROM part""")
+def feature_entries(spark, folder):
+    """Parts as feature responses, some of them not found and some without a value, as cache entries."""
+    size, k = F.col("p_size"), F.col("p_partkey")
+    body = F.struct((size / 50.0).alias("energy"), F.when(size % 7 > 0, (k % 100) / 100.0).alias("valence"), (F.lit(60.0) + size).alias("tempo"),
+                    (size % 12).alias("key"), (size % 2).alias("mode"))
+    status = F.when(size % 5 > 0, 200).otherwise(404)
+    raw = v.table(spark, folder, "part").select(
+        k.cast("string").alias("track_key"), F.col("p_name").alias("matched_title"), status.alias("http_status"),
+        F.when(status == 200, F.to_json(body)).otherwise("not found").alias("body"))
+    return bodies.parse_features(raw)
