@@ -45,7 +45,7 @@ def unique_artists(library: DataFrame) -> DataFrame:
 
 
 def pending_work(
-    requested: DataFrame, cache: DataFrame, key: str, limit: int = 0, order: str = "ordinal"
+    requested: DataFrame, cache: DataFrame, key: str, limit: int = 0, order: str | list[str] = "ordinal"
 ) -> DataFrame:
     """Requested rows whose key is not cached, optionally only the first ``limit``."""
     todo = requested.join(cache.select(key).distinct(), key, "left_anti")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.numbers import round_even
@@ -106,3 +106,11 @@ def split_plan(detail: DataFrame, minutes: int = MINUTES_PER_TRACK, top: int = 3
         (F.sum("c") * minutes).alias("minutes"),
         F.array_join(leading["artist"], ", ").alias("top_artists"),
     )
+
+
+def plan_order(plan: DataFrame) -> DataFrame:
+    """The plan with ``theme_rows`` and ``place``: a playlist's larger themes first, then by theme and volume."""
+    whole = Window.partitionBy("playlist", "theme")
+    sized = plan.withColumn("theme_rows", F.sum("tracks").over(whole))
+    order = Window.partitionBy("playlist").orderBy(F.desc("theme_rows"), "theme", "volume")
+    return sized.withColumn("place", F.row_number().over(order))

@@ -167,11 +167,11 @@ def report_coherence(rows: DataFrame, names: DataFrame, out: str) -> DataFrame:
 
 
 def report_split(rows: DataFrame, names: DataFrame, out: str) -> DataFrame:
-    """Write the split detail and plan; returns the plan."""
+    """Write the split detail and the plan, each playlist's larger themes first; returns the plan."""
     detail = materialize(splitting.split_detail(materialize(rows, "tagged"), names), "detail")
     plan = splitting.split_plan(detail)
     write_report(detail.select("name", "sub_playlist", "artist", "track", "album", "energy"), f"{out}/monoliths_detail")
-    write_report(plan, f"{out}/monoliths_plan")
+    write_report(splitting.plan_order(plan), f"{out}/monoliths_plan", ["name", "playlist", "place"])
     return plan
 
 

@@ -306,6 +306,14 @@ def pending_work(spark, folder):
     return enrich.pending_work(artists, v.countries(spark, folder), "norm").select("norm", "artist")
 
 
+@register(o.sql(f"""SELECT norm, artist FROM (SELECT norm, name artist, {_ORD}, pos FROM names JOIN library USING (artist)
+    QUALIFY row_number() OVER (PARTITION BY norm ORDER BY {_ORD}, pos) = 1) WHERE norm NOT IN (SELECT 'brand#' || (n_nationkey + 1) FROM nation) ORDER BY {_ORD}, pos LIMIT 25""", "names", "library"))
+def pending_first(spark, folder):
+    """The 25 artists that a harvest asks for first."""
+    artists = enrich.unique_artists(v.library(spark, folder))
+    return enrich.pending_work(artists, v.countries(spark, folder), "norm", 25, ["ordinal", "pos"]).select("norm", "artist")
+
+
 @register(o.sql(f"""SELECT {o.norm_ws('artist')} || '||' || {o.norm_ws('track')} track_key FROM tparts WHERE NOT p_size > 20""", "tparts"))
 def retry_misses(spark, folder):
     requested = v.titled_parts(spark, folder).select(text.track_key(F.col("artist"), F.col("track")).alias("track_key"))
@@ -458,6 +466,14 @@ def split_plan(spark, folder):
     return splitting.split_plan(splitting.split_detail(v.tagged_rows(spark, folder), v.playlist_names(spark, folder)))
 
 
+@register(o.sql("""SELECT playlist, theme, volume, theme_rows, CAST(row_number() OVER (PARTITION BY playlist ORDER BY theme_rows DESC, theme, volume) AS INTEGER) place FROM (
+    SELECT playlist, theme, volume, CAST(sum(count(*)) OVER (PARTITION BY playlist, theme) AS BIGINT) theme_rows FROM detail GROUP BY playlist, theme, volume)""", "detail"))
+def split_order(spark, folder):
+    """The places of the sub-playlists in the plan: larger themes of a playlist first."""
+    plan = splitting.split_plan(splitting.split_detail(v.tagged_rows(spark, folder), v.playlist_names(spark, folder)))
+    return splitting.plan_order(plan).select("playlist", "theme", "volume", "theme_rows", "place")
+
+
 # --- matching --------------------------------------------------------------------------
 
 
