@@ -14,7 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.operators.indexing import global_index
+from shelfwise.operators.indexing import MAX_BROADCAST_ROWS, global_index
+from shelfwise.operators.pointers import follow
 from shelfwise.session import materialize
 
 
@@ -32,15 +33,16 @@ def resolve_ids(
 
     Returns the occurrences with ``id`` and the registry entries to append (``key, id,
     is_new``, where ``is_new`` marks the entry that allocated its id). Parents of keys were
-    seen earlier, so the parent links form a forest; pointer jumping resolves it in a
-    number of rounds logarithmic in the longest alias chain.
+    seen earlier, so the parent links form a forest whose roots ``pointers.follow`` finds.
+
+    Up to a million keys (counted), the registry is filtered by them where it lies, so a run
+    over few keys moves and joins only the entries it touches, and writes only new ones.
     """
     pairs = materialize(_first_seen(occurrences), "pairs")
     keyed = pairs.select("k1", "k2", "ordinal", F.explode(F.array_compact(F.array("k1", "k2"))).alias("key"))
-    known = registry.select("key", F.col("id").alias("_known"))
-    first = materialize(
-        keyed.groupBy("key").agg(F.min("ordinal").alias("first")).join(known, "key", "left"), "keys"
-    )
+    seen = keyed.groupBy("key").agg(F.min("ordinal").alias("first"))
+    known = _touched(registry, seen, 2 * pairs.count()).select("key", F.col("id").alias("_known"))
+    first = materialize(seen.join(known, "key", "left"), "keys")
 
     # Parent of an unregistered key: the first key of its first occurrence that was known
     # by then. Without one, the leading key of that occurrence is the root of its keys.
@@ -60,52 +62,30 @@ def resolve_ids(
     )
     parent = F.when(lead_known, F.col("k1")).when(other_known, F.col("k2")).otherwise(F.col("k1"))
     links = at_first.join(lead, "k1").join(other, "k2", "left").select("key", "first", parent.alias("parent"))
-    state = links.select(
-        "key", "first", "parent", (F.col("parent") == F.col("key")).alias("is_root")
-    ).unionByName(
-        first.filter("_known IS NOT NULL").select(
-            "key", "first", F.col("key").alias("parent"), F.lit(True).alias("is_root")
-        )
+    links = materialize(
+        links.select(F.col("key").alias("id"), F.when(F.col("parent") != F.col("key"), F.col("parent")).alias("parent"), "first"),
+        "links",
     )
-    roots = _jump(state)
-
-    new_roots = roots.filter(F.col("key") == F.col("root")).join(
-        first.filter("_known IS NULL").select("key"), "key", "left_semi"
-    )
-    numbered = global_index(new_roots.select("key", "first"), ["first"], "_n", start=counter + 1)
-    new_id = F.format_string(f"{prefix}-{kind}-%0{width}d", F.col("_n"))
-    root_ids = numbered.select(F.col("key").alias("root"), new_id.alias("id")).unionByName(
-        first.filter("_known IS NOT NULL").select(F.col("key").alias("root"), F.col("_known").alias("id"))
+    numbered = global_index(links.filter("parent IS NULL").select("id", "first"), ["first"], "_n", start=counter + 1)
+    made = numbered.select(F.col("id").alias("key"), F.format_string(f"{prefix}-{kind}-%0{width}d", F.col("_n")).alias("id"))
+    registered = first.filter("_known IS NOT NULL").select("key", F.col("_known").alias("id"))
+    root_ids = made.unionByName(registered).select(F.col("key").alias("root"), F.col("id").alias("_id"))
+    aliases = follow(links).join(root_ids, "root").select(F.col("id").alias("key"), F.col("_id").alias("id"))
+    added = materialize(
+        made.withColumn("is_new", F.lit(True)).unionByName(aliases.withColumn("is_new", F.lit(False))), "ids"
     )
-    resolved = materialize(
-        roots.join(root_ids, "root").select("key", "id", (F.col("key") == F.col("root")).alias("_is_root")),
-        "ids",
-    )
-    added = resolved.join(first.filter("_known IS NULL").select("key"), "key", "left_semi").select(
-        "key", "id", F.col("_is_root").alias("is_new")
-    )
-    lead_ids = resolved.select(F.col("key").alias("_lead"), "id")
+    lead_ids = added.select("key", "id").unionByName(registered).withColumnRenamed("key", "_lead")
     with_ids = (
         occurrences.withColumn("_lead", F.get("keys", F.lit(0))).join(lead_ids, "_lead").drop("_lead")
     )
     return with_ids, added
 
 
-def _jump(state: DataFrame) -> DataFrame:
-    """Follow parents to the root by doubling: ``key, first, root``.
-
-    ``done`` marks keys whose parent is a root; a root is its own parent.
-    """
-    state = materialize(state.withColumnRenamed("is_root", "done"), "jump")
-    while not (pending := state.filter("NOT done")).isEmpty():
-        target = state.select(
-            F.col("key").alias("parent"), F.col("parent").alias("_up"), F.col("done").alias("_done")
-        )
-        moved = pending.join(target, "parent").select(
-            "key", "first", F.col("_up").alias("parent"), F.col("_done").alias("done")
-        )
-        state = materialize(state.filter("done").unionByName(moved), "jump")
-    return state.select("key", "first", F.col("parent").alias("root"))
+def _touched(registry: DataFrame, keys: DataFrame, n_keys: int) -> DataFrame:
+    """The registry entries of ``keys``, found without moving the others; all entries for more keys than may be sent."""
+    if n_keys > MAX_BROADCAST_ROWS:
+        return registry
+    return registry.join(F.broadcast(keys.select("key")), "key", "left_semi")
 
 
 def resolve_single_ids(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shelfwise.functions.numbers import round_even
 from shelfwise.functions.text import norm_ws, strip, track_key
 from shelfwise.operators.indexing import first_wins, last_wins
+from shelfwise.operators.pointers import follow
 from shelfwise.session import materialize
 
 MIN_RECORDING_SCORE = 0.80
@@ -168,27 +169,16 @@ def retag_counts(plan: DataFrame) -> DataFrame:
 def resolve_codes(nodes: DataFrame) -> DataFrame:
     """Nearest code on the way up a hierarchy: ``id, code, parent`` to ``id, code``.
 
-    Each round replaces a node's pointer by its target's pointer, or takes the target's
-    code, so a chain of n steps needs log2(n) rounds. Cycles and dead ends give "".
+    The nodes are written once, narrow; beyond that only open nodes that others go through are
+    (``pointers.follow``). Cycles and dead ends give "".
     """
-    state = nodes.select(
-        "id", F.nullif("code", F.lit("")).alias("code"),
-        F.when(F.nullif("code", F.lit("")).isNull(), F.col("parent")).alias("parent"),
+    given = F.nullif("code", F.lit(""))
+    table = materialize(nodes.select("id", given.alias("code"), F.when(given.isNull(), F.col("parent")).alias("parent")), "codes")
+    codes = table.filter("code IS NOT NULL").select(F.col("id").alias("root"), "code")
+    found = follow(table).join(codes, "root", "left").select("id", "code")
+    return found.unionByName(table.filter("parent IS NULL").select("id", "code")).select(
+        "id", F.coalesce("code", F.lit("")).alias("code")
     )
-    state = materialize(state, "codes")
-    n_open, n_before = state.filter("parent IS NOT NULL").count(), None
-    # A node at a finite distance has ancestors at every smaller one, so a round that
-    # settles nothing leaves only cycles.
-    while n_open and n_open != n_before:
-        target = state.select(
-            F.col("id").alias("parent"), F.col("code").alias("_code"), F.col("parent").alias("_up")
-        )
-        moved = state.filter("parent IS NOT NULL").join(target, "parent", "left").select(
-            "id", F.col("_code").alias("code"), F.when(F.col("_code").isNull(), F.col("_up")).alias("parent")
-        )
-        state = materialize(state.filter("parent IS NULL").unionByName(moved), "codes")
-        n_open, n_before = state.filter("parent IS NOT NULL").count(), n_open
-    return state.select("id", F.coalesce("code", F.lit("")).alias("code"))
 
 
 def zip_batches(requests: DataFrame, responses: DataFrame) -> DataFrame:

@@ -10,14 +10,13 @@ from shelfwise.operators import catalog, coherence, duplicates, enrich, harvest,
 from shelfwise.operators.indexing import first_wins, last_wins
 from shelfwise.session import materialize, tune
 from shelfwise.sinks.runlog import RunJournal
-from shelfwise.sinks.state import publish_state, read_state
-from shelfwise.sinks.tables import grown_registry, next_counter, publish, publish_all, write_paths, write_report
+from shelfwise.sinks.registry import grow, read_counters, read_registries
+from shelfwise.sinks.tables import publish, publish_all, write_paths, write_report
 from shelfwise.sources import files as file_sources
 from shelfwise.sources import maps as map_sources
 
 MUSIC_TABLES = ["tracks", "playlists", "playlist_tracks", "files", "enrichment", "platform_refs"]
 PLACE_TABLES = ["places", "lists", "list_places", "platform_refs"]
-REGISTRY = "key string, id string"
 _NO_REFS = "track_id string, platform string, external_id string"
 
 
@@ -72,26 +71,23 @@ def music_totals(spark: SparkSession, out: str) -> DataFrame:
 def build_places(spark: SparkSession, source: str, out: str, state: str, backfill: bool = False) -> DataFrame:
     """Rebuild the place tables from map and list exports; returns counts and totals.
 
-    The registry in ``state`` outlives rebuilds, so ids do not change. Its next version is in force,
-    as a whole, before any table with new ids is published; a rebuild stopped in between repeats them.
+    The registry in ``state`` outlives rebuilds, so ids do not change. The entries a rebuild adds are in
+    force, all of them, before any table with new ids is published; a rebuild stopped in between repeats them.
     """
     tune(spark)
     kinds = {r["kind"] for r in file_sources.classify_files(spark, source).select("kind").distinct().collect()}
     if not kinds & {"my_maps", "saved"}:
         raise FileNotFoundError(f"no map or list export below {source}")
-    place_registry, list_registry = (
-        read_state(spark, state, name, REGISTRY) for name in ("places", "lists")
-    )
+    registries = read_registries(spark, state, ["places", "lists"])
+    counters = read_counters(spark, state, registries)
     maps = materialize(map_sources.read_maps(spark, source, strict=True), "maps")
     saved = map_sources.read_saved_lists(spark, source)
     built = places.build_places(
         places.map_occurrences(maps).unionByName(places.saved_occurrences(saved)),
         places.map_lists(maps).unionByName(places.saved_lists(map_sources.saved_files(spark, source))),
-        place_registry, list_registry, next_counter(place_registry), next_counter(list_registry), backfill,
+        registries["places"], registries["lists"], counters["places"], counters["lists"], backfill,
     )
-    publish_state({
-        "places": grown_registry(built.new_place_keys, place_registry), "lists": grown_registry(built.new_list_keys, list_registry),
-    }, state)
+    grow(state, {"places": built.new_place_keys, "lists": built.new_list_keys}, counters)
     publish_all({
         "places": built.places, "lists": built.lists, "list_places": built.list_places, "platform_refs": built.refs,
     }, out)

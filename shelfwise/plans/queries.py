@@ -15,6 +15,7 @@ from shelfwise.operators import harvest as bookkeeping
 from shelfwise.plans import oracle as o
 from shelfwise.plans import views as v
 from shelfwise.session import materialize, scratch_path, tune
+from shelfwise.sinks import registry
 from shelfwise.sinks.state import publish_state, read_state
 from shelfwise.sinks.tables import write_report
 from shelfwise.sources import files as file_sources
@@ -857,6 +858,28 @@ def registry_conflicts(spark, folder):
     return identity.registry_conflicts(built.occurrences, built.new_place_keys)
 
 
+@register(o.sql("""SELECT key, id, CAST(1 + min(src) AS INTEGER) run, 0 third_run_new FROM (SELECT k1 key, src FROM occ UNION ALL SELECT k2, src FROM occ WHERE k2 IS NOT NULL)
+    JOIN keyids USING (key) GROUP BY key, id""", "occ", "keyids"))
+def registry_second_run(spark, folder):
+    """The registry after runs over the maps, over maps and saved lists, and over both again: which run added a key,
+    and how many ids the third run made."""
+    state, kinds = scratch_path(spark, "registry"), ["places"]
+    maps = places.map_occurrences(v.map_rows(spark, folder))
+    both = maps.unionByName(places.saved_occurrences(v.saved_rows(spark, folder)))
+    keys = places.place_keys(F.col("name"), F.col("lat"), F.col("lon"), F.col("reference"), F.col("list_scope"))
+    runs = []
+    for run, occurrences in enumerate((maps, both, both), 1):
+        before = registry.read_registries(spark, state, kinds)
+        counters = registry.read_counters(spark, state, before)
+        keyed = materialize(occurrences.select("ordinal", keys.alias("keys")), "occurrences")
+        _, added = identity.resolve_ids(keyed, before["places"], places.PLACE_KIND, places.PLACE_WIDTH, counters["places"])
+        registry.grow(state, {"places": added}, counters)
+        runs.append(added.select("key", F.lit(run).alias("run")))
+    stored = registry.read_registries(spark, state, kinds)["places"]
+    third = runs[2].agg(F.count("*").cast("int").alias("n")).scalar()
+    return stored.join(runs[0].unionByName(runs[1]), "key").select("key", "id", "run", third.alias("third_run_new"))
+
+
 _LAYERS = """SELECT map, path, layer_pos, CASE WHEN layer = '' THEN '(sans calque)' ELSE layer END || ':' || count(*) t, count(*) FILTER (geometry = 'Point') p,
     count(*) FILTER (geometry <> 'Point') k, count(*) FILTER (name = '') u FROM maps GROUP BY map, path, layer_pos, layer"""
 

@@ -76,14 +76,3 @@ def write_tabs(rows: DataFrame, path: str, order: list[str], cap: int = TAB_ROWS
     with_tabs(rows, order, cap).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         "tab"
     ).parquet(path)
-
-
-def grown_registry(entries: DataFrame, registry: DataFrame) -> DataFrame:
-    """The next version of a registry: old entries unchanged, new ones added."""
-    return registry.select("key", "id").unionByName(entries.select("key", "id"))
-
-
-def next_counter(registry: DataFrame) -> int:
-    """Highest number handed out so far (0 for an empty registry): one row to the driver."""
-    number = F.regexp_extract("id", r"(\d+)$", 1).cast("bigint")
-    return registry.agg(F.coalesce(F.max(number), F.lit(0)).alias("n")).first()["n"]
