@@ -1088,6 +1088,18 @@ def history_roundtrip(spark, folder):
     return _text_times(file_sources.read_history(spark, path, "part-*"), "ts")
 
 
+@register("SELECT CAST(doc_id AS VARCHAR) AS key, text, lang, source, n_chars FROM documents")
+def json_cache_roundtrip(spark, folder):
+    """All documents as entries of JSON maps over several lines, whole texts with quotes and brackets included."""
+    path = scratch_path(spark, "maps")
+    docs = v.table(spark, folder, "documents").withColumn("file", F.expr("doc_id div 500"))
+    entry = F.to_json(F.create_map(F.col("doc_id").cast("string"), F.struct("text", "lang", "source", "n_chars")))
+    inner = F.array_join(F.collect_list(F.expr("substring(entry, 2, length(entry) - 2)")), ",\n  ")
+    maps = docs.select("file", entry.alias("entry")).groupBy("file").agg(F.concat(F.lit('{"_used": 3,\n  '), inner, F.lit("\n}")).alias("value"))
+    maps.write.partitionBy("file").text(path)
+    return file_sources.import_json_cache(spark, path, "text string, lang string, source string, n_chars bigint", "key")
+
+
 @register("SELECT CAST(doc_id AS VARCHAR) doc_id, text, lang, source, CAST(n_chars AS VARCHAR) n_chars FROM documents")
 def report_roundtrip(spark, folder):
     """All documents as a CSV report with header, quotes and line breaks included, read as text columns."""

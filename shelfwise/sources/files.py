@@ -11,6 +11,7 @@ from shelfwise.functions.paths import (
 )
 from shelfwise.operators.indexing import global_index
 from shelfwise.session import materialize
+from shelfwise.sources.jsonmap import read_json_maps
 
 HISTORY_SCHEMA = T.StructType([
     T.StructField("ts", T.StringType()),
@@ -80,19 +81,14 @@ def open_tables(spark: SparkSession, folder: str, names: list[str]) -> dict[str,
 
 def import_json_cache(spark: SparkSession, path: str, value_schema: str, key: str) -> DataFrame:
     """A JSON map of entries as a keyed table; keys starting with "_" are housekeeping."""
-    text = spark.read.option("wholetext", True).text(path)
-    # Values that do not fit the entry type (the housekeeping ones) must not fail the map.
-    raw = text.select(F.from_json("value", "map<string,string>").alias("m"))
-    entries = raw.select(F.explode("m").alias(key, "_body")).filter(~F.col(key).startswith("_"))
-    return entries.select(key, F.from_json("_body", value_schema).alias("_e")).select(key, "_e.*")
+    entries = read_json_maps(spark, path).filter(~F.col("key").startswith("_"))
+    return entries.select(F.col("key").alias(key), F.from_json("body", value_schema).alias("_e")).select(key, "_e.*")
 
 
 def cache_counter(spark: SparkSession, path: str, name: str) -> DataFrame:
     """One housekeeping number of a JSON map (0 while absent)."""
-    text = spark.read.option("wholetext", True).text(path)
-    return text.select(
-        F.coalesce(F.get_json_object("value", f"$.{name}").try_cast("bigint"), F.lit(0)).alias(name)
-    )
+    entries = read_json_maps(spark, path).filter(F.col("key") == name)
+    return entries.agg(F.coalesce(F.max(F.col("body").try_cast("bigint")), F.lit(0)).alias(name))
 
 
 def local_path(path: Column) -> Column:
