@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.operators.indexing import top_k
@@ -143,38 +143,21 @@ def recommend(
     the first playlist wins ties.
 
     Scores are computed per distinct tag set, then per (tag set, energy). The two best
-    playlists of a pair suffice, since an item rules out only its own. Two exact bounds
-    keep the candidates of a popular set few. The penalty only lowers a score, so a raw
-    score under the floor is out. And means lie close together, so the penalties of two
-    playlists differ by a bounded factor: a raw score further below the set's second best
-    than that factor cannot be among the two.
+    playlists of a pair suffice, since an item rules out only its own. Three exact bounds
+    keep the candidates few. A set of k tags reaches the floor only with a playlist that
+    gives one of them a k-th of it, so only such pairs are made, and their scores completed.
+    The penalty only lowers a score, so a raw score under the floor is out. And means lie
+    close together, so the penalties of two playlists differ by a bounded factor: a raw
+    score further below the set's second best than that factor cannot be among the two.
+    Only pairs within all bounds are stored.
     """
     keyed = items.withColumn("_set", _tagset(F.col("tags")))
-    sets = keyed.select("_set", "tags").dropDuplicates(["_set"])
     eligible = facts.filter(~F.col("catchall")).select(
         F.col("playlist").alias("_to"), F.greatest("n_tagged", F.lit(1)).alias("_n"), "e_mean", "pos"
     )
-    weights = frequency.select(F.col("playlist").alias("_to"), "tag", "df").join(eligible.select("_to"), "_to", "left_semi")
-    raw = (
-        sets.select("_set", F.explode("tags").alias("tag")).join(weights, "tag")
-        .groupBy("_set", "_to").agg(F.sum("df").alias("_df"))
-        .join(eligible, "_to")
-        .withColumn("_raw", F.col("_df") / F.col("_n"))
-        .filter(F.col("_raw") >= min_score)
-        .select("_set", "_to", "_raw", "e_mean", "pos")
-    )
-    raw = materialize(raw, "scores")  # read for the bound and for the scores
-    second = top_k(raw, ["_set"], [F.desc("_raw"), F.asc("_to")], 2, "_k").filter("_k = 2").select(
-        "_set", F.col("_raw").alias("_second")
-    )
     wanted = keyed.select("_set", "energy").distinct()
-    bounds = _penalty_bounds(wanted, eligible, penalty)
-    keep = F.when(F.col("e_mean").isNull(), F.col("_keep_flat")).otherwise(F.col("_keep"))
-    near = (
-        raw.join(second, "_set", "left")
-        .withColumns({"_keep": bounds.select("keep").scalar(), "_keep_flat": bounds.select("keep_flat").scalar()})
-        .filter(F.col("_second").isNull() | (F.col("_raw") >= keep * F.col("_second")))
-        .select("_set", "_to", "_raw", "e_mean", "pos")
+    near = materialize(
+        _near_pairs(keyed.select("_set", "tags"), frequency, eligible, _penalty_bounds(wanted, eligible, penalty), min_score), "scores"
     )
     distance = F.abs(F.col("energy") - F.col("e_mean"))
     score = F.col("_raw") * F.coalesce(F.lit(1.0) - F.lit(penalty) * distance, F.lit(1.0))
@@ -193,6 +176,35 @@ def recommend(
     )
 
 
+def _near_pairs(
+    sets: DataFrame, frequency: DataFrame, eligible: DataFrame, bounds: DataFrame, min_score: float
+) -> DataFrame:
+    """Raw scores of the (tag set, playlist) pairs that can be among the two best of an energy."""
+    weights = frequency.select(F.col("playlist").alias("_to"), "tag", "df").join(eligible.select("_to", "_n"), "_to")
+    tags = sets.dropDuplicates(["_set"]).select("_set", F.size("tags").alias("_tags"), F.explode("tags").alias("tag"))
+    slack = 1 - 1e-9  # sums of doubles round
+    leading = (
+        tags.join(weights, "tag").filter(F.col("df") * F.col("_tags") >= F.lit(min_score * slack) * F.col("_n"))
+        .select("_set", "_to").distinct()
+    )
+    raw = (
+        leading.join(tags, "_set").join(weights.select("_to", "tag", "df"), ["_to", "tag"])
+        .groupBy("_set", "_to").agg(F.sum("df").alias("_df"))
+        .join(eligible, "_to")
+        .withColumn("_raw", F.col("_df") / F.col("_n"))
+        .filter(F.col("_raw") >= min_score)
+    )
+    of_set = Window.partitionBy("_set")
+    ranked = raw.withColumn("_k", F.row_number().over(of_set.orderBy(F.desc("_raw"), F.asc("_to"))))
+    second = F.max(F.when(F.col("_k") == 2, F.col("_raw"))).over(of_set)
+    keep = F.when(F.col("e_mean").isNull(), bounds.select("keep_flat").scalar()).otherwise(bounds.select("keep").scalar())
+    return (
+        ranked.withColumns({"_second": second, "_least": keep})
+        .filter(F.col("_second").isNull() | (F.col("_raw") >= F.col("_least") * F.col("_second")))
+        .select("_set", "_to", "_raw", "e_mean", "pos")
+    )
+
+
 def _penalty_bounds(wanted: DataFrame, eligible: DataFrame, penalty: float) -> DataFrame:
     """Least ratio of two playlists' energy factors for one item, as one row.
 
