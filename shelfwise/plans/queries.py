@@ -22,7 +22,7 @@ from shelfwise.sources import files as file_sources
 from shelfwise.sources import harvest as bodies
 from shelfwise.sources import maps as map_sources
 from shelfwise.streaming import harvest as streams
-from shelfwise.streaming import journal
+from shelfwise.streaming import journal, watching
 
 
 class Query(NamedTuple):
@@ -1173,3 +1173,23 @@ def feature_entries(spark, folder):
         k.cast("string").alias("track_key"), F.col("p_name").alias("matched_title"), status.alias("http_status"),
         F.when(status == 200, F.to_json(body)).otherwise("not found").alias("body"))
     return bodies.parse_features(raw)
+
+
+@register("""WITH a AS (SELECT event_id % 2 part, CAST(user_id AS VARCHAR) AS key, 1 + event_id % 3 r FROM events), w AS (SELECT DISTINCT key, key[-1:] = '7' AS never FROM a),
+    runs AS (SELECT unnest([0, 1]) last)
+  SELECT CAST(last + 1 AS INTEGER) run, (SELECT count(DISTINCT key) FROM a WHERE part <= last) done, (SELECT count(*) + count(*) FILTER (never) FROM w) total,
+    (SELECT CAST(sum(r) AS BIGINT) FROM a WHERE part <= last) used, CASE WHEN (SELECT count(*) FILTER (never) FROM w) = 0 AND
+      (SELECT count(DISTINCT key) FROM a WHERE part <= last) = (SELECT count(*) FROM w) THEN 'complete' ELSE 'landed' END reason FROM runs""")
+def harvest_watch(spark, folder):
+    """Events as answers that land in two halves: how far each run of the stream came, the second one continuing the first."""
+    landing, out, resume = (scratch_path(spark, name) for name in ("answers", "harvest", "resume"))
+    events = v.table(spark, folder, "events")
+    user = F.col("user_id").cast("string")
+    keys = materialize(events.select(user.alias("key")).distinct(), "keys")
+    requested = keys.unionByName(keys.filter(F.col("key").endswith("7")).select(F.concat(F.lit("never "), "key").alias("key")))
+    reports = []
+    for run in (0, 1):
+        answers = events.filter(F.col("event_id") % 2 == run).select(user.alias("key"), (1 + F.col("event_id") % 3).cast("bigint").alias("requests"))
+        answers.write.mode("append").parquet(landing)
+        reports.append((run + 1, *watching.follow_harvest(spark, landing, requested, out, resume, files_per_batch=4)))
+    return spark.createDataFrame(reports, "run int, done bigint, total bigint, used bigint, reason string")
