@@ -17,6 +17,8 @@ LEVELS = 5
 #: Largest tables that are sent to all tasks; beyond it both sides are shuffled.
 SENT_ROWS = 100_000
 COOLDOWN_S = 7 * 86_400
+#: Requests and files of a kind that meet in one place, about, and the most tasks they are dealt to.
+TILE_REQUESTS, TILE_FILES, MOST_TASKS = 2_000, 4_000, 20_000
 
 
 def segments(slots: DataFrame) -> DataFrame:
@@ -83,10 +85,13 @@ def slot_of_play(plays: DataFrame, slots: DataFrame, time_col: str = "ts") -> Da
     return plays.drop("slot_id").join(grid, here, "left").drop("_station", "_day", "_hour", "_start", "_end")
 
 
+def _digits(seed: str, group: Column, item: Column) -> Column:
+    return F.substring(F.md5(F.concat_ws("|", F.lit(seed), group.cast("string"), item.cast("string")).cast("binary")), 1, 12)
+
+
 def draw_key(seed: str, group: Column, item: Column, weight: Column) -> Column:
     """-ln(u) / weight with u from a hash of seed, group and item: the smallest keys are a weighted draw without replacement."""
-    digits = F.substring(F.md5(F.concat_ws("|", F.lit(seed), group.cast("string"), item.cast("string")).cast("binary")), 1, 12)
-    u = (F.conv(digits, 16, 10).cast("bigint") + 1) / F.lit(float(1 << 48))
+    u = (F.conv(_digits(seed, group, item), 16, 10).cast("bigint") + 1) / F.lit(float(1 << 48))
     return -F.log(u) / weight
 
 
@@ -95,19 +100,56 @@ def cooling(requests: DataFrame, history: DataFrame, cooldown_s: int = COOLDOWN_
 
     ``history`` is station, file, ts. Plays become one row for each file and day, or each cooldown if that is shorter; a
     request meets only those its time reaches back to. The ends are exact: of the first day the last play counts, of the last day the first.
+    Requests that carry a ``file`` ask for that file only, so what is made does not grow with what the station played.
     """
+    file = ["file"] if "file" in requests.columns else []
     width = min(86_400, cooldown_s)
     at = F.unix_micros(F.col("ts").cast("timestamp"))
     day = F.floor(at / (width * 1_000_000))
     played = history.groupBy("station", "file", day.alias("bin")).agg(F.min(at).alias("first"), F.max(at).alias("last"))
-    asked = requests.select("request_id", "station", F.unix_micros(F.col("at").cast("timestamp")).alias("at"))
+    asked = requests.select("request_id", "station", *file, F.unix_micros(F.col("at").cast("timestamp")).alias("at"))
     since = F.col("at") - cooldown_s * 1_000_000
     low, high = F.floor(since / (width * 1_000_000)), F.floor(F.col("at") / (width * 1_000_000))
     asked = asked.withColumn("since", since).withColumn("bin", F.explode(F.sequence(low, high)))
-    recent = asked.join(materialize(played, "played"), ["station", "bin"])
+    recent = asked.join(materialize(played, "played"), ["station", *file, "bin"])
     return recent.filter((F.col("last") >= F.col("since")) & (F.col("first") < F.col("at"))).select("request_id", "file").distinct()
 
 
+def _tiles(requests: DataFrame, files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides by (kind, part, piece): each request meets each file of its kind in one tile, and no tile is larger than others by much.
+
+    ``requests`` and ``files`` have ``kind``; requests have ``n_files``, how many files there are of it, and ``nth``, their number.
+    """
+    many = materialize(requests.groupBy("kind").agg(
+        F.ceil(F.count(F.lit(1)) / TILE_REQUESTS).cast("int").alias("parts"), F.ceil(F.max("n_files") / TILE_FILES).cast("int").alias("pieces")), "tiles")
+    n = max(int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions")), many.agg(F.sum(F.col("parts") * F.col("pieces"))).first()[0] or 0)
+    n, tile = min(n, MOST_TASKS), ["kind", "part", "piece"]
+    each = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    left = files.join(many, "kind").withColumn("piece", F.pmod(F.xxhash64("file"), F.col("pieces")).cast("int")).withColumn("part", each("parts"))
+    spread = F.pmod(F.xxhash64("request_id", "nth"), F.col("parts")).cast("int")
+    right = requests.join(many, "kind").withColumn("part", spread).withColumn("piece", each("pieces"))
+    return left.drop("parts", "pieces").repartition(n, *tile), right.drop("parts", "pieces", "nth").repartition(n, *tile)
+
+
+def _drawn(asked: DataFrame, files: DataFrame, seed: str, expected: int) -> DataFrame:
+    """(request_id, file, key, whole) of the pairs with the smallest keys: ``expected`` for each request, about, or all if they are few.
+
+    A key is exponential with the weight as its rate, so about ``limit`` times the sum of weights lie below a ``limit``. Keys up to the
+    limit are complete. Those that cannot be are told by the digest alone, before a logarithm is taken.
+    """
+    own = Window.partitionBy("request_id")
+    n, total = F.sum("n_files").over(own), F.sum("total").over(own)
+    whole = (n <= 4 * expected) | F.isnan(total) | (total == float("inf"))
+    asked = asked.withColumn("whole", whole).withColumn("limit", F.when(~whole, F.lit(float(expected)) / total))
+    least = F.exp(-F.col("limit") * F.col("most")) * float(1 << 48) * (1 - 1e-9) - 2
+    asked = asked.withColumn("least", F.when(F.col("limit").isNull(), "").otherwise(F.lower(F.lpad(F.hex(F.greatest(least, F.lit(0.0)).cast("bigint")), 12, "0"))))
+    left, right = _tiles(asked, files)
+    digits = _digits(seed, F.col("request_id"), F.col("file"))
+    pairs = left.join(right.hint("shuffle_hash"), ["kind", "part", "piece"]).filter(digits >= F.col("least"))
+    drawn = pairs.withColumn("key", draw_key(seed, F.col("request_id"), F.col("file"), F.col("weight")))
+    return drawn.filter(F.col("whole") | (F.col("key") <= F.col("limit"))).select("request_id", "file", "key", "whole")
+
+
 def slot_candidates(requests: DataFrame, files: DataFrame, history: DataFrame, k: int, seed: str, cooldown_s: int = COOLDOWN_S) -> DataFrame:
     """(request_id, rank, file): up to ``k`` files drawn for each request by weight, without replacement.
 
@@ -115,20 +157,47 @@ def slot_candidates(requests: DataFrame, files: DataFrame, history: DataFrame, k
     station, energy, era, culture and weight; one without a positive weight is never drawn. Files the station
     played within the cooldown are left out. The draw is fixed by ``seed``: the same tables give the same files, and a file's chance grows with
     its weight. Requests without a fitting file have no row; repeated files of a station count once, with the largest weight.
+
+    Each fitting pair is drawn, as its key depends on both, but only pairs below a limit that leaves some more than ``k`` are
+    stored and looked up in the history. A request that gets fewer than ``k`` is asked again with a limit eight times as wide.
     """
     low, high = F.greatest("energy_min", F.lit(1)).cast("int"), F.least("energy_max", F.lit(LEVELS)).cast("int")
     asked = requests.filter(low <= high).select(
         "request_id", "station", F.explode(F.sequence(low, high)).alias("energy"), F.col("era").alias("_era"), F.col("culture").alias("_culture"))
-    asked = small(materialize(asked, "requests"))
     traits = F.max(F.struct("weight", "energy", "era", "culture")).alias("f")
     usable = files.filter((F.col("weight") > 0) & ~F.isnan(F.col("weight").cast("double"))).groupBy("station", "file").agg(traits)
-    usable = usable.select("station", "file", "f.*").withColumn("energy", F.col("energy").cast("int"))
+    usable = materialize(usable.select("station", "file", "f.*").withColumn("energy", F.col("energy").cast("int")), "files")
+    # Files of one kind fit the same requests.
+    weight = F.col("weight").cast("double")
+    kinds = usable.groupBy("station", "energy", "era", "culture").agg(F.count(F.lit(1)).alias("n_files"), F.sum(weight).alias("total"), F.max(weight).alias("most"))
+    kinds = materialize(kinds.withColumn("kind", F.monotonically_increasing_id()), "kinds")
+    named = kinds.select("kind", F.col("station").alias("_s"), F.col("energy").alias("_e"), F.col("era").alias("_r"), F.col("culture").alias("_c"))
+    same = (F.col("station") == F.col("_s")) & (F.col("energy") == F.col("_e")) & F.col("era").eqNullSafe(F.col("_r")) & F.col("culture").eqNullSafe(F.col("_c"))
+    usable = usable.join(named, same).select("kind", "file", "weight")
     fits = (F.col("_era").isNull() | (F.col("_era") == F.col("era"))) & (F.col("_culture").isNull() | (F.col("_culture") == F.col("culture")))
-    fitting = usable.join(asked, ["station", "energy"]).filter(fits).select("request_id", "file", "weight")
-    free = fitting.join(materialize(cooling(requests, history, cooldown_s), "cooling"), ["request_id", "file"], "left_anti")
+    asked = materialize(asked.join(kinds, ["station", "energy"]).filter(fits).select(
+        "request_id", "kind", "n_files", "total", "most", F.monotonically_increasing_id().alias("nth")), "requests")
+    times = requests.select(F.col("request_id").alias("_id"), "station", "at")
     order = Window.partitionBy("request_id").orderBy("key", "file")
-    drawn = free.withColumn("key", draw_key(seed, F.col("request_id"), F.col("file"), F.col("weight")))
-    return drawn.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("request_id", "rank", "file")
+    out, expected = None, 4 * k + 20
+    while True:
+        drawn = materialize(_drawn(asked, usable, seed, expected), "drawn")
+        looked_up = drawn.select("request_id", "file").distinct()
+        looked_up = looked_up.join(times, F.col("request_id") == F.col("_id")).select("request_id", "station", "at", "file")
+        free = drawn.join(materialize(cooling(looked_up, history, cooldown_s), "cooling"), ["request_id", "file"], "left_anti")
+        ranked = materialize(free.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k), "ranked")
+        done = ranked.filter(F.col("whole") | (F.col("rank") == k)).select(F.col("request_id").alias("_id")).distinct()
+        same_id = F.col("request_id").eqNullSafe(F.col("_id"))
+        full = ranked.join(done, same_id, "left_semi").select("request_id", "rank", "file")
+        out = full if out is None else out.unionByName(full)
+        # Requests whose pairs were all looked at leave, with fewer files or none.
+        own = Window.partitionBy("request_id")
+        wider = asked.withColumn("_n", F.sum("n_files").over(own)).withColumn("_w", F.sum("total").over(own))
+        wider = wider.filter((F.col("_n") > 4 * expected) & ~F.isnan("_w") & (F.col("_w") < float("inf"))).drop("_n", "_w")
+        asked = materialize(wider.join(done, same_id, "left_anti"), "requests")
+        if asked.isEmpty():
+            return out
+        expected *= 8
 
 
 def energy_breaks(plays: DataFrame, low: int = 1, high: int = 5) -> DataFrame:

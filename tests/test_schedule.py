@@ -1,6 +1,8 @@
 """The weekly grid, the draw with its cooldown and the energy breaks, against plain loops."""
 
 import datetime as dt
+import hashlib
+import math
 import random
 from collections import Counter
 
@@ -99,6 +101,40 @@ def test_draw_follows_weights_and_seed(spark):
     assert sorted(map(tuple, first)) != sorted(map(tuple, S.slot_candidates(*tables, 2, "two").collect()))
 
 
+def test_few_pairs_are_stored(spark, monkeypatch):
+    """Draws equal to plain loops while only some more than k pairs of a request are stored, most files played or not."""
+    monkeypatch.setattr(S, "TILE_REQUESTS", 3)
+    monkeypatch.setattr(S, "TILE_FILES", 50)
+    rng, k = random.Random(8), 2
+    stations = {"a": 900, "b": 700, "c": 5}  # of b nearly all files were played, c has few
+    files = [(i, s, rng.randint(1, 2), rng.choice(["80s", None]), "FR", rng.choice([1.0, 2.0, 7.0])) for s, n in stations.items() for i in range(n)]
+    requests = [(i, "abc"[i % 3], MONDAY, 1, 2, rng.choice([None, "80s"]), None) for i in range(60)] + [(3, "a", MONDAY, 1, 1, None, None), (None, "a", MONDAY, 1, 2, None, None)]
+    history = [("b", i, MONDAY - dt.timedelta(hours=1)) for i in range(697)] + [("a", i, MONDAY - dt.timedelta(days=i % 9)) for i in range(0, 900, 3)]
+    stored, write = Counter(), S.materialize
+
+    def counted(df, name):
+        out = write(df, name)
+        stored[name] = max(stored[name], out.count())
+        return out
+
+    monkeypatch.setattr(S, "materialize", counted)
+    got = {}
+    for r in S.slot_candidates(*frames(spark, requests, files, history), k, "s").collect():
+        got.setdefault(r["request_id"], []).append((r["rank"], r["file"]))
+
+    def key(request, file, weight):
+        text = "|".join(str(x) for x in ("s", request, file) if x is not None)
+        return -math.log((int(hashlib.md5(text.encode()).hexdigest()[:12], 16) + 1) / 2**48) / weight, file
+
+    for request in {r[0] for r in requests}:
+        own = [r for r in requests if r[0] == request]
+        # The rule holds for the id: what any of its rows keeps away is kept away, a null id knows no history.
+        away = {f for r in own for place, f, ts in history if r[0] is not None and place == r[1] and MONDAY - dt.timedelta(days=7) <= ts < MONDAY}
+        keys = sorted(key(request, f[0], f[5]) for r in own for f in files if f[1] == r[1] and r[3] <= f[2] <= r[4] and r[5] in (None, f[3]) and f[0] not in away)
+        assert sorted(got.get(request, [])) == [(i + 1, f) for i, (_, f) in enumerate(keys[:k])], request
+    assert stored["drawn"] < 12_000 and stored["cooling"] < 12_000, stored  # all that was played is some 18,000
+
+
 def test_energy_breaks(spark):
     rng = random.Random(4)
     plays = [(rng.choice("ab"), i, MONDAY + dt.timedelta(hours=rng.randrange(0, 400, 5)), rng.randint(1, 5)) for i in range(300)]
