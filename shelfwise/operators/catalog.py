@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.numbers import safe_double, safe_long
 from shelfwise.functions.text import blank_to_null, with_norm_key
-from shelfwise.operators.indexing import first_wins, last_wins, with_sequential_id
+from shelfwise.operators.indexing import first_wins, last_wins, top_k, with_sequential_id
 from shelfwise.session import materialize
 
 KEY = ["na", "nt"]
@@ -33,7 +33,16 @@ def keyed_library(library: DataFrame) -> DataFrame:
     """
     if set(KEY) <= set(library.columns):
         return library
-    pairs = materialize(with_norm_key(library.select("artist", "track").distinct(), na="artist", nt="track"), "pairs")
+    return with_pairs(library, norm_pairs(library))
+
+
+def norm_pairs(library: DataFrame) -> DataFrame:
+    """The distinct (artist, track) with their match keys, written."""
+    return materialize(with_norm_key(library.select("artist", "track").distinct(), na="artist", nt="track"), "pairs")
+
+
+def with_pairs(library: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The library with what ``pairs`` says of each (artist, track)."""
     pairs = pairs.withColumnsRenamed({"artist": "_artist", "track": "_track"})
     same = F.col("artist").eqNullSafe(F.col("_artist")) & F.col("track").eqNullSafe(F.col("_track"))
     return library.join(pairs, same).drop("_artist", "_track")
@@ -239,5 +248,13 @@ def import_counters(
 
 def library_dedup(library: DataFrame) -> DataFrame:
     """The library reduced to one row per (playlist, artist key, title key)."""
-    keyed = keyed_library(library)
-    return first_wins(keyed, ["playlist", *KEY]).drop(*KEY)
+    first = [F.asc_nulls_last("ordinal")]
+    if set(KEY) <= set(library.columns):
+        return top_k(library, ["playlist", *KEY], first, 1, "_first").drop("_first", *KEY)
+    # Rows carry the number of their key, not its texts.
+    pairs = norm_pairs(library)
+    numbers = materialize(pairs.select(*KEY).distinct().withColumn("_key", F.monotonically_increasing_id()), "keys")
+    numbers = numbers.withColumnsRenamed({"na": "_na", "nt": "_nt"})
+    same = F.col("na").eqNullSafe(F.col("_na")) & F.col("nt").eqNullSafe(F.col("_nt"))
+    numbered = with_pairs(library, materialize(pairs.join(numbers, same).select("artist", "track", "_key"), "pairs"))
+    return top_k(numbered, ["playlist", "_key"], first, 1, "_first").drop("_first", "_key")
