@@ -116,13 +116,16 @@ def z_outliers(
 ) -> DataFrame:
     """Rows whose feature is more than ``threshold`` deviations off their group's mean.
 
-    Statistics are aggregated and joined back, so no group is held in one task.
+    Statistics are aggregated and joined back, so no group is held in one task; one row of them for each group, so rows move once.
     """
     stats = feature_stats(rows, group, features, min_featured, min_std)
-    values = _unpivot(rows, [group, *ids], features)
-    z = (F.col("value") - F.col("mean")) / F.col("std")
+    stats = stats.groupBy(group).agg(F.collect_list(F.struct("feature", "mean", "std")).alias("_stats"))
+    values = rows.select(group, *ids, F.struct(*[F.col(f).cast("double").alias(f) for f in features]).alias("_values"))
+    joined = values.join(materialize(stats, "stats"), group).select(group, *ids, "_values", F.explode("_stats").alias("_s"))
+    value = F.coalesce(*[F.when(F.col("_s.feature") == f, F.col("_values")[f]) for f in features])
+    z = (F.col("value") - F.col("mean")) / F.col("_s.std")
     return (
-        values.join(stats, [group, "feature"]).withColumn("z", z).filter(F.abs("z") > threshold)
+        joined.withColumns({"feature": F.col("_s.feature"), "value": value, "mean": F.col("_s.mean")}).withColumn("z", z).filter(F.abs("z") > threshold)
         .select(group, *ids, "feature", "value", "mean", "z")
     )
 
@@ -151,13 +154,15 @@ def recommend(
     score further below the set's second best than that factor cannot be among the two.
     Only pairs within all bounds are stored.
     """
-    keyed = items.withColumn("_set", _tagset(F.col("tags")))
+    keyed = items.withColumn("_text", _tagset(F.col("tags")))
+    # Sets go by numbers until their advice is known.
+    sets = materialize(keyed.select("_text", "tags").dropDuplicates(["_text"]).withColumn("_set", F.monotonically_increasing_id()), "sets")
     eligible = facts.filter(~F.col("catchall")).select(
         F.col("playlist").alias("_to"), F.greatest("n_tagged", F.lit(1)).alias("_n"), "e_mean", "pos"
     )
-    wanted = keyed.select("_set", "energy").distinct()
+    wanted = materialize(keyed.select("_text", "energy").distinct().join(sets.select("_text", "_set"), "_text").select("_set", "energy"), "wanted")
     near = materialize(
-        _near_pairs(keyed.select("_set", "tags"), frequency, eligible, _penalty_bounds(wanted, eligible, penalty), min_score), "scores"
+        _near_pairs(sets.select("_set", "tags"), frequency, eligible, _penalty_bounds(wanted, eligible, penalty), min_score), "scores"
     )
     distance = F.abs(F.col("energy") - F.col("e_mean"))
     score = F.col("_raw") * F.coalesce(F.lit(1.0) - F.lit(penalty) * distance, F.lit(1.0))
@@ -165,9 +170,9 @@ def recommend(
     two = top_k(scored, ["_set", "energy"], [F.desc("_score"), F.asc("pos")], 2, "_k")
     best = two.groupBy("_set", "energy").agg(
         F.sort_array(F.collect_list(F.struct("_k", "_to", "_score"))).alias("_two")
-    ).select(F.col("_set").alias("_set2"), F.col("energy").alias("_en2"), "_two")
+    ).join(sets.select("_set", "_text"), "_set").select(F.col("_text").alias("_text2"), F.col("energy").alias("_en2"), "_two")
     joined = keyed.join(
-        best, (F.col("_set") == F.col("_set2")) & F.col("energy").eqNullSafe(F.col("_en2")), "left"
+        materialize(best, "best"), (F.col("_text") == F.col("_text2")) & F.col("energy").eqNullSafe(F.col("_en2")), "left"
     )
     choice = F.get(F.filter("_two", lambda c: c["_to"] != F.col("playlist")), F.lit(0))
     return joined.withColumn("_best", choice).select(
@@ -244,8 +249,9 @@ def all_outliers(
     facts = materialize(
         with_catchall(playlist_facts(rows, min_featured), names).filter(F.col("n_rows") >= min_rows), "facts"
     )
-    kept = materialize(profiled_rows(rows, facts, min_rows), "profiled")  # read by four steps
-    frequency = tag_frequency(kept)
+    used = rows.select("playlist", "ordinal", "tags", "energy", "valence")
+    kept = materialize(profiled_rows(used, facts, min_rows), "profiled")  # read by four steps
+    frequency = materialize(tag_frequency(kept), "frequency")
     off_genre = (
         misfits(kept, profile_tags(frequency, profile_size))
         .join(facts.filter("catchall").select("playlist"), "playlist", "left_anti")

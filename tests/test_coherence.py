@@ -109,3 +109,39 @@ def test_split(spark, data, limit):
     assert got == want
     plan = splitting.split_plan(splitting.split_detail(df, listed)).filter("playlist = 0").collect()
     assert sum(r["tracks"] for r in plan) == n and all(r["tracks"] <= 37 and r["minutes"] == 4 * r["tracks"] for r in plan)
+
+
+def test_outliers_store_only_what_they_read(spark, data, monkeypatch):
+    """Texts of tracks are not written, and tag sets go by numbers."""
+    rows, df, names, listed = data
+    stored, write = {}, coherence.materialize
+
+    def kept(frame, name):
+        stored[name] = dict(frame.dtypes)
+        return write(frame, name)
+
+    monkeypatch.setattr(coherence, "materialize", kept)
+    assert coherence.all_outliers(df, listed, 4, 8, 15, 1.5).count()
+    assert set(stored["profiled"]) == {"playlist", "ordinal", "tags", "energy", "valence"}
+    assert stored["scores"]["_set"] == "bigint"
+
+
+def test_z_outliers_move_rows_once(spark, data):
+    rows, df, names, listed = data
+    found = coherence.z_outliers(df, threshold=1.2, min_featured=5)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = found._jdf.queryExecution().optimizedPlan().toString()
+        got = {(r["playlist"], r["ordinal"], r["feature"]): (r["value"], r["z"]) for r in found.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    expected = {}
+    for p in names:
+        for f, c in (("energy", 6), ("valence", 7)):
+            values = [r[c] for r in rows if r[0] == p and r[c] is not None]
+            if len(values) >= 5 and statistics.pstdev(values) >= 0.05:
+                mean, std = statistics.fmean(values), statistics.pstdev(values)
+                expected |= {(p, r[1], f): (r[c], (r[c] - mean) / std) for r in rows if r[0] == p and r[c] is not None and abs((r[c] - mean) / std) > 1.2}
+    assert got.keys() == expected.keys() and expected
+    assert all(got[k] == pytest.approx(expected[k]) for k in got)
+    assert "Expand" not in text.split("Relation")[0]  # rows are joined before they become one for each feature
