@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise.llm.bpe import _parts, vocabulary
-from shelfwise.llm.memory import released
+from shelfwise.llm.memory import released, text_batches
 from shelfwise.llm.ranks import with_ranks
 from shelfwise.session import materialize
 
@@ -208,7 +208,8 @@ def pack_documents(
     make = _pieces(path, window, end_id, keep_ids)
     if not keep_vocabulary:
         make = released(make, vocabulary.cache_clear)
-    pieces = materialize(source.mapInArrow(make, schema), "pieces")
+    with text_batches(docs.sparkSession):
+        pieces = materialize(source.mapInArrow(make, schema), "pieces")
 
     histogram = np.zeros(window + 1, np.int64)
     for length, n in pieces.groupBy("length").count().collect():  # a row for each length up to the window

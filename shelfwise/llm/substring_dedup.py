@@ -30,6 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.llm.memory import released, text_batches
 from shelfwise.llm.words import Block, blocks, mix, run_hashes, runs_inside, span_hashes, word_hashes
 from shelfwise.session import materialize
 
@@ -158,10 +159,11 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     texts = texts.select("id", F.xxhash64("text").alias("tid"), "text")
-    found = texts.select("tid", "text").mapInArrow(_seeds(length), "anchor long, extension long, tid long, span long")
+    found = texts.select("tid", "text").mapInArrow(released(_seeds(length)), "anchor long, extension long, tid long, span long")
     # Written tables on the right leave both sides of each join to plain exchanges, which AQE can split.
-    shared = materialize(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor"), "anchors")
-    found = materialize(found.join(shared, "anchor"), "seeds")
+    with text_batches(docs.sparkSession):
+        shared = materialize(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor"), "anchors")
+        found = materialize(found.join(shared, "anchor"), "seeds")
 
     classes = materialize(
         found.groupBy("anchor", "extension").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("tid", "span")).alias("one")), "extensions")
@@ -176,10 +178,12 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .select("one.tid", F.struct(F.col("one.span").alias("span"), F.least("n", F.lit(2)).alias("weight")).alias("seed"))
         .groupBy("tid").agg(F.collect_list("seed").alias("spans"))
     )
-    windows = materialize(
+    windows = (
         texts.join(asked.hint("shuffle_hash"), "tid").select("id", "tid", "text", "spans")
-        .mapInArrow(_windows(length), "window long, weight long, tid long, span long"), "windows",
+        .mapInArrow(released(_windows(length)), "window long, weight long, tid long, span long")
     )
+    with text_batches(docs.sparkSession):
+        windows = materialize(windows, "windows")
     again = materialize(windows.groupBy("window").agg(F.sum("weight").alias("n")).filter("n > 1").select("window"), "again")
     single = windows.filter("weight = 1").join(again, "window").select("tid", "span")
     gone = repeated.unionByName(single).distinct().groupBy("tid").agg(F.collect_list("span").alias("spans"))
@@ -187,6 +191,6 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     id_type = docs.schema[id_col].dataType.simpleString()
     out = (
         texts.join(gone.hint("shuffle_hash"), "tid", "left").select("id", "text", "spans")
-        .mapInArrow(_kept(length, digest), f"id {id_type}, n_words long, n_removed long, kept string")
+        .mapInArrow(released(_kept(length, digest)), f"id {id_type}, n_words long, n_removed long, kept string")
     )
     return out.select(F.col("id").alias(id_col), "n_words", "n_removed", F.col("kept").alias("kept_sha256" if digest else "text"))

@@ -245,3 +245,24 @@ def test_without_ids(spark):
     docs = spark.createDataFrame([(i if i else None, str(i)) for i in range(50)], "doc_id long, text string")
     gone = spark.createDataFrame([(i,) for i in (3, 4, None)], "x long")
     assert {r["text"] for r in without_ids(docs, gone).collect()} == {str(i) for i in range(1, 50)} - {"3", "4"}
+
+
+def test_texts_go_to_python_in_small_batches(spark, monkeypatch):
+    """Steps over whole texts run with small Arrow batches; the session's own setting is back afterwards."""
+    import shelfwise.llm.packing as packing
+    import shelfwise.llm.substring_dedup as substrings
+    from shelfwise.llm.memory import TEXT_ROWS
+    from shelfwise.llm.settings import bpe_file
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, seen = spark.conf.get(key), {}
+    for module in (substrings, packing):
+        def noted(df, name, write=module.materialize):
+            seen[name] = int(spark.conf.get(key))
+            return write(df, name)
+
+        monkeypatch.setattr(module, "materialize", noted)
+    assert without_repeats(hard_docs(spark)).count()
+    assert packing.pack_documents(hard_docs(spark), bpe_file()).count()
+    assert {seen[n] for n in ("anchors", "seeds", "windows", "pieces")} == {TEXT_ROWS} and seen["again"] == int(before)
+    assert spark.conf.get(key) == before
