@@ -32,12 +32,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfwise.llm.memory import released
 from shelfwise.llm.words import BLOCK_BYTES, text_buffers
 
 # Fixed value: the published pre-token pattern of this kind of byte-level vocabulary.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Encodings that a worker keeps, and the longest fragment it keeps; memory and speed only.
-KNOWN_FRAGMENTS = 400_000
+KNOWN_FRAGMENTS = 100_000
 KNOWN_BYTES = 40
 _WHITE = frozenset(b" \t\n\x0b\x0c\r")
 
@@ -243,7 +244,7 @@ def encode_texts(docs: DataFrame, path: str, text_col: str = "text", ids_col: st
                 column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int32), *ids])))
                 yield pa.RecordBatch.from_arrays([*(part[n] for n in names), column], [*names, ids_col])
 
-    return docs.select(*[F.col(f"`{n}`") for n in [*names, text_col]]).mapInArrow(run, schema)
+    return docs.select(*[F.col(f"`{n}`") for n in [*names, text_col]]).mapInArrow(released(run), schema)
 
 
 def decoded(ids: Column | str, path: str) -> Column:

@@ -88,6 +88,24 @@ def test_encode_texts(spark, library):
     assert encode_texts(empty_docs(spark), bpe_file()).collect() == []
 
 
+def test_op5_runs_in_small_batches(spark, library, monkeypatch, tmp_path):
+    """Whole texts and their ids go to Python in small Arrow batches, and the query is run to its end with them."""
+    from shelfwise.llm import queries
+    from shelfwise.llm.memory import TEXT_ROWS
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, seen = spark.conf.get(key), []
+    write = queries.materialize
+    monkeypatch.setattr(queries, "materialize", lambda df, name: seen.append(int(spark.conf.get(key))) or write(df, name))
+    hard_docs(spark).write.parquet(f"{tmp_path}/documents.parquet")
+    out = queries.bpe_encoding(spark, str(tmp_path))
+    plan = out._jdf.queryExecution().toString()
+    assert "ArrowEvalPython" not in plan and "MapInArrow" not in plan
+    wanted = [(i, len(library.encode(t or "", add_special_tokens=False).ids)) for i, t, *_ in hard_rows()]
+    assert rows_of(out, "doc_id", "n_tokens") == sorted(wanted, key=repr)
+    assert seen == [TEXT_ROWS] and spark.conf.get(key) == before
+
+
 def check_packing(rows, texts, library, window):
     """All ids once, in order, in gapless sequences; the share of padding."""
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
