@@ -3,7 +3,8 @@
 Each stage is a function (spark, docs, sf_dir) -> DataFrame and works on all rows that the stage
 before kept; all but the last return the columns of ``documents``. ``run`` writes every stage as
 Parquet to the shared scratch folder and reads it again for the next. When a stage begins, the scratch tables of the
-stages before are deleted, as their results have been written.
+stages before are deleted, as their results have been written. Stages that hand whole texts to Python in their last
+step write it themselves, as small batches hold only while a step runs.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm.exact_dedup import drop_exact_copies
 from shelfwise.llm.lang_id import UNDETERMINED, fit, held_out, predicted
+from shelfwise.llm.memory import text_batches
 from shelfwise.llm.ngram_join import drop_near_copies
 from shelfwise.llm.packing import pack_documents
 from shelfwise.llm.pii import with_surrogates
@@ -26,6 +28,18 @@ from shelfwise.session import drop_scratch, materialize, scratch_scope
 LEAST_SCORE = 0.2
 
 
+def _in_small_batches(stage: Callable) -> Callable:
+    """The stage run to its end, and written, with small batches of texts."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        with text_batches(spark):
+            return materialize(stage(spark, docs, sf_dir), "stage")
+
+    return run
+
+
+@_in_small_batches
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a determined language; those without letters or without a leading language go.
 
@@ -38,6 +52,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rows.filter((F.col("found.lang_pred") != UNDETERMINED) & (F.col("found.score") >= LEAST_SCORE)).select("row.*")
 
 
+@_in_small_batches
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts, that with the largest id."""
     return drop_exact_copies(docs)
@@ -48,6 +63,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_near_copies(docs)
 
 
+@_in_small_batches
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with surrogates for the personal data; n_chars follows the text."""
     out = with_surrogates(docs, SURROGATE_KEY)

@@ -35,6 +35,9 @@ def ascii_lower(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
     yield from released(lambda columns: map(pc.ascii_lower, columns))(texts)
 
 
+ascii_lower = ascii_lower.asNondeterministic()  # or a filter on it would make Spark run it twice, in workers of its own
+
+
 def _split(rows: DataFrame, width: int, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """One level: the rows with their group's decision, and the groups of two rows or more."""
     rows = rows.withColumns({

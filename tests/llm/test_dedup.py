@@ -266,3 +266,31 @@ def test_texts_go_to_python_in_small_batches(spark, monkeypatch):
     assert packing.pack_documents(hard_docs(spark), bpe_file()).count()
     assert {seen[n] for n in ("anchors", "seeds", "windows", "pieces")} == {TEXT_ROWS} and seen["again"] == int(before)
     assert spark.conf.get(key) == before
+
+
+def test_stages_over_texts_run_in_small_batches(spark, monkeypatch):
+    """Stages whose last step hands whole texts to Python write it themselves, with small Arrow batches."""
+    import corpus_pipeline
+    from shelfwise.llm.memory import TEXT_ROWS
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, seen = spark.conf.get(key), []
+    write = corpus_pipeline.materialize
+
+    def noted(df, name):
+        seen.append((int(spark.conf.get(key)), "ArrowEvalPython" in (plan := df._jdf.queryExecution().toString()) or "MapInArrow" in plan))
+        return write(df, name)
+
+    monkeypatch.setattr(corpus_pipeline, "materialize", noted)
+    stages = dict(corpus_pipeline.STAGES)
+    docs = hard_docs(spark)
+    for name in ("language", "exact copies", "personal data"):
+        plan = stages[name](spark, docs, "")._jdf.queryExecution().toString()
+        assert "ArrowEvalPython" not in plan and "MapInArrow" not in plan
+    assert seen == [(TEXT_ROWS, True)] * 3 and spark.conf.get(key) == before
+
+
+def test_exact_copies_lower_texts_once(spark):
+    """Each branch of the plan runs the lower-casing once, so that a task holds no third worker."""
+    plan = drop_exact_copies(hard_docs(spark))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython [ascii_lower") == plan.count("ArrowEvalPython [may") > 0
