@@ -2,20 +2,21 @@
 
 Texts with equal shingle sets form one class first, so copies never meet each other. Two sets
 that reach the threshold share a token among the first few of both in any fixed order of tokens
-(the order here is by hash, with very frequent tokens last). The tokens split the classes into
-blocks; blocks with the same members are kept once. Inside a block a signature tree is built:
-leaves are token bitmaps with set sizes, inner nodes hold the OR of the bitmaps below and the range
+(the order here is by hash, with the tokens that many share last, by how many, so that blocks stay
+small in large tables). The tokens split the classes into blocks; blocks with the same members are kept
+once. Inside a block a signature tree is built: leaves are token bitmaps with set sizes, inner nodes hold the OR of the bitmaps below and the range
 of sizes. A traversal of the tree against itself drops pairs of nodes whose size ranges or whose
 largest possible overlap rule out every link below them. What is left is verified on the whole sets.
 
 Verified links of each class with its block's first class come before the trees, and the trees
-skip pairs that are already in one component. Blocks with the same first class share a tree. So a large group of near copies costs about one
+skip pairs that are already in one component and take in only classes that have one of like size to be compared with. Blocks with the same first class share a tree. So a large group of near copies costs about one
 verified pair per member, and no link between components is left out.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
@@ -31,10 +32,13 @@ from shelfwise.llm.memory import released
 from shelfwise.llm.words import blocks, mix, run_hashes, span_hashes, word_hashes
 from shelfwise.session import materialize
 
-#: A token in more than this share of the texts goes last in the order of tokens; speed only.
-FREQUENT_SHARE = 1 / 200
-#: At most so many tokens are put last (the most frequent): bounds what each task is sent; speed only.
-FREQUENT_TOKENS = 1 << 16
+#: Tokens that so many of some ``RUN_TEXTS`` texts share go after the others in the order of tokens; speed only.
+SHARED = 4
+RUN_TEXTS = 10_000
+#: A run of long texts ends earlier.
+RUN_TOKENS = 1 << 23
+#: So many of them, the most frequent, go last by their number: bounds what each task is sent; speed only.
+FREQUENT_TOKENS = 1 << 17
 #: Prefix tokens for each task that gathers blocks.
 ENTRIES_PER_TASK = 2_000_000
 #: Larger blocks are dealt to several tasks, each with a pair of parts.
@@ -173,24 +177,60 @@ def _members(words: int) -> Callable:
     return run
 
 
-def _frequent(words: int) -> Callable:
-    """Tokens that many texts of a batch hold. Only the low hashes count: the prefixes lie there."""
-    edge = np.uint64(int(0.4 * 2**64))
+def _shared(words: int) -> Callable:
+    """Tokens that ``SHARED`` texts or more of a run hold, with their number."""
+    edges = (np.arange(1, 8, dtype=np.uint64) << np.uint64(61)).tolist()
+
+    def counted(seen):
+        cuts = [[0, *np.searchsorted(s, np.array(edges, np.uint64)).tolist(), len(s)] for s in seen]
+        for i in range(len(edges) + 1):  # a part of the hashes at a time, to hold few copies
+            tokens, counts = np.unique(np.concatenate([s[c[i]:c[i + 1]] for s, c in zip(seen, cuts)]), return_counts=True)
+            shared = counts >= SHARED
+            yield pa.RecordBatch.from_arrays([pa.array(tokens[shared].view(np.int64)), pa.array(counts[shared].astype(np.int64))], ["token", "n"])
 
     def run(batches):
+        seen: dict[int, np.ndarray] = {}
+        held = 0
         for batch in batches:
-            seen = {set_id(s): s[:np.searchsorted(s, edge)] for s in shingle_sets(batch["text"], words) if len(s)}
-            if not seen:
-                continue
-            tokens, counts = np.unique(np.concatenate(list(seen.values())), return_counts=True)
-            often = counts >= max(4, batch.num_rows * FREQUENT_SHARE)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(tokens[often].view(np.int64)), pa.array(counts[often].astype(np.int64))], ["token", "n"])
+            for s in shingle_sets(batch["text"], words):
+                if len(s) and (sid := set_id(s)) not in seen:
+                    seen[sid] = s
+                    held += len(s)
+                if len(seen) >= RUN_TEXTS or held >= RUN_TOKENS:
+                    yield from counted(list(seen.values()))
+                    seen, held = {}, 0
+        if seen:
+            yield from counted(list(seen.values()))
 
     return run
 
 
-def _entries(words: int, percent: int, last: np.ndarray) -> Callable:
+class Order(NamedTuple):
+    """Rare tokens by hash, then those that pass the filter ``shared``, then ``last`` (sorted) by ``place``."""
+
+    shared: np.ndarray
+    last: np.ndarray
+    place: np.ndarray
+
+    def of(self, tokens: np.ndarray) -> np.ndarray:
+        """Sorted tokens in this order; any fixed order finds the same links."""
+        level = passes(self.shared, tokens).astype(np.int32)
+        if len(self.last):
+            at = np.minimum(np.searchsorted(self.last, tokens), len(self.last) - 1)
+            listed = self.last[at] == tokens
+            level[listed] = self.place[at[listed]] + 2
+        return tokens[np.argsort(level, kind="stable")] if level.any() else tokens
+
+
+def _order(counted: DataFrame) -> Order:
+    """The order of tokens by the table (token, n)."""
+    most = counted.orderBy(F.desc("n"), "token").limit(FREQUENT_TOKENS).select("token").toPandas()["token"]
+    most = most.to_numpy(np.int64).view(np.uint64)[::-1]
+    by_hash = np.argsort(most)
+    return Order(build(counted.select("token"), counted.count()), most[by_hash], by_hash.astype(np.int32))
+
+
+def _entries(words: int, percent: int, order: Order) -> Callable:
     """(token, sid) for the prefix of each distinct set of the task."""
 
     def run(batches):
@@ -201,11 +241,7 @@ def _entries(words: int, percent: int, last: np.ndarray) -> Callable:
                 if not len(s) or (sid := set_id(s)) in seen:
                     continue
                 seen.add(sid)
-                if len(last):
-                    late = last[np.minimum(np.searchsorted(last, s), len(last) - 1)] == s
-                    if late.any():
-                        s = np.concatenate([s[~late], s[late]])
-                prefix = s[:prefix_size(len(s), percent)]
+                prefix = order.of(s)[:prefix_size(len(s), percent)].copy()
                 tokens.append(prefix)
                 owners.append(sid)
                 lengths.append(len(prefix))
@@ -378,6 +414,25 @@ class _Texts:
         return materialize(found.mapInArrow(released(_verified(percent)), "a long, b long"), "links")
 
 
+def _still_open(members_of: DataFrame, first: DataFrame, sizes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """(a, sid, root) of the classes that may still link inside a block with another class than its first, ``a``.
+
+    Sizes that can link lie in the same step of a scale or in neighbouring ones, so a class whose steps
+    hold one component only in all its blocks has nothing to be compared with.
+    """
+    step = F.floor(F.log(F.col("n").cast("double")) / math.log(100.0001 / max(percent, 1)))
+    placed = materialize(
+        members_of.join(first.filter("held > 2"), "block").filter("sid <> a").join(sizes, "sid")
+        .join(roots.withColumnRenamed("node", "sid"), "sid", "left")
+        .select("block", "a", "sid", F.coalesce("root", "sid").alias("root"), step.alias("step")), "placed")
+    ends = F.min("root").alias("least"), F.max("root").alias("most")
+    steps = placed.groupBy("block", "step").agg(*ends)
+    reached = steps.withColumn("step", F.explode(F.array(*[F.col("step") + i for i in (-1, 0, 1)]))).groupBy("block", "step").agg(
+        F.min("least").alias("least"), F.max("most").alias("most"))
+    open_steps = materialize(reached.filter("least <> most").select("block", "step"), "steps")
+    return materialize(placed.join(open_steps, ["block", "step"]).select("a", "sid", "root").distinct(), "open")
+
+
 def _linked(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
     """One row per row of ``docs``: (id, mark, n, component_id, lead_mark, size).
 
@@ -390,17 +445,11 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, words: int, percent: in
     members = materialize(source.mapInArrow(released(_members(words)), f"id {docs.schema[id_col].dataType.simpleString()}, mark long, n long, sid long"), "members")
     total = members.agg(F.count(F.lit(1)).alias("docs"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens")).first()
 
-    # A bounded list: the tokens to be put last.
-    last = (
-        texts.mapInArrow(released(_frequent(words)), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-        .filter(F.col("n") >= max(64, int(total["docs"] * FREQUENT_SHARE)))
-        .orderBy(F.desc("n"), "token").limit(FREQUENT_TOKENS).select("token").toPandas()["token"]
-    )
-    last = np.sort(last.to_numpy(np.int64).view(np.uint64))
-
+    counted = texts.mapInArrow(released(_shared(words)), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    order = _order(materialize(counted, "shared"))
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(total["tokens"] * (100 - percent) / 100 // ENTRIES_PER_TASK))
     members_of = materialize(
-        texts.mapInArrow(released(_entries(words, percent, last)), "token long, sid long")
+        texts.mapInArrow(released(_entries(words, percent, order)), "token long, sid long")
         .repartition(tasks, "token").mapInArrow(released(_blocks), "block long, sid long").distinct(),
         "blocks",
     )
@@ -411,22 +460,16 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, words: int, percent: in
     signs = sets.of(first_of.select("sid"), whole=False)
 
     # Each class with the first one of its block. The blocks of one first class make up a larger block.
-    first = materialize(members_of.groupBy("block").agg(F.min("sid").alias("a")), "firsts")
+    first = materialize(members_of.groupBy("block").agg(F.min("sid").alias("a"), F.count(F.lit(1)).alias("held")), "firsts")
     stars = materialize(members_of.join(first, "block").filter("sid <> a").select("a", F.col("sid").alias("b")).distinct(), "stars")
     links = sets.links(materialize(_bounded_pairs(stars, signs, percent), "near"), percent)
     roots = components(links)
 
-    # Then the trees of the larger blocks that still hold several components.
-    placed = (
-        stars.select("a", F.col("b").alias("sid")).join(roots.withColumnRenamed("node", "sid"), "sid", "left")
-        .select("a", "sid", F.coalesce("root", "sid").alias("root"))
-    )
-    mixed = materialize(
-        placed.groupBy("a").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count(F.lit(1)).alias("size"))
-        .filter("least <> most").select("a", F.ceil(F.col("size") / TILE).alias("tiles")), "mixed",
-    )
+    # Then the trees of the larger blocks, over the classes that have one of another component and like size in a block.
+    placed = _still_open(members_of, first, signs.chosen.select("sid", "n"), roots, percent)
+    tiles = materialize(placed.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / TILE).alias("tiles")), "mixed")
     tiled = (
-        placed.join(mixed, "a")
+        placed.join(tiles, "a")
         .withColumn("side", F.pmod(F.xxhash64("sid"), F.col("tiles")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
         .select("a", "sid", "root", "side", F.least("side", "other").alias("tile_a"), F.greatest("side", "other").alias("tile_b"))

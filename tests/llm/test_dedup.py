@@ -123,6 +123,30 @@ def test_jaccard_components_in_tiles(spark, monkeypatch):
     assert rows_of(jaccard_components(docs), "doc_id", "n_shingles", "component_id") == brute_near(rows)
 
 
+def test_shared_lines_make_no_blocks(spark, monkeypatch):
+    """Texts that share a line, but have words of their own, are not candidates of each other, though too few to be very frequent."""
+    counts = {}
+    write = ngram_join.materialize
+    monkeypatch.setattr(ngram_join, "materialize", lambda df, name="cut": counts.__setitem__(name, (out := write(df, name)).count()) or out)
+    line = " " + prose(99, 30)
+    rows = [(i, prose(i, 90) + line) for i in range(40)] + [(50, edited(prose(50, 90), 1, 1)), (51, edited(prose(50, 90), 2, 1))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert rows_of(jaccard_components(docs), "doc_id", "n_shingles", "component_id") == brute_near(rows)
+    assert 0 < counts["stars"] < 8
+
+
+def test_classes_without_like_sizes_stay_out_of_trees(spark):
+    """A class goes into a tree only if a block of its own holds another component of like size; the edge of like sizes is kept."""
+    blocks = [(1, s) for s in (1, 2, 3, 4)] + [(2, s) for s in (1, 5)] + [(3, s) for s in (1, 6, 7)] + [(4, s) for s in (1, 8, 9)]
+    sizes = {1: 100, 2: 80, 3: 100, 4: 300, 5: 80, 6: 100, 7: 100, 8: 10, 9: 40}
+    frame = lambda rows, schema: spark.createDataFrame(rows, schema)
+    members = frame(blocks, "block long, sid long")
+    first = frame([(1, 1, 4), (2, 1, 2), (3, 1, 3), (4, 1, 3)], "block long, a long, held long")
+    roots = frame([(6, 6), (7, 6)], "node long, root long")
+    found = ngram_join._still_open(members, first, frame(list(sizes.items()), "sid long, n long"), roots, 80)
+    assert {tuple(r) for r in found.collect()} == {(1, 2, 2), (1, 3, 3)}
+
+
 def test_jaccard_components_without_ids(spark):
     """Near copies without an id, chains that only such a row links, and repeats of it."""
     words = prose(8, 200).split(" ")
