@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.numbers import safe_double, safe_long
 from shelfwise.functions.text import blank_to_null, with_norm_key
-from shelfwise.operators.indexing import first_wins, last_wins, top_k, with_sequential_id
+from shelfwise.operators.indexing import bounded_broadcast, first_wins, last_wins, top_k, with_sequential_id
 from shelfwise.session import materialize
 
 KEY = ["na", "nt"]
@@ -63,29 +63,48 @@ def key_marks() -> dict[str, Column]:
     }
 
 
+MARKS = ["_h1", "_h2"]
+
+
+def marked(df: DataFrame) -> DataFrame:
+    """Keyed rows with the hashes of their key; rows that carry them are taken as they are."""
+    return df if set(MARKS) <= set(df.columns) else df.withColumns(key_marks())
+
+
+def keyed_scan(files: DataFrame) -> DataFrame:
+    """The file scan, written once with its match keys, their hashes and a number ``_row`` for each row."""
+    if "_row" in files.columns:
+        return files
+    return materialize(marked(keyed_files(files)).withColumn("_row", F.monotonically_increasing_id()), "scan")
+
+
 def keyed_files(files: DataFrame) -> DataFrame:
     """The file scan with its match keys; already keyed input is taken as it is."""
     return files if set(KEY) <= set(files.columns) else with_norm_key(files, na="artist", nt="title")
 
 
-def canonical_tracks(library: DataFrame, files: DataFrame | None = None) -> DataFrame:
+def canonical_tracks(library: DataFrame, files: DataFrame | None = None, marks: bool = False) -> DataFrame:
     """One row per (na, nt): first row wins, the library before the local files.
 
-    Columns: id, artist, title, album, na, nt, origin, source_rank, ordinal.
+    Columns: id, artist, title, album, na, nt, origin, source_rank, ordinal; with ``marks`` the hashes of the key too.
+    Winners are found and numbered by row numbers alone; texts are joined to them only when they are read.
     """
 
     def part(df: DataFrame, title: str, origin: str, rank: int) -> DataFrame:
-        return df.filter(_has_key()).select(
+        return marked(df).filter(_has_key()).select(
             *KEY, "artist", F.col(title).alias("title"), blank_to_null(F.col("album")).alias("album"),
-            F.lit(origin).alias("origin"), F.lit(rank).alias("source_rank"), "ordinal",
+            F.lit(origin).alias("origin"), F.lit(rank).alias("source_rank"), "ordinal", *MARKS, *[c for c in df.columns if c == "_row"],
         )
 
-    rows = part(first_pairs(library), "track", LIBRARY_ORIGIN, 0)
+    rows = part(first_pairs(library), "track", LIBRARY_ORIGIN, 0).withColumn("_order", F.struct("source_rank", "ordinal"))
+    rows = first_wins(rows, MARKS, "_order").drop("_order").withColumn("_row", -1 - F.monotonically_increasing_id())
+    rows = materialize(rows, "library-rows")
     if files is not None:
-        rows = rows.unionByName(part(keyed_files(files), "title", LOCAL_ORIGIN, 1))
-    rows = rows.withColumns(key_marks() | {"_order": F.struct("source_rank", "ordinal")})
-    unique = first_wins(rows, ["_h1", "_h2"], "_order").drop("_order", "_h1", "_h2")
-    return with_sequential_id(unique, ["source_rank", "ordinal"], "TRK", 6)
+        rows = rows.unionByName(part(keyed_scan(files), "title", LOCAL_ORIGIN, 1))
+    won = rows.groupBy(*MARKS).agg(F.min(F.struct("source_rank", "ordinal", "_row")).alias("_won")).select("_won.*")
+    numbered = with_sequential_id(won, ["source_rank", "ordinal"], "TRK", 6).select("_row", "id")
+    tracks = rows.join(numbered, "_row").drop("_row")
+    return tracks if marks else tracks.drop(*MARKS)
 
 
 def playlists_table(library: DataFrame, profiles: DataFrame | None = None) -> DataFrame:
@@ -104,14 +123,22 @@ def playlists_table(library: DataFrame, profiles: DataFrame | None = None) -> Da
 
 
 def playlist_tracks(library: DataFrame, playlists: DataFrame, tracks: DataFrame) -> DataFrame:
-    """Distinct (playlist_id, track_id) links."""
-    pairs = library.select("playlist", "artist", "track", *[k for k in KEY if k in library.columns]).distinct()
-    links = keyed_library(pairs).filter(_has_key()).select("playlist", *key_marks().values()).toDF("playlist", "_h1", "_h2").distinct()
-    return (
-        links.join(tracks.withColumns(key_marks()).select("_h1", "_h2", F.col("id").alias("track_id")), ["_h1", "_h2"])
-        .join(playlists.select(F.col("name").alias("playlist"), F.col("id").alias("playlist_id")), "playlist")
-        .select("playlist_id", "track_id")
-    )
+    """Distinct (playlist_id, track_id) links.
+
+    The track of each distinct (artist, track) is looked up first, so library rows move by a 128-bit hash of
+    the two and become links where they meet it.
+    """
+    known = marked(tracks).select(*MARKS, F.col("id").alias("track_id"))
+    if set(KEY) <= set(library.columns):
+        named = marked(library).filter(_has_key()).select("playlist", *MARKS).distinct().join(known, MARKS).select("playlist", "track_id")
+    else:
+        given = [F.col("artist").isNull(), "artist", F.col("track").isNull(), "track"]
+        pair = {"_p1": F.xxhash64(*given), "_p2": F.xxhash64(F.lit(1), *given[::-1])}
+        found = marked(norm_pairs(library)).filter(_has_key()).join(known, MARKS).withColumns(pair).select(*pair, "track_id")
+        found = materialize(found, "pair-tracks")
+        named = library.withColumns(pair).select("playlist", *pair).join(found, [*pair]).select("playlist", "track_id").distinct()
+    names = playlists.select(F.col("name").alias("playlist"), F.col("id").alias("playlist_id"))
+    return named.join(bounded_broadcast(names, names.count()), "playlist").select("playlist_id", "track_id")
 
 
 def enrichment_table(analysis: DataFrame, tracks: DataFrame) -> DataFrame:
@@ -136,11 +163,11 @@ def match_files(files: DataFrame, tracks: DataFrame) -> DataFrame:
     the file that brought a new track, ``orphan`` has no usable key and joins nothing.
     """
     keyed = keyed_files(files)
-    known = tracks.withColumns(key_marks()).select(
+    known = marked(tracks).select(
         "_h1", "_h2", F.col("id").alias("track_id"), "origin", F.col("ordinal").alias("_first")
     )
     # A file without a key has null marks, so orphans neither match nor pile up on one key.
-    joinable = keyed.withColumns(key_marks()).drop(*KEY)
+    joinable = marked(keyed).drop(*KEY)
     created = (F.col("origin") == LOCAL_ORIGIN) & (F.col("ordinal") == F.col("_first"))
     match_class = (
         F.when(F.col("track_id").isNull(), "orphan")
@@ -167,17 +194,24 @@ def match_counts(matched: DataFrame) -> DataFrame:
 
 
 def files_table(matched: DataFrame) -> DataFrame:
-    """One row per path (first wins), numbered densely, with typed columns."""
+    """One row per path (first wins), numbered densely, with typed columns.
+
+    Paths are numbered by row numbers (``_row``) alone; the other columns are joined to them only when they are read.
+    """
+    if "_row" not in matched.columns:
+        matched = materialize(matched.withColumn("_row", F.monotonically_increasing_id()), "matched")
     present = set(matched.columns)
     rows = matched.select(
-        "path", "track_id", "ordinal",
+        "_row", "path", "track_id",
         *[(F.col(c) if c in present else F.lit("")).cast("string").alias(c) for c in FILE_TEXT],
         *[safe_long((F.col(c) if c in present else F.lit(None)).cast("string")).alias(c) for c in FILE_LONG],
         safe_double((F.col("duration_sec") if "duration_sec" in present else F.lit(None)).cast("string"))
         .alias("duration_sec"),
     )
-    numbered = with_sequential_id(first_wins(rows, ["path"]), ["ordinal"], "FIL", 6)
-    return numbered.select("id", *[c for c in rows.columns if c != "ordinal"])
+    first = F.min(F.struct(F.col("ordinal").isNull().alias("late"), "ordinal", "_row")).alias("_first")
+    firsts = matched.groupBy("path").agg(first).select("_first.ordinal", "_first._row")
+    numbered = with_sequential_id(firsts, ["ordinal"], "FIL", 6).select("_row", "id")
+    return rows.join(numbered, "_row").select("id", *[c for c in rows.columns if c != "_row"])
 
 
 def track_status(tracks: DataFrame, links: DataFrame, files: DataFrame) -> DataFrame:

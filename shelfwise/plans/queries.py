@@ -169,8 +169,8 @@ class _Built(NamedTuple):
 def _build(spark: SparkSession, folder: str) -> _Built:
     # The match keys of the scan are read by several tables, so it is keyed once.
     library = v.library(spark, folder)
-    scan = materialize(catalog.keyed_files(v.local_files(spark, folder)), "scan")
-    tracks = catalog.canonical_tracks(library, scan)
+    scan = catalog.keyed_scan(v.local_files(spark, folder))
+    tracks = catalog.canonical_tracks(library, scan, marks=True)
     playlists = catalog.playlists_table(library, v.profiles(spark, folder))
     return _Built(
         library, tracks, playlists, catalog.playlist_tracks(library, playlists, tracks), catalog.match_files(scan, tracks)

@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from shelfwise.operators import catalog
+from shelfwise.operators import catalog, indexing
 from shelfwise.plans import queries
 
 
@@ -36,3 +36,25 @@ def test_recommend_reads_its_tables_once(spark, tmp_path):
     spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
     found = queries.QUERIES["recommend"].run(spark, str(tmp_path))
     assert not [f for f in found.inputFiles() if "lineitem" in f or "supplier" in f]
+
+
+def test_track_status_numbers_rows_without_texts(spark, monkeypatch):
+    """Tracks and files are numbered by row numbers alone; repeated and keyless rows, and paths, count as before."""
+    written = []
+    write = indexing.materialize
+    monkeypatch.setattr(indexing, "materialize", lambda df, name="cut": written.append(set(df.columns)) or write(df, name))
+    lib = [("A", "Bo", "One", "x", 1), ("A", "BO", "one", "y", 2), ("B", "Bo", "One", "x", 3), ("B", None, "Two", "z", 4), ("A", "", "", "z", 5)] * 2
+    scan = [("/1", "bo", "ONE", "x", "128", 1), ("/2", "bo", "Two", "x", "320", 2), ("/2", "bo", "Three", "x", "64", 3), ("/3", "", "", "x", "1", 4), ("/4", "bo", "two", "x", "", 5), ("/5", "", "", "x", "1", None)] * 2
+    library = spark.createDataFrame(lib, "playlist string, artist string, track string, album string, ordinal long")
+    files = catalog.keyed_scan(spark.createDataFrame(scan, "path string, artist string, title string, album string, bitrate_kbps string, ordinal long"))
+    tracks = catalog.canonical_tracks(library, files, marks=True)
+    links = catalog.playlist_tracks(library, catalog.playlists_table(library), tracks)
+    listed = catalog.files_table(catalog.match_files(files, tracks))
+    status = {tuple(r) for r in catalog.track_status(tracks, links, listed).collect()}
+    assert status == {("P6-TRK-000001", "Bo", "One", "x", 2, 1, 128, 1, 1), ("P6-TRK-000002", None, "Two", "z", 1, 0, None, 1, 0),
+                      ("P6-TRK-000003", "bo", "Two", "x", 0, 2, 320, 0, 1), ("P6-TRK-000004", "bo", "Three", "x", 0, 0, None, 0, 0)}
+    assert sorted(r["path"] for r in listed.collect()) == ["/1", "/2", "/3", "/4", "/5"]
+    plain = catalog.canonical_tracks(library, files)
+    assert plain.columns == ["na", "nt", "artist", "title", "album", "origin", "source_rank", "ordinal", "id"] and plain.count() == 4
+    assert catalog.playlist_tracks(catalog.keyed_library(library), catalog.playlists_table(library), plain).count() == 3 == links.count()
+    assert not any(columns & {"title", "nt", "path", "artist"} for columns in written)
