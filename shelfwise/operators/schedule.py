@@ -6,9 +6,14 @@ A slot has ``station``, ``slot_id``, ``days`` (1 is Monday), ``start_min`` and `
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfwise.functions.digests import pairs_from
 from shelfwise.session import materialize
 
 DAY_MIN = 1440
@@ -18,7 +23,7 @@ LEVELS = 5
 SENT_ROWS = 100_000
 COOLDOWN_S = 7 * 86_400
 #: Requests and files of a kind that meet in one place, about, and the most tasks they are dealt to.
-TILE_REQUESTS, TILE_FILES, MOST_TASKS = 2_000, 4_000, 20_000
+TILE_REQUESTS, TILE_FILES, MOST_TASKS = 2_000, 16_000, 20_000
 
 
 def segments(slots: DataFrame) -> DataFrame:
@@ -91,8 +96,11 @@ def _digits(seed: str, group: Column, item: Column) -> Column:
 
 def draw_key(seed: str, group: Column, item: Column, weight: Column) -> Column:
     """-ln(u) / weight with u from a hash of seed, group and item: the smallest keys are a weighted draw without replacement."""
-    u = (F.conv(_digits(seed, group, item), 16, 10).cast("bigint") + 1) / F.lit(float(1 << 48))
-    return -F.log(u) / weight
+    return _key(F.conv(_digits(seed, group, item), 16, 10).cast("bigint"), weight)
+
+
+def _key(number: Column, weight: Column) -> Column:
+    return -F.log((number + 1) / F.lit(float(1 << 48))) / weight
 
 
 def cooling(requests: DataFrame, history: DataFrame, cooldown_s: int = COOLDOWN_S) -> DataFrame:
@@ -135,21 +143,39 @@ def _drawn(asked: DataFrame, files: DataFrame, seed: str, expected: int) -> Data
     """(request_id, file, key, whole) of the pairs with the smallest keys: ``expected`` for each request, about, or all if they are few.
 
     A key is exponential with the weight as its rate, so about ``limit`` times the sum of weights lie below a ``limit``. Keys up to the
-    limit are complete. Those that cannot be are told by the digest alone, before a logarithm is taken.
+    limit are complete. Those that cannot be are told by the digest alone, before a logarithm is taken. Digests are made for a whole tile
+    at a time in numpy; only the pairs that are left become rows.
     """
     own = Window.partitionBy("request_id")
     n, total = F.sum("n_files").over(own), F.sum("total").over(own)
     whole = (n <= 4 * expected) | F.isnan(total) | (total == float("inf"))
     asked = asked.withColumn("whole", whole).withColumn("limit", F.when(~whole, F.lit(float(expected)) / total))
     least = F.exp(-F.col("limit") * F.col("most")) * float(1 << 48) * (1 - 1e-9) - 2
-    asked = asked.withColumn("least", F.when(F.col("limit").isNull(), "").otherwise(F.lower(F.lpad(F.hex(F.greatest(least, F.lit(0.0)).cast("bigint")), 12, "0"))))
-    left, right = _tiles(asked, files)
-    digits = _digits(seed, F.col("request_id"), F.col("file"))
-    pairs = left.join(right.hint("shuffle_hash"), ["kind", "part", "piece"]).filter(digits >= F.col("least"))
-    drawn = pairs.withColumn("key", draw_key(seed, F.col("request_id"), F.col("file"), F.col("weight")))
+    asked = asked.withColumn("least", F.when(F.col("limit").isNull(), 0).otherwise(F.greatest(least, F.lit(0.0)).cast("bigint")))
+    left, right = _tiles(asked.withColumn("group", F.col("request_id").cast("string")), files.withColumn("item", F.col("file").cast("string")))
+    kinds = {c: df.schema[c].dataType.simpleString() for df, cs in ((asked, ("request_id", "whole", "limit")), (files, ("file", "weight"))) for c in cs}
+    schema = ", ".join(f"`{c}` {kind}" for c, kind in kinds.items()) + ", number bigint"
+    tile = ["kind", "part", "piece"]
+    pairs = right.groupBy(*tile).cogroup(left.groupBy(*tile)).applyInArrow(_numbered(seed), schema)
+    drawn = pairs.withColumn("key", _key(F.col("number"), F.col("weight")))
     return drawn.filter(F.col("whole") | (F.col("key") <= F.col("limit"))).select("request_id", "file", "key", "whole")
 
 
+def _numbered(seed: str) -> Callable:
+    """The pairs of a tile whose number, that of ``_digits``, is at least their request's ``least``."""
+    begin = seed.encode()
+
+    def run(requests: pa.Table, files: pa.Table) -> pa.Table:
+        heads = [begin if g is None else begin + b"|" + g.encode() for g in requests["group"].to_pylist()]
+        tails = [b"" if i is None else b"|" + i.encode() for i in files["item"].to_pylist()]
+        found = list(pairs_from(heads, tails, requests["least"].to_numpy()))
+        at, of, number = (np.concatenate([np.zeros(0, np.int64), *x]) for x in zip(*found)) if found else [np.zeros(0, np.int64)] * 3
+        out = {c: requests[c].take(pa.array(at)) for c in ("request_id", "whole", "limit")} | {c: files[c].take(pa.array(of)) for c in ("file", "weight")}
+        return pa.table(out | {"number": pa.array(number)})
+
+    return run
+
+
 def slot_candidates(requests: DataFrame, files: DataFrame, history: DataFrame, k: int, seed: str, cooldown_s: int = COOLDOWN_S) -> DataFrame:
     """(request_id, rank, file): up to ``k`` files drawn for each request by weight, without replacement.
 

@@ -6,11 +6,13 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from shelfwise.functions import digests
 from shelfwise.operators import schedule as S
 
 MONDAY = dt.datetime(2026, 3, 2)
@@ -145,3 +147,24 @@ def test_energy_breaks(spark):
         expected += [(station, b[2], b[1], a[1]) for a, b in zip(own, own[1:]) if a[3] == 1 and b[3] == 5]
     assert sorted(map(tuple, S.energy_breaks(spark.createDataFrame(plays, PLAY)).collect())) == sorted(expected)
     assert expected and ("c", MONDAY + dt.timedelta(days=90), 904, 903) in expected
+
+
+def test_digests_of_pairs_are_made_without_rows(spark, monkeypatch):
+    """Numbers of any lengths and bytes are those of MD5, also in small chunks; pairs that cannot be drawn never become rows."""
+    rng = random.Random(5)
+    heads = [b"s|" + str(rng.randrange(10**rng.randrange(1, 12))).encode() for _ in range(40)] + [b"", b"s", "s|é|∞".encode(), b"x" * 54, b"y" * 90]
+    tails = [b"|" + str(rng.randrange(10**rng.randrange(1, 9))).encode() for _ in range(70)] + [b"", b"z" * 55, b"z" * 200]
+    every = {(h, t): int(hashlib.md5(heads[h] + tails[t]).hexdigest()[:12], 16) for h in range(len(heads)) for t in range(len(tails))}
+    for chunk in (1, 7, digests.CHUNK):
+        monkeypatch.setattr(digests, "CHUNK", chunk)
+        for least in (np.zeros(len(heads), np.int64), np.array([rng.randrange(1 << 48) for _ in heads])):
+            found = {(int(h), int(t)): int(n) for hs, ts, ns in digests.pairs_from(heads, tails, least) for h, t, n in zip(hs, ts, ns)}
+            assert found == {pair: n for pair, n in every.items() if n >= least[pair[0]]}
+    requests = spark.createDataFrame([(i, 0, 400, 4000.0, 20.0, i) for i in range(6)], "request_id long, kind long, n_files long, total double, most double, nth long")
+    files = spark.createDataFrame([(0, i, 10.0) for i in range(400)], "kind long, file long, weight double")
+    drawn = S._drawn(requests, files, "s", 10)
+    plan = drawn._jdf.queryExecution().executedPlan().toString()
+    assert "CoGroups" in plan and "Join" not in plan.split("CoGroups")[0]
+    limit = 10 / 4000.0
+    keys = {(r, f): -math.log((int(hashlib.md5(f"s|{r}|{f}".encode()).hexdigest()[:12], 16) + 1) / 2**48) / 10 for r in range(6) for f in range(400)}
+    assert {(r["request_id"], r["file"]) for r in drawn.collect()} == {pair for pair, key in keys.items() if key <= limit}
